@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from vigil.llm import chat, mixing, packing
+from vigil.llm import chat, langid, mixing, packing, sharding, urls
 
-QUERIES = {"op1_chat_formatting": chat.op1, "op3_harmonic_packing": packing.op3, "op4_source_mixing": mixing.op4}
-ORACLES = {"op1_chat_formatting": chat.SQL, "op4_source_mixing": mixing.SQL}
+QUERIES = {
+    "op1_chat_formatting": chat.op1,
+    "op2_kd_sharding": sharding.op2,
+    "op3_harmonic_packing": packing.op3,
+    "op4_source_mixing": mixing.op4,
+    "op6_language_id": langid.op6,
+    "op10_url_cascade": urls.op10,
+}
+ORACLES = {"op1_chat_formatting": chat.SQL, "op4_source_mixing": mixing.SQL, "op10_url_cascade": urls.SQL}
