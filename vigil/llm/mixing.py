@@ -41,36 +41,61 @@ def targets(sources: DataFrame, limit: int = 3) -> DataFrame:
     )
 
 
-def copies(docs: DataFrame, *, seed: int = 11, limit: int = 3) -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken) of each row of docs(doc_id, text, source).
+#: Rows of a plan that are broadcast at most: about 50 bytes each. Larger plans are joined by shuffle.
+MOST_BROADCAST = 200_000
 
-    Tokens are summed per source, then a source's rate is target / source_size, and each of its documents is emitted
-    floor(rate) times plus one Bernoulli copy with the rate's fraction as probability. The uniform variate of the draw
-    is seeded by a hash of doc_id alone: the share of the source's words whose hash bucket comes before the document's
-    own (up to the bucket's middle), which is uniform as the hash is, and which makes the words drawn come near the
-    fraction of the source's words even where one document holds many of them.
 
-    Null text has size 0; null is a source of its own; a source without words takes nothing (rate 0); rows with equal
-    doc_id share their draw; no rows give no rows; other columns are ignored.
-    The table is read once; a row of 4 short columns a document is written to the checkpoint folder and used twice. The
-    partial sums before the shuffles take a source that holds a third of all rows; the join on the source leaves skewed
-    partitions to adaptive execution.
-    """
-    base = stash(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), bucket(F.col("doc_id"), seed).alias("bucket")))
+def plan(base: DataFrame, limit: int = 3) -> DataFrame:
+    """(source, bucket, source_size, target, copies) for base(source, size, bucket), see mix()."""
     hist = base.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     rates = targets(hist.groupBy("source").agg(F.sum("words").alias("source_size")), limit)
     order = Window.partitionBy("source").orderBy("bucket")
     cells = hist.withColumn("before", F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     drawn = F.col("before") + F.col("words") / 2 <= (F.col("rate") - F.floor("rate")) * F.col("source_size")
-    plan = (
+    return (
         cells.withColumnRenamed("source", "s")
         .join(rates, F.col("s").eqNullSafe(F.col("source")))
         .withColumn("rate", rate)
         .select("source", "bucket", "source_size", "target", (F.floor("rate") + F.when(drawn & (F.col("rate") > F.floor("rate")), 1).otherwise(0)).cast("long").alias("copies"))
     )
-    mine = base.select("doc_id", "size", F.col("source").alias("own"), F.col("bucket").alias("cell"))
-    return mine.join(plan, F.col("own").eqNullSafe(F.col("source")) & (F.col("cell") == F.col("bucket"))).select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def _planned(rows: DataFrame, base: DataFrame, limit: int) -> DataFrame:
+    """rows with __source and __bucket, and their part of the plan."""
+    cells = stash(plan(base, limit))
+    if cells.count() <= MOST_BROADCAST:
+        cells = F.broadcast(cells)
+    return rows.join(cells.withColumnsRenamed({c: f"__p_{c}" for c in cells.columns}), F.col("__source").eqNullSafe(F.col("__p_source")) & (F.col("__bucket") == F.col("__p_bucket")))
+
+
+def _base(docs: DataFrame, seed: int) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), bucket(F.col("doc_id"), seed).alias("bucket"))
+
+
+def copies(docs: DataFrame, *, seed: int = 11, limit: int = 3) -> DataFrame:
+    """(doc_id, size, source_size, target, copies, taken) of each row of docs(doc_id, text, source): what mix() does with it.
+
+    Tokens are summed per source, then a source's rate is target / source_size, and each of its documents is emitted
+    floor(rate) times plus one Bernoulli copy with the rate's fraction as probability. The uniform variate of the draw
+    is seeded by a hash of doc_id alone: the share of the source's words whose hash bucket comes before the document's
+    own (up to the bucket's middle), which is uniform as the hash is, and which makes the words drawn come near the
+    fraction of the source's words even where one document holds many of them.
+
+    Null text has size 0; null is a source of its own; a source without words takes nothing (rate 0); rows with equal
+    doc_id share their draw; no rows give no rows; other columns are ignored.
+    The table is read once; 4 short columns a document are written to the checkpoint folder. Partial sums before the shuffles
+    take a source that holds a third of all rows; the plan, a row for each source and bucket, is broadcast if it is small.
+    """
+    base = stash(_base(docs, seed))
+    rows = base.withColumnsRenamed({"source": "__source", "bucket": "__bucket"})
+    return _planned(rows, base, limit).select("doc_id", "size", F.col("__p_source_size").alias("source_size"), F.col("__p_target").alias("target"), F.col("__p_copies").alias("copies"), (F.col("size") * F.col("__p_copies")).alias("taken"))
+
+
+def mix(docs: DataFrame, *, seed: int = 11, limit: int = 3) -> DataFrame:
+    """The rows of docs, all columns, each as often as copies() says."""
+    rows = docs.withColumn("__source", F.col("source").cast("string")).withColumn("__bucket", bucket(F.col("doc_id").cast("long"), seed))
+    return _planned(rows, stash(_base(docs, seed)), limit).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__p_copies").cast("int")))).select(*docs.columns)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from vigil.llm import chat, langid, mixing, packing, sharding, urls
+import corpus_pipeline
+from vigil.llm import chat, langid, mixing, neardup, packing, sharding, urls
 
 QUERIES = {
     "op1_chat_formatting": chat.op1,
@@ -10,6 +11,8 @@ QUERIES = {
     "op3_harmonic_packing": packing.op3,
     "op4_source_mixing": mixing.op4,
     "op6_language_id": langid.op6,
+    "op8_bottom_k_dedup": neardup.op8,
     "op10_url_cascade": urls.op10,
+    "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op1_chat_formatting": chat.SQL, "op4_source_mixing": mixing.SQL, "op10_url_cascade": urls.SQL}
+ORACLES = {"op1_chat_formatting": chat.SQL, "op4_source_mixing": mixing.SQL, "op8_bottom_k_dedup": neardup.SQL, "op10_url_cascade": urls.SQL}
