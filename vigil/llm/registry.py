@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from vigil.llm import chat, langid, mixing, neardup, packing, sharding, urls
+from vigil.llm import chat, fingerprints, langid, lm, mixing, neardup, packing, sharding, urls
 
 QUERIES = {
     "op1_chat_formatting": chat.op1,
     "op2_kd_sharding": sharding.op2,
     "op3_harmonic_packing": packing.op3,
     "op4_source_mixing": mixing.op4,
+    "op5_backoff_scoring": lm.op5,
     "op6_language_id": langid.op6,
+    "op7_spotsigs": fingerprints.op7,
     "op8_bottom_k_dedup": neardup.op8,
     "op10_url_cascade": urls.op10,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op1_chat_formatting": chat.SQL, "op4_source_mixing": mixing.SQL, "op8_bottom_k_dedup": neardup.SQL, "op10_url_cascade": urls.SQL}
+ORACLES = {"op1_chat_formatting": chat.SQL, "op4_source_mixing": mixing.SQL, "op7_spotsigs": fingerprints.SQL, "op8_bottom_k_dedup": neardup.SQL, "op10_url_cascade": urls.SQL}
