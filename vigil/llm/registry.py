@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from vigil.llm import chat, fingerprints, langid, lm, mixing, neardup, packing, sharding, urls
+from vigil.llm import chat, fingerprints, langid, lm, mixing, neardup, packing, search, sharding, urls
 
 QUERIES = {
     "op1_chat_formatting": chat.op1,
@@ -14,6 +14,7 @@ QUERIES = {
     "op6_language_id": langid.op6,
     "op7_spotsigs": fingerprints.op7,
     "op8_bottom_k_dedup": neardup.op8,
+    "op9_block_max_search": search.op9,
     "op10_url_cascade": urls.op10,
     "pipeline": corpus_pipeline.run,
 }
