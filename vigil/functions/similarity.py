@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def jaro_winkler(a: str, b: str) -> float:
@@ -58,7 +59,7 @@ def token_set_ratio(a: str, b: str) -> float:
 
 
 def _pairwise(f: Callable[[str, str], float]):
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def udf(a: pd.Series, b: pd.Series) -> pd.Series:
         known: dict[tuple, float | None] = {}
         return pd.Series([known[p] if p in known else known.setdefault(p, None if p[0] is None or p[1] is None else f(*p)) for p in zip(a, b, strict=True)], dtype="float64")
@@ -69,6 +70,6 @@ def _pairwise(f: Callable[[str, str], float]):
 jaro_winkler_udf, indel_ratio_udf, token_set_ratio_udf = _pairwise(jaro_winkler), _pairwise(indel_ratio), _pairwise(token_set_ratio)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")

@@ -31,4 +31,4 @@ def tokens(c: Column, least: int = 3) -> Column:
 
 def pipe_list(c: Column) -> Column:
     """Distinct trimmed items of a list joined by '|', in order of appearance."""
-    return F.array_distinct(F.filter(F.transform(F.split(c, r"\|"), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(c, r"\|"), lambda x: F.trim(x)), lambda x: x != ""))

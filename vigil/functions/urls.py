@@ -65,5 +65,4 @@ def path_of(url: Column) -> Column:
 
 def deceptive_embedding(host: Column, legit: Column) -> Column:
     """Whether the labels of `legit` stand inside `host`, but not at its end."""
-    inside = F.locate(F.lit("."), host) > 0
-    return inside & F.contains(F.concat(F.lit("."), host, F.lit(".")), F.concat(F.lit("."), legit, F.lit("."))) & ~F.endswith(F.concat(F.lit("."), host), F.concat(F.lit("."), legit))
+    return F.contains(host, F.lit(".")) & F.contains(F.concat(F.lit("."), host, F.lit(".")), F.concat(F.lit("."), legit, F.lit("."))) & ~F.endswith(F.concat(F.lit("."), host), F.concat(F.lit("."), legit))

@@ -29,7 +29,8 @@ def streaks(ticks: DataFrame, part: Sequence[str], order: Sequence[str], pressed
 
 def stalls(events: DataFrame, part: str, ts: str, warn: int, stall: int) -> DataFrame:
     """Per key the silences between its events: how many reach the warning and the stall threshold, and the longest (seconds)."""
-    gap = F.unix_micros(ts) - F.unix_micros(F.lag(ts).over(Window.partitionBy(part).orderBy(ts)))
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    gap = at - F.lag(at).over(Window.partitionBy(part).orderBy(ts))
     return events.withColumn("gap", gap / 1_000_000).groupBy(part).agg(F.count_if(F.col("gap") >= warn).alias("warnings"), F.count_if(F.col("gap") >= stall).alias("stalls"), F.round(F.max("gap"), 3).alias("longest"))
 
 

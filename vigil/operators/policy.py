@@ -43,35 +43,44 @@ INPUTS = ("fallback_only", "strict", "score_pass", "fetched", "redirect_spoof",
 
 def decide(df: DataFrame) -> DataFrame:
     """df(INPUTS) with classification, emit, reason and corroboration; the first rule that holds decides, of 15."""
-    c = {n: F.coalesce(F.col(n), F.lit(False)) for n in INPUTS}
+    own = {n: f"__{n}" for n in INPUTS}
+    c = {n: F.col(x) for n, x in own.items()}
     survivor = c["strict"] | c["score_pass"]
     strong = c["hash_anchor"] | c["tvc_strong"] | c["content_spoof"]
     weak = strong | c["weak_tvc"] | c["brand_evidence"] | c["keyword_hit"] | c["weak_signal"]
     away = ~c["fetched"]
     count = lambda *names: sum((c[n].cast("int") for n in names), F.lit(0))
     outside, every = count("parked", "network"), count("hash_anchor", "tvc_strong", "content_spoof", "weak_tvc", "brand_evidence", "keyword_hit", "weak_signal", "parked", "network")
+    # condition, label, emitted, reason, and how the corroboration counts
     rules = [
-        (c["fallback_only"] & ~c["strict"], "Legitimate", False, "fallback_rank_only_without_strict_lexical", F.lit(0)),
-        (~survivor, "Legitimate", False, "no_lexical_gate", F.lit(0)),
-        (away & c["redirect_spoof"], "Phishing", True, "redirected_cse_spoof_host", 1 + outside),
-        (away & c["redirect_changed"], "Suspected", True, "redirected_lexical_suspected", 1 + outside),
-        (away & c["parked"], "Suspected", True, "parked_sale_lexical_suspected", outside),
-        (away & c["network"] & c["strict"], "Suspected", True, "strict_lexical_fetch_evidence_unavailable_suspected", outside),
-        (away & c["network"], "Suspected", True, "lexical_gate_plus_network_corroboration", outside),
-        (away, "Legitimate", False, "invalid_fetch_state_without_direct_evidence", F.lit(0)),
-        (c["redirect_spoof"], "Phishing", True, "redirected_cse_spoof_host", F.greatest(every, F.lit(1))),
-        (c["redirect_changed"], "Suspected", True, "redirected_lexical_suspected", F.greatest(every, F.lit(1))),
-        (c["strict"] & strong, "Phishing", True, "strict_lexical_plus_direct_evidence", every),
-        (weak, "Suspected", True, "lexical_gate_plus_weak_direct_evidence", every),
-        (c["parked"], "Suspected", True, "parked_sale_lexical_suspected", every),
-        (c["network"], "Suspected", True, "lexical_gate_plus_network_corroboration", every),
-        (F.lit(True), "Legitimate", True, "lexical_without_any_corroboration_legitimate_review", every),
+        (c["fallback_only"] & ~c["strict"], "Legitimate", False, "fallback_rank_only_without_strict_lexical", "none"),
+        (~survivor, "Legitimate", False, "no_lexical_gate", "none"),
+        (away & c["redirect_spoof"], "Phishing", True, "redirected_cse_spoof_host", "outside and redirect"),
+        (away & c["redirect_changed"], "Suspected", True, "redirected_lexical_suspected", "outside and redirect"),
+        (away & c["parked"], "Suspected", True, "parked_sale_lexical_suspected", "outside"),
+        (away & c["network"] & c["strict"], "Suspected", True, "strict_lexical_fetch_evidence_unavailable_suspected", "outside"),
+        (away & c["network"], "Suspected", True, "lexical_gate_plus_network_corroboration", "outside"),
+        (away, "Legitimate", False, "invalid_fetch_state_without_direct_evidence", "none"),
+        (c["redirect_spoof"], "Phishing", True, "redirected_cse_spoof_host", "every, at least 1"),
+        (c["redirect_changed"], "Suspected", True, "redirected_lexical_suspected", "every, at least 1"),
+        (c["strict"] & strong, "Phishing", True, "strict_lexical_plus_direct_evidence", "every"),
+        (weak, "Suspected", True, "lexical_gate_plus_weak_direct_evidence", "every"),
+        (c["parked"], "Suspected", True, "parked_sale_lexical_suspected", "every"),
+        (c["network"], "Suspected", True, "lexical_gate_plus_network_corroboration", "every"),
+        (F.lit(True), "Legitimate", True, "lexical_without_any_corroboration_legitimate_review", "every"),
     ]
-    out = None
-    for when, label, emit, reason, n in rules:
-        value = F.struct(F.lit(label).alias("classification"), F.lit(emit).alias("emit"), F.lit(reason).alias("reason"), n.cast("int").alias("corroboration"))
-        out = F.when(when, value) if out is None else out.when(when, value)
-    return df.withColumn("__d", out).select("*", "__d.*").drop("__d")
+    first = F.when(rules[0][0], 1)
+    for i, r in enumerate(rules[1:], 2):
+        first = first.when(r[0], i)
+    of = lambda k: F.element_at(F.array(*[F.lit(r[k]) for r in rules]), F.col("__rule"))
+    how = F.col("__how")
+    return (
+        df.withColumns({x: F.coalesce(F.col(n), F.lit(False)) for n, x in own.items()})
+        .withColumn("__rule", first)
+        .withColumns({"classification": of(1), "emit": of(2), "reason": of(3), "__how": of(4), "__outside": outside, "__every": every})
+        .withColumn("corroboration", F.when(how == "none", 0).when(how == "outside", F.col("__outside")).when(how == "outside and redirect", F.col("__outside") + 1).when(how == "every", F.col("__every")).otherwise(F.greatest("__every", F.lit(1))))
+        .drop(*own.values(), "__rule", "__how", "__outside", "__every")
+    )
 
 
 def floor_gate(score: Column, floor: float, strict: Column, anchored: Column) -> Column:
