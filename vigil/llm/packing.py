@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,53 +16,94 @@ from vigil.llm.common import small_batches
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _ARROW = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
-#: GPT-2's printable stand-ins for bytes: printable ones stand for themselves, the others follow from U+0100.
+#: Printable stand-ins for bytes in byte-level vocabularies: printable bytes stand for themselves, the others follow from U+0100.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_STAND_INS = {b: b for b in _PRINTABLE} | {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_PRINTABLE))}
+_BYTES = {chr(b): b for b in _PRINTABLE} | {chr(0x100 + i): b for i, b in enumerate(b for b in range(256) if b not in set(_PRINTABLE))}
+_END = b"\x01"
+
+
+class Words:
+    """Ids of many plain words at once: the tokenizer's own vocabulary and merges, run by tiktoken's merge loop.
+
+    A word is followed by an end byte; the pairs of a byte and the end byte merge before all others, which gives the
+    symbols with the word-end suffix; then the merges follow in their order. None of this trains anything.
+    """
+
+    def __init__(self, model: dict):
+        import tiktoken
+
+        suffix = model["end_of_word_suffix"]
+
+        def raw(token: str) -> bytes:
+            end = token.endswith(suffix) and token != suffix
+            return bytes(_BYTES[c] for c in (token[: -len(suffix)] if end else token)) + (_END if end else b"")
+
+        base = [bytes([b]) for b in range(256)]
+        merged = [raw(a) + raw(b) for a, b in (m if isinstance(m, list) else m.split(" ") for m in model["merges"])]
+        order = [*base, *(b + _END for b in base), *merged]
+        if len(set(order)) != len(order):
+            raise ValueError("two merges make the same token")
+        ids = {raw(t): i for t, i in model["vocab"].items() if all(c in _BYTES for c in t.removesuffix(suffix))}
+        self.ids = np.array([ids.get(t, 0) for t in order], "<u4")
+        self.ends = np.array([t.endswith(_END) and len(t) > 1 for t in order])
+        self.encoding = tiktoken.Encoding("words", pat_str=r"[^\x01 ]+\x01", mergeable_ranks={t: i for i, t in enumerate(order)}, special_tokens={})
+
+    def __call__(self, words: list[str], counts: list[int]) -> list[bytes]:
+        """words: each piece ended by the end byte; counts: pieces of each word."""
+        found = np.array(self.encoding.encode_ordinary(" ".join(words)), np.int64)
+        stops = (np.flatnonzero(self.ends[found]) + 1)[np.cumsum(counts) - 1] * 4
+        data, at, out = self.ids[found].tobytes(), 0, []
+        for stop in stops.tolist():
+            out.append(data[at:stop])
+            at = stop
+        return out
 
 
 class Encoder:
     """Ids of texts as little-endian 32-bit bytes, equal to tokenizers' encode(text, add_special_tokens=False).
 
     Blanks and line ends are never part of a token and always end one, so a text's ids are those of its
-    blank-separated chunks one after another; chunks seen before come from a cache of bounded size.
+    blank-separated chunks one after another. Chunks seen before come from a cache of bounded size; new ones of Latin
+    letters, with '.' or ',' after them or not, are encoded together; all others by the tokenizer itself.
     """
 
     def __init__(self, path: str, entries: int = 300_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.entries, self.longest, self.cache = Tokenizer.from_file(path), entries, longest, {}
-        #: Whether chunks of plain letters may go straight to the model: only for the normaliser and splitter that this class knows.
-        config = self.tokenizer.to_str()
-        self.direct = '"Lowercase"' in config and r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in config and '"ByteLevel"' in config
-
-    def chunk(self, text: str) -> bytes:
-        core, tail = (text[:-1], text[-1]) if text[-1:] in (".", ",") else (text, "")
-        if self.direct and core.isalpha() and max(core) <= "\xff":
-            model = self.tokenizer.model
-            ids = [t.id for t in model.tokenize(core.lower().encode().decode("latin-1").translate(_STAND_INS))]
-            if tail:
-                ids += [t.id for t in model.tokenize(tail)]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        config = json.loads(Path(path).read_text())
+        known = [x["type"] for x in config["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"] and r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" in json.dumps(config["pre_tokenizer"]).replace("\\\\", "\\")
+        #: Only for the normaliser and splitter that this class knows.
+        self.words = Words(config["model"]) if known and config["model"]["end_of_word_suffix"] else None
+
+    def learn(self, chunks: list[str]) -> None:
+        known, plain, words, counts = self.cache, [], [], []
+        for x in chunks:
+            core = x[:-1] if x[-1:] in (".", ",") else x
+            if self.words and core.isalpha() and max(core) <= "\xff":
+                plain.append(x)
+                words.append(f"{core.lower()}\x01" if core is x else f"{core.lower()}\x01{x[-1]}\x01")
+                counts.append(1 if core is x else 2)
+            else:
+                known[x] = np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes()
+        if plain:
+            known.update(zip(plain, self.words(words, counts), strict=True))
 
     def __call__(self, text: str) -> bytes:
         chunks, known = text.replace("\n", " ").split(" "), self.cache
-        try:
-            return b"".join([known[x] for x in chunks])
-        except KeyError:
-            pass
         out = []
-        for x in chunks:
-            ids = known.get(x)
-            if ids is None:
-                ids = self.chunk(x)
-                if len(x) <= self.longest:
-                    if len(known) >= self.entries:
-                        known.clear()
-                    known[x] = ids
-            out.append(ids)
+        for i in range(0, len(chunks), 100_000):
+            part = chunks[i : i + 100_000]
+            new = [x for x in set(part) if x not in known]
+            if new:
+                self.learn(new)
+            out.append(b"".join([known[x] for x in part]))
+            if len(known) > self.entries:
+                known.clear()
+            else:
+                for x in new:
+                    if len(x) > self.longest:
+                        del known[x]
         return b"".join(out)
 
 
