@@ -86,11 +86,12 @@ def scored(hosts: DataFrame, entity: DataFrame) -> DataFrame:
 def gate(scores: DataFrame, floor: float = 0.85) -> DataFrame:
     """Per host the best entity (greatest lexical score, then least idx), its label, risk band and whether it passes the gate.
 
-    Candidates are the entities with a rule hit; where a host has none, all are ranked, which is marked as fallback only.
+    Candidates are the entities with a rule hit or a brand token; where a host has none, all are ranked, as fallback only.
     """
-    best = Window.partitionBy("host").orderBy(F.desc("rule_hit"), F.desc("lexical_score"), "idx")
+    best = Window.partitionBy("host").orderBy(F.desc(F.col("rule_hit") | (F.col("n_hits") > 0)), F.desc("lexical_score"), "idx")
     top = scores.withColumn("r", F.row_number().over(best)).where("r = 1")
-    strict, passed, fallback = F.col("rule_hit"), F.col("lexical_score") >= floor, ~F.col("rule_hit")
+    strict = F.col("rule_hit") | (F.col("n_hits") > 0)
+    passed, fallback = F.col("lexical_score") >= floor, ~strict
     return top.select(
         "host", "entity", "domain", F.round("similarity", 6).alias("similarity"), F.round("lexical_score", 6).alias("lexical_score"), "total",
         F.when(F.col("similarity") >= SAME_DOMAIN, "whitelist").when((F.col("total") >= LEAST_SCORE) & F.col("evidence"), "score").otherwise("none").alias("match_reason"),

@@ -108,7 +108,7 @@ pts AS (SELECT *, CASE WHEN evidence THEN 0.35::DOUBLE * (CASE WHEN length(label
     + CASE WHEN evidence AND n_risk > 0 THEN least(12, 6 + 3 * (n_risk - 1)) ELSE 0 END
     + CASE WHEN n_hits > 0 THEN least(32, 18 + 6 * (n_hits - 1)) WHEN fuzzy THEN 12 ELSE 0 END + least(25.0, 25 * keyword_sim) AS points FROM e),
 t AS (SELECT *, CAST(least(greatest(round_even(points, 0), 0), 100) AS INTEGER) AS total FROM pts),
-s AS (SELECT *, greatest(similarity, total / 100.0::DOUBLE) AS lexical_score, similarity >= 0.93 OR (total >= 40 AND evidence) AS rule_hit FROM t),
+s AS (SELECT *, greatest(similarity, total / 100.0::DOUBLE) AS lexical_score, similarity >= 0.93 OR (total >= 40 AND evidence) OR n_hits > 0 AS rule_hit FROM t),
 r AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY rule_hit DESC, lexical_score DESC, idx) AS k FROM s)
 SELECT host, entity, domain, round(similarity, 6) AS similarity, round(lexical_score, 6) AS lexical_score, total,
   CASE WHEN similarity >= 0.93 THEN 'whitelist' WHEN total >= 40 AND evidence THEN 'score' ELSE 'none' END AS match_reason,
