@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vigil.llm.common import tables
 
 #: (host, path, verdict) of the production filter.
-RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
+RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
 #: Bits of all levels of a cascade at most: what a filter adds to each task is 8 MB at most.
 MOST_BITS = 1 << 26
 SEP = "\x00"
@@ -145,7 +145,7 @@ def op10(spark, sf_dir: str) -> DataFrame:
 
 
 SQL = r"""
-WITH rules(h, p, v) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'block'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
+WITH rules(h, p, v) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
 rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
 hosts AS (SELECT page_id, r, regexp_extract(r, '^[^/?#]*') AS h0 FROM rest),
 parts AS (SELECT page_id, translate(h0, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(r, length(h0) + 1), '^[^?#]*') AS path FROM hosts),
