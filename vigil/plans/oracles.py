@@ -253,4 +253,28 @@ SELECT id, ref, cosine, rank FROM (SELECT *, row_number() OVER (PARTITION BY id
     "q_stream_watchdog": """
 WITH g AS (SELECT event_type AS kind, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type ORDER BY ts))) / 1000000.0::DOUBLE AS gap FROM events)
 SELECT kind, count(*) FILTER (gap >= 3600) AS warnings, count(*) FILTER (gap >= 14400) AS stalls FROM g GROUP BY kind""",
+    "q_html_signals": r"""
+WITH b AS (SELECT page_id, html, regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g') AS x FROM pages),
+t AS (SELECT page_id, html, trim(regexp_replace(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', ' '), '&amp;', '&'), '[ \t\n\r\f\x0B]+', ' ', 'g')) AS body FROM b)
+SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1)) AS title, length(body) AS text_length, md5(body) AS text_md5, len(regexp_extract_all(html, '<p[ >]')) AS n_paragraphs, len(regexp_extract_all(html, '<a ')) AS n_links FROM t""",
+    "q_failure_classes": """
+SELECT event_id, ['none', 'timeout', 'reset', 'ssl', 'dns', 'error', 'refused', 'transient'][event_id % 8 + 1] AS kind, event_id % 8 IN (1, 2, 7) AS retryable, least(8.0::DOUBLE, 0.5::DOUBLE * pow(2, event_id % 6)) AS wait FROM events""",
+    "q_certificate_days": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN -1 ELSE greatest(0, date_diff('day', DATE '1998-01-01', CAST(o_orderdate AS DATE))) END AS days_left, CASE WHEN o_orderkey % 10 = 0 THEN -1 ELSE year(o_orderdate) END AS year FROM orders""",
+    "q_infra_seed": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment WHEN c_custkey % 5 = 0 THEN c_name ELSE 'NA' END AS seed FROM customer",
+    "q_lookup_fanout": f"""
+WITH p AS (SELECT page_id, {_HOST} AS host FROM pages), a AS (SELECT host, min(page_id) AS ip FROM p WHERE page_id % 3 = 0 GROUP BY host)
+SELECT page_id, host, coalesce(ip, -1) AS ip, CASE WHEN ip IS NULL THEN 'no_records' ELSE 'resolved' END AS status FROM p LEFT JOIN a USING (host)""",
+    "q_registration_fields": """
+SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'NA' ELSE s_name END AS registrant, CASE WHEN s_suppkey % 5 = 0 THEN 'NA' ELSE '2020-01-0' || (s_suppkey % 9 + 1) END AS registered, 'NA' AS expires, CASE WHEN s_suppkey % 5 = 0 THEN 'NA' ELSE 'ns1.x;ns2.x' END AS name_servers FROM supplier""",
+    "q_resume_remaining": """
+WITH k AS (SELECT page_id, sha1(lower(trim(url)) || '|book') AS record_key FROM pages) SELECT record_key, page_id FROM k WHERE record_key NOT IN (SELECT record_key FROM k WHERE page_id % 2 = 0)""",
+    "q_live_workers": "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id HAVING arg_max(event_type, event_id) <> 'error'",
+    "q_parity_check": """
+WITH l AS (SELECT * FROM orders WHERE o_orderkey % 10 <> 0), r AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS s, CASE WHEN o_orderkey % 13 <> 0 THEN o_custkey END AS c FROM orders WHERE o_orderkey % 11 <> 0),
+j AS (SELECT coalesce(o_orderkey, k) AS o_orderkey, CASE WHEN k IS NULL THEN 'left_only' WHEN o_orderkey IS NULL THEN 'right_only'
+  ELSE array_to_string(list_filter([CASE WHEN o_orderstatus IS DISTINCT FROM s THEN 'o_orderstatus' END, CASE WHEN o_custkey IS DISTINCT FROM c THEN 'o_custkey' END], lambda x: x IS NOT NULL), '|') END AS problem FROM l FULL JOIN r ON o_orderkey = k)
+SELECT * FROM j WHERE problem <> ''""",
+    "q_filled_catalogue": "SELECT n_nationkey, n_name, last_value(CASE WHEN n_nationkey % 4 = 0 THEN CAST(n_regionkey AS VARCHAR) END IGNORE NULLS) OVER (ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS region FROM nation",
+    "q_whitelist_first_match": "SELECT id, n_nationkey, n_name FROM (SELECT p_partkey AS id, n_nationkey, n_name, row_number() OVER (PARTITION BY p_partkey ORDER BY n_nationkey) AS r FROM part, nation WHERE (p_size + n_nationkey) % 7 = 0) WHERE r = 1",
 }

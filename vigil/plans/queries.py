@@ -7,9 +7,9 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.functions import hashing, text, urls
+from vigil.functions import hashing, signals, text, urls
 from vigil.functions.similarity import indel_ratio_udf, jaro_winkler_udf, token_set_ratio_udf
-from vigil.operators import features, lexical, matching, monitor, policy, reports, scoring, state
+from vigil.operators import features, infra, lexical, matching, monitor, policy, reports, scoring, state
 from vigil.plans.catalogue import BRANDS, ENTITIES, GEO, SALE_RULES, SECTORS
 from vigil.sources import readers
 from vigil.streaming import streams
@@ -393,6 +393,82 @@ def q_evidence_ratios(spark, d):
     return names.crossJoin(e).select("name", "idx", F.round(indel_ratio_udf("name", "entity"), 6).alias("indel"), F.round(token_set_ratio_udf("name", "entity"), 6).alias("token_set"))
 
 
+@query
+def q_html_signals(spark, d):
+    body = signals.page_text(F.col("html"))
+    return _t(spark, d, "pages").select("page_id", signals.page_title(F.col("html")).alias("title"), F.length(body).cast("long").alias("text_length"), F.md5(body).alias("text_md5"), F.regexp_count("html", F.lit("<p[ >]")).cast("long").alias("n_paragraphs"), F.regexp_count("html", F.lit("<a ")).cast("long").alias("n_links"))
+
+
+@query
+def q_failure_classes(spark, d):
+    messages = ["", "Timeout 30000ms exceeded: timed out", "net::ERR_CONNECTION_RESET", "SSL handshake", "getaddrinfo failed", "boom", "connection refused", "503 try again"]
+    e = _t(spark, d, "events").select("event_id", F.element_at(F.array(*map(F.lit, messages)), (F.col("event_id") % 8 + 1).cast("int")).alias("m"), (F.col("event_id") % 6).alias("i"))
+    return e.select("event_id", signals.failure_class(F.col("m")).alias("kind"), signals.retryable(F.col("m")).alias("retryable"), signals.backoff(F.col("i"), 0.5, 8).alias("wait"))
+
+
+@query
+def q_certificate_days(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, "not a date").otherwise(F.date_format("o_orderdate", "MMM d HH:mm:ss yyyy")).alias("until"))
+    at = signals.certificate_date(F.col("until"))
+    return o.select("o_orderkey", signals.days_left(at, F.lit("1998-01-01").cast("date")).cast("long").alias("days_left"), F.coalesce(F.year(at), F.lit(-1)).cast("long").alias("year"))
+
+
+@query
+def q_infra_seed(spark, d):
+    k = F.col("c_custkey")
+    return _t(spark, d, "customer").select("c_custkey", infra.seed(F.when(k % 3 == 0, "NA").when(k % 3 == 1, " "), F.when(k % 2 == 0, F.col("c_mktsegment")), F.when(k % 5 == 0, F.col("c_name"))).alias("seed"))
+
+
+@query
+def q_lookup_fanout(spark, d):
+    """Each distinct host is looked up once; hosts without an entry are 'no_records'."""
+    p = _t(spark, d, "pages").select("page_id", urls.hostname(F.col("url")).alias("host"))
+    answers = p.where("page_id % 3 = 0").groupBy("host").agg(F.min("page_id").alias("ip")).withColumn("status", F.lit("resolved"))
+    return infra.looked_up(p, "host", answers, {"status": F.lit("no_records"), "ip": F.lit(-1)}).select("page_id", "host", "ip", "status")
+
+
+@query
+def q_registration_fields(spark, d):
+    doc = F.concat(F.lit('{"entities":[{"vcardArray":["vcard",[["version",{},"text","4.0"],["fn",{},"text","'), F.col("s_name"), F.lit('"]]]}],"events":[{"eventAction":"registration","eventDate":"2020-01-0'), (F.col("s_suppkey") % 9 + 1).cast("string"), F.lit('"}],"nameservers":[{"ldhName":"NS1.X"},{"ldhName":"NS2.X"}]}'))
+    doc = F.when(F.col("s_suppkey") % 5 == 0, F.lit("{}")).otherwise(doc)
+    return _t(spark, d, "supplier").select("s_suppkey", *[c.alias(n) for n, c in infra.registration(doc).items()])
+
+
+@query
+def q_resume_remaining(spark, d):
+    keys = _t(spark, d, "pages").select("page_id", hashing.record_key(F.col("url"), F.lit("book")).alias("record_key"))
+    return infra.remaining(keys, keys.where("page_id % 2 = 0"), ["record_key"])
+
+
+@query
+def q_live_workers(spark, d):
+    beats = _t(spark, d, "events").select("user_id", "event_id", "event_type")
+    return infra.live_workers(beats, "user_id", "event_id", F.col("event_type") == "error")
+
+
+@query
+def q_parity_check(spark, d):
+    o = _t(spark, d, "orders")
+    left = o.where("o_orderkey % 10 <> 0").select("o_orderkey", "o_orderstatus", "o_custkey")
+    right = o.where("o_orderkey % 11 <> 0").select("o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"), F.when(F.col("o_orderkey") % 13 != 0, F.col("o_custkey")).alias("o_custkey"))
+    return infra.differing(left, right, "o_orderkey", ["o_orderstatus", "o_custkey"])
+
+
+@query
+def q_filled_catalogue(spark, d):
+    """A sheet whose regions stand at their first row only, filled downwards."""
+    n = _t(spark, d, "nation").select("n_nationkey", "n_name", F.when(F.col("n_nationkey") % 4 == 0, F.col("n_regionkey").cast("string")).otherwise("").alias("region"))
+    return readers.filled_catalogue(n, "region", "n_nationkey")
+
+
+@query
+def q_whitelist_first_match(spark, d):
+    """Parts against suppliers' numbers: the first that the condition accepts, in order."""
+    left = _t(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_size")
+    right = _t(spark, d, "nation").select("n_nationkey", "n_name")
+    return matching.first_match(left, right, (F.col("p_size") + F.col("n_nationkey")) % 7 == 0, "n_nationkey").select("id", "n_nationkey", "n_name")
+
+
 def _folder(spark: SparkSession) -> str:
     """The cluster's shared folder for stream checkpoints and outputs; a folder of our own where none is named."""
     sc = spark.sparkContext
