@@ -277,4 +277,10 @@ j AS (SELECT coalesce(o_orderkey, k) AS o_orderkey, CASE WHEN k IS NULL THEN 'le
 SELECT * FROM j WHERE problem <> ''""",
     "q_filled_catalogue": "SELECT n_nationkey, n_name, last_value(CASE WHEN n_nationkey % 4 = 0 THEN CAST(n_regionkey AS VARCHAR) END IGNORE NULLS) OVER (ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS region FROM nation",
     "q_whitelist_first_match": "SELECT id, n_nationkey, n_name FROM (SELECT p_partkey AS id, n_nationkey, n_name, row_number() OVER (PARTITION BY p_partkey ORDER BY n_nationkey) AS r FROM part, nation WHERE (p_size + n_nationkey) % 7 = 0) WHERE r = 1",
+    "q_adaptive_limits": """
+WITH p AS (SELECT event_type, event_id, greatest(1, event_id % 9 + 1) AS n, event_id % 5 AS f, event_id % 4 AS t FROM events),
+r AS (SELECT event_type, list({l: 400, run: CAST(t / n >= 0.35 OR (f + t) / n >= 0.70 AS INTEGER), down: 0} ORDER BY event_id) AS ticks FROM p GROUP BY event_type),
+q AS (SELECT event_type, list_reduce(ticks, lambda s, x: CASE WHEN x.run = 1 AND s.run + 1 >= 2 AND s.l > 50 THEN {l: greatest(50, s.l - 4), run: 0, down: s.down + 1}
+  ELSE {l: s.l, run: CASE WHEN x.run = 1 THEN s.run + 1 ELSE 0 END, down: s.down} END, {l: 400, run: 0, down: 0}) AS z FROM r)
+SELECT event_type, z.l AS next_limit, z.down AS downshifts FROM q""",
 }
