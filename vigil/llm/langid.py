@@ -57,7 +57,7 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, score) of a whole text."""
         tokens = _LETTERS.findall(text.lower()) if text else []
-        if not tokens or not self.languages:
+        if not tokens or not self.languages or not any(c.isalpha() for c in text):  # superscripts and the like are no letters
             return UNKNOWN, 0.0
         known, word = self.words, self.word
         total = np.zeros(len(self.languages))
