@@ -52,6 +52,22 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bits of the filter of only(): 131,072 words of 64 bits, 2 MB at most to broadcast.
+MASK = 1 << 23
+
+
+def only(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of df whose key (a long) may be the one column of ids: those that a Bloom filter of a fixed size lets through.
+
+    It is to save a shuffle the rows that its join will drop anyway. With many more ids than bits it lets all rows through.
+    """
+    (name,) = ids.columns
+    place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(MASK))
+    words = ids.select(place(name).alias("__p")).groupBy(F.expr("__p div 64").alias("__w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(__p % 64 as int))")).alias("__bits"))
+    there = df.withColumn("__q", place(key)).join(F.broadcast(words), F.expr("__q div 64") == F.col("__w"))
+    return there.where(F.call_function("getbit", F.col("__bits"), (F.col("__q") % 64).cast("int")) == 1).drop("__q", "__w", "__bits")
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import U64, fold, hashes, pair_hash, partitions, small_batches, stash, tables
+from vigil.llm.common import U64, fold, hashes, only, pair_hash, partitions, small_batches, stash, tables
 from vigil.llm.components import components
 
-#: Values that a sketch retains, slots of a signature, documents of one block of a long inverted list, partners of one task's owner.
+#: Values that a sketch retains, slots of a signature, documents of one block of a large group, partners of one task's owner.
 K, SLOTS, BLOCK, PARTNERS = 64, 64, 1024, 256
 SETS = "doc_id long, n long, sid binary, sketch array<long>, sig binary"
 
@@ -83,8 +83,9 @@ def size_fits(a: Column, b: Column, t: float) -> Column:
 def estimated(pairs: DataFrame, nodes: DataFrame, t: float) -> DataFrame:
     """pairs(a, b) whose Jaccard similarity, estimated on the union's bottom-k sketch, isn't far below t: of the least K values
     of both sets together, how many lie in both."""
-    left = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
-    right = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
+    pairs = stash(pairs)
+    left = only(nodes.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a", pairs.select("a"))
+    right = only(nodes.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b", pairs.select("b"))
     union = F.slice(F.array_sort(F.array_union("x", "y")), 1, K)
     return (
         pairs.join(left, "a")
@@ -104,7 +105,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("salts"))
     salted = stash(pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt")))
     asked = salted.select("a", "salt", F.lit(1).alias("part"), F.col("b").alias("want")).union(salted.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("part"), F.col("a").alias("want")))
-    texts = asked.join(docs, F.col("want") == F.col("doc_id")).select("a", "salt", "part", "want", "text")
+    texts = asked.join(only(docs, "doc_id", asked.select("want")), F.col("want") == F.col("doc_id")).select("a", "salt", "part", "want", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner, own = None, None
@@ -126,52 +127,130 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     return texts.repartition(partitions(docs.sparkSession), "a", "salt").sortWithinPartitions("a", "salt", "part").mapInArrow(work, "u long, v long").distinct()
 
 
-def listed_pairs(lists: DataFrame, t: float) -> DataFrame:
-    """Pairs within inverted lists(v, i, j, side, node, n, label, sig) of different labels, and of sizes and signatures that fit.
+def in_blocks(rows: DataFrame, key: str, node: str, block: int) -> DataFrame:
+    """rows with i, j and side: groups of equal key are dealt into blocks of about `block` rows by a hash of the node, and each row goes to
+    the pairs of blocks (i <= j) that its own is part of (side 1: as the second), so that any two rows of a group meet in one of them."""
+    sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / block).cast("int").alias("__blocks")).withColumnRenamed(key, "__key")
+    mine, other = F.col("__mine"), F.col("__other")
+    dealt = rows.join(sizes, F.col(key) == F.col("__key")).withColumn("__mine", F.pmod(F.xxhash64(node), F.col("__blocks")).cast("int")).withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
+    return dealt.withColumn("i", F.least(mine, other)).withColumn("j", F.greatest(mine, other)).withColumn("side", (mine > other).cast("int")).drop("__key", "__blocks", "__mine", "__other")
+
+
+def block_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[list[tuple]]]]:
+    """((key, i, j), (rows of side 0, rows of side 1)) from rows (key, i, j, side, ...) in order."""
+    now, sides = None, [[], []]
+    for batch in batches:
+        for key, i, j, side, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (key, i, j) != now:
+                if now:
+                    yield now, sides
+                now, sides = (key, i, j), [[], []]
+            sides[side].append(tuple(row))
+    if now:
+        yield now, sides
 
-    Rows of one (v, i, j) are a block of a list (i = j), or two blocks (side 0 and 1) whose rows are compared across. Signatures
-    of sets with similarity t differ in at most as many slots as the sets have values of their own, and in no more than
-    half of the slots but for a chance of about 1e-8.
-    """
 
-    def compare(left: list[tuple], right: list[tuple] | None) -> Iterator[tuple[int, int]]:
-        def columns(x: list[tuple]):
-            return np.array([r[0] for r in x]), np.array([r[1] for r in x]), np.array([r[2] for r in x]), np.frombuffer(b"".join(r[3] for r in x), np.uint8).reshape(len(x), SLOTS)
+def fitting(n: np.ndarray, label: np.ndarray, sig: np.ndarray, left: int, t: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, rows that fit it): of different labels, of sizes and signatures that similarity t allows. With left > 0, only the
+    first `left` rows are paired, and with those after them; else all with all.
 
-        node, n, label, sig = columns(left)
-        node2, n2, label2, sig2 = columns(right) if right is not None else (node, n, label, sig)
-        for i in range(len(node)):
-            rest = slice(i + 1, None) if right is None else slice(None)
-            low, high = np.minimum(n[i], n2[rest]), np.maximum(n[i], n2[rest])
-            fits = np.flatnonzero((label2[rest] != label[i]) & (low >= high * (t - 1e-9)))
+    Signatures differ in at most as many slots as the sets have values of their own, and in no more than half of the slots but for a
+    chance of about 1e-8.
+    """
+    for i in range(left or len(n)):
+        rest = slice(left or i + 1, None)
+        low, high = np.minimum(n[i], n[rest]), np.maximum(n[i], n[rest])
+        fits = np.flatnonzero((label[rest] != label[i]) & (low >= high * (t - 1e-9)))
+        if len(fits):
+            differ = (sig[rest][fits] != sig[i]).sum(1)
+            fits = fits[differ <= np.minimum(SLOTS // 2, np.floor((low + high)[fits] * (1 - t) / (1 + t) + 1e-9))]
             if len(fits):
-                differ = (sig2[rest][fits] != sig[i]).sum(1)
-                most = np.minimum(SLOTS // 2, np.floor((low + high)[fits] * (1 - t) / (1 + t) + 1e-9))
-                for k in fits[differ <= most]:
-                    yield int(node[i]), int(node2[rest][k])
+                yield i, fits + rest.start
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, sides, out = None, ([], []), []
 
-        def close() -> None:
-            if key and len(sides[0]) + len(sides[1]) > 1:
-                out.extend(compare(sides[0], None) if key[1] == key[2] else compare(*sides) if sides[0] and sides[1] else ())
+def suspects(grouped: DataFrame, t: float) -> DataFrame:
+    """(hub, node, label): the rows of grouped(hub, i, j, side, node, n, label, sig) that fit another one of their group."""
 
-        for batch in batches:
-            for v, i, j, side, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (v, i, j) != key:
-                    close()
-                    key, sides = (v, i, j), ([], [])
-                sides[side].append(row)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([f(x) for x in out], pa.int64()) for f in (min, max)], names=["a", "b"])
-                out.clear()
-        close()
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for (hub, i, j), sides in block_groups(batches):
+            both = sides[0] + sides[1]
+            if len(both) > 1 and (i == j or (sides[0] and sides[1])):
+                node, n, label = (np.array([r[k] for r in both]) for k in range(3))
+                sig = np.frombuffer(b"".join(r[3] for r in both), np.uint8).reshape(len(both), SLOTS)
+                hit = np.zeros(len(both), bool)
+                for a, fits in fitting(n, label, sig, len(sides[0]) if i < j else 0, t):
+                    hit[a] = hit[fits] = True
+                out += [(hub, int(node[k]), int(label[k])) for k in np.flatnonzero(hit)]
+            if len(out) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], names=["hub", "node", "label"])
+                out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array([f(x) for x in out], pa.int64()) for f in (min, max)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], names=["hub", "node", "label"])
+
+    n = partitions(grouped.sparkSession)
+    return grouped.select("hub", "i", "j", "side", "node", "n", "label", "sig").repartition(n, "hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(work, "hub long, node long, label long").distinct()
+
+
+def common_counts(sets: list[np.ndarray], left: int) -> np.ndarray:
+    """Sizes of the intersections of the first `left` sets with the others (left > 0) or of all with all, by products of membership
+    matrices over the values that several sets hold, some columns at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    place = np.cumsum(shared) - 1
+    keep = shared[column]
+    owner, column = owner[keep], place[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((left or len(sets), len(sets) - left), np.float32)
+    for low in range(0, int(shared.sum()), 2048):
+        a, b = np.searchsorted(column, (low, low + 2048))
+        member = np.zeros((len(sets), 2048), np.float32)
+        member[owner[a:b], column[a:b] - low] = 1
+        out += member[: left or len(sets)] @ member[left:].T
+    return out
+
+
+def linked(grouped: DataFrame, width: int, percent: int) -> DataFrame:
+    """(u, v): links that connect what is linked in grouped(hub, i, j, side, node, label, text), by exact Jaccard on full sets.
+
+    Of each pair of blocks only as many links leave the task as are needed to connect its rows.
+    """
+    t = percent / 100
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, i, j), sides in block_groups(batches):
+            both = sides[0] + sides[1]
+            if len(both) < 2 or (i < j and not (sides[0] and sides[1])):
+                continue
+            left = len(sides[0]) if i < j else 0
+            node, label = (np.array([r[k] for r in both]) for k in range(2))
+            sets = [shingles(r[2], width) for r in both]
+            n = np.array([len(s) for s in sets])
+            sig = np.frombuffer(b"".join(map(signature, sets)), np.uint8).reshape(len(both), SLOTS)
+            pairs = [(a, fits) for a, fits in fitting(n, label, sig, left, t)]
+            counts = common_counts(sets, left) if sum(len(f) for _, f in pairs) > 4 * len(both) else None
+            root, out = list(range(len(both))), []
+
+            def find(x: int, root: list[int] = root) -> int:
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            for a, fits in pairs:
+                same = counts[a][fits - left] if counts is not None else np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for b in fits])
+                for b in fits[100 * same.astype(np.int64) >= percent * (n[a] + n[fits] - same.astype(np.int64))]:
+                    x, y = find(a), find(int(b))
+                    if x != y:
+                        root[x] = y
+                        out.append((int(node[a]), int(node[b])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
-    n = partitions(lists.sparkSession)
-    return lists.select("v", "i", "j", "side", "node", "n", "label", "sig").repartition(n, "v", "i", "j").sortWithinPartitions("v", "i", "j").mapInArrow(work, "a long, b long").distinct()
+    n = partitions(grouped.sparkSession)
+    return grouped.select("hub", "i", "j", "side", "node", "label", "text").repartition(n, "hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(work, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,8 +262,10 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
     3. In each list, all documents are paired with its hub, the one whose values lie in the longest lists: as many pairs as
        rows, and where thousands of near copies share their values, their source is the hub. Union-sketch estimation filters
        the pairs, exact Jaccard on the full sets verifies them, and components are labelled.
-    4. Lists that still hold several labels are compared within themselves, but only across labels, by signatures that
-       go with their rows; long lists go in blocks, over many tasks. What passes is estimated and verified as before.
+    4. Lists with one hub make a group. Groups that still hold several labels are compared within themselves, but only across
+       labels: by signatures that go with their rows, to find the documents that fit another one; then these by
+       exact Jaccard on the full sets, of which only links that connect something leave the task. Large groups go in pairs of
+       blocks, over many tasks.
     5. The components of all links give the result. No link between different sets is given up: beyond the chances of
        about 1e-8 a pair in (2) and (4), only pairs that are already connected go unverified.
 
@@ -209,14 +290,13 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
     hubbed = prefix.join(hubs, "v").where((F.col("node") != F.col("hub.node")) & size_fits(F.col("n"), F.col("hub.n"), t)).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
     links = stash(verified(estimated(hubbed, nodes, t), base, width, percent))
     labels = components(links)
-    labelled = prefix.join(labels.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").withColumn("label", F.coalesce("root", "node")).select("v", "node", "n", "label")
-    mixed = labelled.groupBy("v").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    placed = labelled.join(mixed.select("v", blocks.alias("blocks")), "v").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = placed.select("v", "node", "n", "label", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select("v", "node", "n", "label", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
-    signed = dealt.join(nodes.select("node", "sig"), "node")
-    rest = listed_pairs(signed, t)
-    more = stash(verified(estimated(rest, nodes, t), base, width, percent))
+    listed = prefix.join(hubs, "v").select(F.col("hub.node").alias("hub"), "node", "n").distinct()
+    labelled = listed.join(labels.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").select("hub", "node", "n", F.coalesce("root", "node").alias("label"))
+    mixed = labelled.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("hub")
+    signed = in_blocks(labelled.join(mixed, "hub"), "hub", "node", BLOCK).join(nodes.select(F.col("node").alias("own"), "sig"), F.col("node") == F.col("own"))
+    rest = stash(suspects(signed, t))
+    full = rest.join(only(base, "doc_id", rest.select("node")), F.col("node") == F.col("doc_id")).select("hub", "node", "label", "text")
+    more = stash(linked(in_blocks(full, "hub", "node", BLOCK), width, percent))
     final = components(links.union(more))
     of_node = sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("node")).join(final.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").select(F.col("sid").alias("of"), F.coalesce("root", "node").alias("least"))
     own = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
