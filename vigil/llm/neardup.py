@@ -258,7 +258,8 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
 
     1. Each set is sketched: its K least values of one hash function. Rows with equal sets become one node, the least doc_id.
     2. The retained values' inverted lists give each value's length; of a sketch, only its rarest values are listed, as many as
-       two sketches need to meet (prefix_length()). A list of one, and with it most values, falls away.
+       two sketches need to meet (prefix_length()). Lists are cut into classes of sizes that similarity allows. A list of one, and
+       with it most values, falls away.
     3. In each list, all documents are paired with its hub, the one whose values lie in the longest lists: as many pairs as
        rows, and where thousands of near copies share their values, their source is the hub. Union-sketch estimation filters
        the pairs, exact Jaccard on the full sets verifies them, and components are labelled.
@@ -285,7 +286,12 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
     by_node = postings.join(lengths, "v").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("values"), F.sum(F.log2("c")).alias("centre"))
     alone = F.least(F.col("n"), F.lit(K)) - F.size("values")  # values that no other sketch has are the rarest
     take = F.greatest(F.lit(0), prefix_length(F.col("n"), t) - alone).cast("int")
-    prefix = stash(by_node.select("node", "n", "centre", F.explode(F.slice("values", F.lit(1), take)).alias("x")).select("node", "n", "centre", F.col("x.v").alias("v")))
+    listed_values = by_node.select("node", "n", "centre", F.explode(F.slice("values", F.lit(1), take)).alias("x"))
+    # lists are cut by size: partners' sizes are of the same or the next class, so each row stands in its own and the next one's list
+    size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / t)) + F.lit(1e-9))
+    cut = listed_values.select("node", "n", "centre", F.col("x.v").alias("value"), F.explode(F.array(size_class, size_class + 1)).alias("class")).select("node", "n", "centre", F.xxhash64("value", "class").alias("v"))
+    paired = cut.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").select("v")
+    prefix = stash(cut.join(paired, "v"))
     hubs = prefix.groupBy("v").agg(F.max(F.struct("centre", "node", "n")).alias("hub"))
     hubbed = prefix.join(hubs, "v").where((F.col("node") != F.col("hub.node")) & size_fits(F.col("n"), F.col("hub.n"), t)).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
     links = stash(verified(estimated(hubbed, nodes, t), base, width, percent))
