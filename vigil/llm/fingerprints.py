@@ -41,11 +41,17 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     def short(x: Column) -> Column:
         return F.substring(F.md5(x), 1, 8)
 
+    def there(x: Column) -> Column:
+        return x.isNotNull()
+
+    # filter and sort_array, not array_compact and array_sort: these bring lambdas of their own, different in each use of df, and then
+    # Spark doesn't see that two joins of df could share one exchange
+    chains = F.filter(F.zip_with("__pairs", F.slice("__pairs", F.lit(3), F.greatest(F.size("__pairs") - 2, F.lit(0))), chain), there)
     return (
         df.withColumn("__tokens", tokens)
-        .withColumn("__pairs", F.array_compact(pairs))
-        .withColumn("__chains", F.array_distinct(F.array_compact(F.zip_with("__pairs", F.slice("__pairs", F.lit(3), F.greatest(F.size("__pairs") - 2, F.lit(0))), chain))))
-        .withColumn("__sigs", F.array_sort(F.array_distinct(F.transform("__chains", short))))
+        .withColumn("__pairs", F.filter(pairs, there))
+        .withColumn("__chains", F.array_distinct(chains))
+        .withColumn("__sigs", F.sort_array(F.array_distinct(F.transform("__chains", short))))
         .withColumn(out, F.when(F.size("__sigs") == 0, F.md5(F.col(text))).otherwise(F.array_join("__sigs", "-")))
         .drop("__tokens", "__pairs", "__chains", "__sigs")
     )
@@ -108,16 +114,26 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     their predecessor gets. A row with null doc_id has no next document: its edited text is just cut, and near_next is 0. No rows give
     no rows; other columns are ignored.
     """
-    base = with_fingerprint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")), "text", "fingerprint")
-    ids = stash(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.coalesce(F.length("text"), F.lit(0))).alias("n"), F.count("*").alias("rows")))
+    if dict(docs.dtypes)["doc_id"] != "bigint":  # an alias without need would keep the joins from sharing the exchange
+        docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    plain = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    # both joins read this, so that the texts are fingerprinted and shuffled once
+    base = with_fingerprint(plain.where("doc_id IS NOT NULL"), "text", "fingerprint")
+    ids = stash(plain.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.length("text")).alias("n"), F.count("*").alias("rows")))
     repeated = ids.where("rows > 1").limit(1).count() > 0
     links = followers(ids.select("doc_id", "n")).select(F.col("next_id").alias("sender"), F.col("doc_id").alias("to"), F.floor(F.col("n") / 4).cast("int").alias("most"))
     heads = base.join(links.hint("shuffle_merge"), F.col("doc_id") == F.col("sender")).select("to", F.substring("text", F.lit(1), F.col("most")).alias("head"), F.col("fingerprint").alias("next_fingerprint"))
     if repeated:
         heads = heads.groupBy("to").agg(F.min(F.struct("head", "next_fingerprint")).alias("x")).select("to", "x.head", "x.next_fingerprint")
-    n = F.length("text")
+    followed = base.join(heads.hint("shuffle_merge"), F.col("doc_id") == F.col("to"), "left").drop("to")
+    nameless = with_fingerprint(plain.where("doc_id IS NULL"), "text", "fingerprint").withColumns({"head": F.lit(None).cast("string"), "next_fingerprint": F.lit(None).cast("string")})
+    return _edited(followed).union(_edited(nameless))
+
+
+def _edited(rows: DataFrame) -> DataFrame:
+    """The result for rows(doc_id, text, fingerprint, head, next_fingerprint)."""
     q = F.floor(F.col("n_chars") / 4).cast("int")
-    joined = base.join(heads.hint("shuffle_merge"), F.col("doc_id") == F.col("to"), "left").withColumn("n_chars", n.cast("long"))
+    joined = rows.withColumn("n_chars", F.length("text").cast("long"))
     edited = joined.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - q).cast("int")), F.substring(F.coalesce("head", F.lit("")), F.lit(1), q))).drop("text", "head")
     done = with_fingerprint(edited, "edited", "edited_fingerprint")
     return done.select(
