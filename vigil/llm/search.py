@@ -100,17 +100,18 @@ def block_max_wand(lists: list[tuple[float, Postings]], k: int) -> list[tuple[fl
     """The k best (score, document) of a shard; of equal scores the least documents. lists: weight and postings of each term.
 
     Documents are visited in order. The pivot is the first where the terms' bounds exceed the k-th best score so far; if
-    the bounds of the blocks that hold it don't, the search jumps behind the first of these blocks that ends.
+    the bounds of the blocks that hold it don't, the search jumps behind the first of these blocks that ends. A later document
+    loses a tie, so what can only equal that score (groups of copies) is jumped over, too.
     """
     cursors = [[p.docs.item(0), 0, w, p, w * p.best] for w, p in lists]
     heap: list[tuple[float, int]] = []  # (score, -document), the worst first
     while cursors:
         cursors.sort(key=lambda c: c[0])
-        enough = heap[0][0] * (1 - 1e-12) if len(heap) == k else -1.0
+        enough = heap[0][0] * (1 + 1e-12) if len(heap) == k else -1.0
         bound, pivot = 0.0, -1
         for i, c in enumerate(cursors):
             bound += c[4]
-            if bound >= enough:
+            if bound > enough:
                 pivot = i
                 break
         if pivot < 0:
@@ -124,7 +125,7 @@ def block_max_wand(lists: list[tuple[float, Postings]], k: int) -> list[tuple[fl
             if b < len(c[3].ends):
                 bound += c[2] * c[3].peaks.item(b)
                 end = c[3].ends.item(b) if end is None else min(end, c[3].ends.item(b))
-        if bound >= enough:
+        if bound > enough:
             if cursors[0][0] == doc:
                 total = sum(sorted(c[2] * c[3].factors.item(c[1]) for c in cursors[: pivot + 1]))
                 if len(heap) < k:
