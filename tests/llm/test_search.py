@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -42,6 +43,30 @@ def test_equals_brute_force(docs):
     assert got == {q: s for q, s in want.items() if s}
 
 
+def test_op9_searches_by_all_terms(spark, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(90)}" for _ in range(rng.choice([5, 30, 60]))) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[100]) for i in range(15)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    asked = [(i, t) for i, t in rows if i % 100 == 0]
+    got = {}
+    for r in search.op9(spark, str(tmp_path)).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.doc_id, round(r.score, 8)))
+    assert {q: [s for _, s in x] for q, x in got.items()} == brute(rows, asked, 10, None)
+    assert [d for d, _ in got[100]] == [100, *range(1000, 1009)]
+    monkeypatch.setattr(search, "TERMS", 60)
+    again = search.op9(spark, str(tmp_path)).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.doc_id) for r in again] == [(q, d) for q in sorted(got) for d, _ in got[q]]
+
+
+def test_blocks_hold_whole_queries(spark):
+    sizes = {q: 1 + q * 7 % 40 for q in range(60)} | {60: 500}
+    terms = spark.createDataFrame([(q, t, 1.0) for q, n in sizes.items() for t in range(n)], "query_id long, term long, weight double")
+    blocks = [Counter(r.query_id for r in b.collect()) for b in search.blocks_of(terms, 200)]
+    assert len(blocks) > 5 and sum(blocks, Counter()) == sizes and sum(map(len, blocks)) == len(sizes)
+    assert all(b.total() <= 200 or 60 in b for b in blocks)
+
+
 def test_no_rows(docs, none):
     assert search.search(none, none.select(F.col("doc_id").alias("query_id"), "text")).count() == 0
     assert search.search(docs, none.select(F.col("doc_id").alias("query_id"), "text")).count() == 0

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from vigil.llm.common import U64, fold, hashes, small_batches, stash, tables
 from vigil.llm.lm import squeeze, stretch
 
-#: Postings of a block; queries that are broadcast together, at most.
-BLOCK, QUERIES = 64, 20_000
+#: Postings of a block; terms of queries that are broadcast together (24 bytes each); terms up to which a query goes by block_max_wand().
+BLOCK, TERMS, SHORT = 64, 500_000, 16
 SEGMENT = "n_docs long, n_words long, ids binary, lengths binary, terms binary, starts binary, docs binary, tfs binary"
 _SEGMENT = pa.schema([("n_docs", pa.int64()), ("n_words", pa.int64()), *((c, pa.binary()) for c in ("ids", "lengths", "terms", "starts", "docs", "tfs"))])
 
@@ -68,8 +68,8 @@ def frequencies(index: DataFrame) -> DataFrame:
     return index.select("terms", "starts", "docs").mapInArrow(work, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
-def query_terms(queries: DataFrame, stats: DataFrame, n_docs: int, most: int) -> DataFrame:
-    """(query_id, term, weight): of each query (query_id, text) the `most` terms with the greatest tf * idf over its whole text."""
+def query_terms(queries: DataFrame, stats: DataFrame, n_docs: int, most: int | None) -> DataFrame:
+    """(query_id, term, weight): the terms of each query (query_id, text) over its whole text; all, or the `most` with the greatest tf * idf."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,8 +79,11 @@ def query_terms(queries: DataFrame, stats: DataFrame, n_docs: int, most: int) ->
 
     found = queries.mapInArrow(work, "query_id long, term long, tf long").groupBy("query_id", "term").agg(F.sum("tf").alias("tf"))
     idf = F.log(1 + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    best = Window.partitionBy("query_id").orderBy((F.col("tf") * F.col("weight")).desc(), "term")
-    return found.join(stats, "term").withColumn("weight", idf).withColumn("r", F.row_number().over(best)).where(F.col("r") <= most).select("query_id", "term", "weight")
+    weighed = found.join(stats, "term").withColumn("weight", idf)
+    if most is not None:
+        best = Window.partitionBy("query_id").orderBy((F.col("tf") * F.col("weight")).desc(), "term")
+        weighed = weighed.withColumn("r", F.row_number().over(best)).where(F.col("r") <= most)
+    return weighed.select("query_id", "term", "weight")
 
 
 class Postings:
@@ -153,13 +156,43 @@ def block_max_wand(lists: list[tuple[float, Postings]], k: int) -> list[tuple[fl
     return [(s, -d) for s, d in sorted(heap, reverse=True)]
 
 
-def search(docs: DataFrame, queries: DataFrame, *, k: int = 10, most_terms: int = 16, k1: float = 1.2, b: float = 0.75, index: DataFrame | None = None) -> DataFrame:
+def best_of_all(lists: list[tuple[float, np.ndarray, np.ndarray]], n: int, k: int) -> list[tuple[float, int]]:
+    """What block_max_wand() gives, by scoring each of n documents. lists: weight, documents and factors of each term.
+
+    The bounds of many terms add up to more than any document has, so nothing would be jumped over. A document's score adds up in
+    the order of the terms, so copies have equal scores.
+    """
+    weights = np.repeat([x[0] for x in lists], [len(x[1]) for x in lists])
+    scores = np.bincount(np.concatenate([x[1] for x in lists]), weights * np.concatenate([x[2] for x in lists]), n)
+    least = np.partition(scores, n - k)[n - k] if n > k else 0.0
+    above = np.flatnonzero(scores > least)
+    if len(above) < k and least > 0:
+        above = np.concatenate([above, np.flatnonzero(scores == least)[: k - len(above)]])
+    return [(scores.item(d), int(d)) for d in above[np.lexsort((above, -scores[above]))]]
+
+
+def blocks_of(terms: DataFrame, most: int) -> list[DataFrame]:
+    """terms(query_id, term, weight) in blocks of whole queries: of at most `most` rows, but for hash buckets of queries that alone have more."""
+    n = max(1, -(-8 * terms.count() // most))
+    bucket = F.pmod(F.xxhash64("query_id"), F.lit(n))
+    blocks, size = [[0]], 0
+    for at, rows in sorted(terms.groupBy(bucket.alias("b")).count().collect()):
+        if size and size + rows > most:
+            blocks.append([at])
+            size = 0
+        blocks[-1][1:] = [at]
+        size += rows
+    return [terms.where(bucket.between(b[0], b[-1])) for b in blocks]
+
+
+def search(docs: DataFrame, queries: DataFrame, *, k: int = 10, most_terms: int | None = 16, k1: float = 1.2, b: float = 0.75, index: DataFrame | None = None) -> DataFrame:
     """(query_id, rank, doc_id, score): for each of queries(query_id, text) the k best of docs(doc_id, text) by BM25, exactly.
 
-    A query is searched by the most_terms terms of its whole text with the greatest tf * idf, each weighted by its idf. Every
-    document is in the index; shards are searched by block-max WAND with the statistics of all documents, and what each
-    has as its k best is merged. Shards hold parts of the table and are of bounded size. Queries go to the shards in
-    blocks of at most 20,000, whose terms (16 each at 16 bytes) are broadcast: 6 MB at most.
+    A query is searched by the distinct terms of its whole text, each weighted by its idf: with most_terms by the so many of
+    greatest tf * idf only, with None by all. Every document is in the index; shards are searched with the statistics of all
+    documents, and what each has as its k best is merged. Queries of up to 16 terms go by block-max WAND, longer ones score all
+    documents of a shard that have any of their terms. Shards hold parts of the table and are of bounded size. Queries go to
+    the shards in blocks of at most 500,000 terms, which are broadcast one after another (12 MB) and each read the index.
 
     Terms are words as of common.fold(). Scores of equal size go by doc_id. Documents and queries without words match nothing;
     null ids are left out; repeated rows are documents of their own, repeated queries add up; no rows give no rows; other
@@ -172,15 +205,17 @@ def search(docs: DataFrame, queries: DataFrame, *, k: int = 10, most_terms: int
     mean = n_words / max(1, n_docs)
     asked = queries.where("query_id IS NOT NULL").select(F.col("query_id").cast("long").alias("query_id"), "text")
     terms = stash(query_terms(asked, frequencies(shards), n_docs, most_terms))
-    n_queries = terms.select(F.count_distinct("query_id")).first()[0]
-    blocks = max(1, -(-n_queries // (QUERIES // 2)))  # half full on average, so that none is over
     found = None
-    for block in range(blocks):
-        mine = terms.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).orderBy("query_id", "term").toPandas()
-        if len(mine) > QUERIES * most_terms:
-            raise ValueError("a block of queries is too large to broadcast")
-        shipped = spark.sparkContext.broadcast((mine["query_id"].to_numpy(np.int64), mine["term"].to_numpy(np.int64).view(U64), mine["weight"].to_numpy(np.float64)))
+    blocks = blocks_of(terms, TERMS)
+    for block in blocks:
+        mine = block.toArrow()
+        query, term, weight = (mine[c].to_numpy() for c in ("query_id", "term", "weight"))
+        order = np.lexsort((term, query))
+        shipped = spark.sparkContext.broadcast((query[order], term[order].view(U64), weight[order]))
         part = shards.mapInArrow(_searcher(shipped, k, k1, b, mean), "query_id long, doc_id long, score double")
+        if len(blocks) > 1:
+            part = stash(part)
+            shipped.destroy()
         found = part if found is None else found.union(part)
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
@@ -189,15 +224,16 @@ def search(docs: DataFrame, queries: DataFrame, *, k: int = 10, most_terms: int
 def _searcher(shipped, k: int, k1: float, b: float, mean: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query, term, weight = shipped.value
+        asked, which = np.unique(term, return_inverse=True)
+        heads = np.flatnonzero(np.diff(query, prepend=query[:1] - 1))
+        bounds = np.append(heads, len(query))
         for batch in batches:
             for shard in batch.to_pylist():
                 terms, starts = stretch(shard["terms"], U64, True), stretch(shard["starts"], np.uint32, True)
                 if not len(terms) or not len(term):
                     continue
-                at = np.minimum(np.searchsorted(terms, term), len(terms) - 1)
-                hits = np.flatnonzero(terms[at] == term)
-                if not len(hits):
-                    continue
+                at = np.minimum(np.searchsorted(terms, asked), len(terms) - 1)
+                at = np.where(terms[at] == asked, at, -1)[which]
                 ids, lengths = np.frombuffer(shard["ids"], np.int64), stretch(shard["lengths"], np.uint32, False)
                 # documents by id, so that ties go by doc_id within the shard
                 by_id = np.argsort(ids, kind="stable")
@@ -205,19 +241,26 @@ def _searcher(shipped, k: int, k1: float, b: float, mean: float):
                 place[by_id] = np.arange(len(ids))
                 docs, tfs = stretch(shard["docs"], np.uint32, False), stretch(shard["tfs"], np.uint32, False)
                 norm = k1 * (1 - b + b * lengths / mean)
-                ends, made, out = np.append(starts, len(docs)), {}, []
+                ends, made, out = np.append(starts, len(docs)).tolist(), {}, []
+                factors, docs = tfs * (k1 + 1) / (tfs + norm[docs]), place[docs]
 
                 def postings(i: int) -> Postings:
                     if i not in made:
-                        d, tf = docs[ends[i] : ends[i + 1]], tfs[ends[i] : ends[i + 1]].astype(np.float64)
-                        factors, where = tf * (k1 + 1) / (tf + norm[d]), place[d]
+                        where, mine = docs[ends[i] : ends[i + 1]], factors[ends[i] : ends[i + 1]]
                         order = np.argsort(where)
-                        made[i] = Postings(where[order], factors[order])
+                        made[i] = Postings(where[order], mine[order])
                     return made[i]
 
-                for group in np.split(hits, np.flatnonzero(np.diff(query[hits])) + 1):
-                    for score, doc in block_max_wand([(float(weight[h]), postings(int(at[h]))) for h in group], k):
-                        out.append((int(query[group[0]]), int(ids[by_id[doc]]), score))
+                for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    mine = [(w, i) for w, i in zip(weight[low:high].tolist(), at[low:high].tolist(), strict=True) if i >= 0]
+                    if not mine:
+                        continue
+                    if high - low <= SHORT:
+                        best = block_max_wand([(w, postings(i)) for w, i in mine], k)
+                    else:
+                        best = best_of_all([(w, docs[ends[i] : ends[i + 1]], factors[ends[i] : ends[i + 1]]) for w, i in mine], len(ids), k)
+                    for score, doc in best:
+                        out.append((int(query[low]), int(ids[by_id[doc]]), score))
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.float64())], names=["query_id", "doc_id", "score"])
 
     return work
@@ -225,4 +268,4 @@ def _searcher(shipped, k: int, k1: float, b: float, mean: float):
 
 def op9(spark, sf_dir: str) -> DataFrame:
     docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
-    return search(docs, docs.where("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id"))
+    return search(docs, docs.where("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id"), most_terms=None)
