@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 64) -> DataFrame:
-    """New Parquet files of a folder; a trigger takes so many of them at most (back-pressure)."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = 64) -> DataFrame:
+    """New Parquet files of a folder; a trigger takes so many of them at most (back-pressure), with None all that are there.
+
+    Files come in no order of event time, so with a bound the watermark of one trigger drops older events of the next.
+    """
+    reader = spark.readStream.schema(schema)
+    return (reader if files_per_trigger is None else reader.option("maxFilesPerTrigger", files_per_trigger)).parquet(path)
 
 
 def windowed(events: DataFrame, ts: str, keys: list[str], value: str, *, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
