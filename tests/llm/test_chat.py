@@ -39,6 +39,24 @@ def test_detects_rewritten_history(spark):
     assert rewrites == 0 and [text[a:b] for a, b in spans] == ["### user: a</turn>\n", "### assistant: b</turn>\n"]
 
 
+def test_detects_rewrites_beyond_a_window(spark):
+    def last_20(turns, continued=False):
+        """Keeps the last 20 turns, as templates for a bounded context do."""
+        return chat.template(turns[-20:])
+
+    def system_last(turns, continued=False):
+        """Moves the first turn into the latest."""
+        return "".join(f"<{t}>" for _, t in turns[1:-1]) + f"<{turns[0][1]}|{turns[-1][1]}>"
+
+    said = [("assistant" if t % 2 else "user", f"text {t}") for t in range(40)]
+    df = spark.createDataFrame([(1, t, r, x, 0) for t, (r, x) in enumerate(said)], SCHEMA)
+    (kept,) = chat.format_chats(df, render=last_20, content=lambda x: (0, len(x))).collect()
+    assert (kept.turns, kept.rewrites, kept.formatted) == (40, 20, last_20(said))
+    (moved,) = chat.format_chats(df, render=system_last, content=lambda x: (0, len(x))).collect()
+    assert (moved.turns, moved.rewrites, moved.formatted) == (40, 39, system_last(said))
+    assert chat.format_chats(df).count() == 3 and chat.read_back(chat.format_chats(df)).first().history_rewrites == 0
+
+
 def test_no_rows(spark):
     assert chat.read_back(chat.format_chats(spark.createDataFrame([], SCHEMA))).count() == 0
 

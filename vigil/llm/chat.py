@@ -36,6 +36,10 @@ def template(turns: list[tuple[str, str]], continued: bool = False) -> str:
     return "".join(f"### {escape(r, _CONTROL_ROLE)}: {escape(t)}</turn>\n" for r, t in turns)
 
 
+#: What it writes for a turn depends on that turn alone, so windows of turns join into the rendering of the whole.
+template.turnwise = True
+
+
 def parse(text: str) -> list[tuple[str, int, int]]:
     """(role, start, end) of each turn's still escaped text in what template() has written."""
     out, at = [], 0
@@ -85,7 +89,9 @@ def format_chats(chats: DataFrame, *, render: Callable = template, trained: tupl
     Rows, in the order of their parts within a partition: conv_id, part (from 0), formatted, loss (spans of the trained
     roles' texts in formatted), turns, rewrites (turns of this part that rewrote earlier output).
 
-    Rendering all prefixes costs the square of the turns, so a conversation is rendered in windows: each part holds at
+    A template is a black box: all prefixes of the whole conversation are rendered, and there is one part. That costs the
+    square of the turns, and a task holds the conversation. Only a template with a true attribute `turnwise`, which says that
+    it renders each turn by itself and so can't rewrite, is rendered in windows: each part holds at
     most `window` turns, and after the first the template is told that it continues. The last turn of a part is
     rendered again at the start of the next; if it comes out otherwise there, the template doesn't continue its own
     output, which counts as a rewrite. Time is linear in a conversation's length, and a task holds one window: a
@@ -103,6 +109,7 @@ def format_chats(chats: DataFrame, *, render: Callable = template, trained: tupl
         return parse(turn)[0][1:]
 
     inner = content or text_of
+    most = window if getattr(render, "turnwise", False) else None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("conv_id", pa.int64()), ("part", pa.int64()), ("formatted", pa.string()), ("loss", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("turns", pa.int64()), ("rewrites", pa.int64())])
@@ -126,7 +133,7 @@ def format_chats(chats: DataFrame, *, render: Callable = template, trained: tupl
         conv, part, held, turns, size = object(), 0, None, [], 0
         for c, role, text in rows(batches):
             turn = (role or "", text or "")
-            if c != conv or len(turns) == window:
+            if c != conv or len(turns) == most:
                 if turns:
                     close(conv, part, held, turns)
                     size += len(out[-1]["formatted"])
