@@ -102,3 +102,12 @@ def test_catalogue_and_exports(spark, tmp_path):
     old, new = spark.createDataFrame([(1, "x")], "k int, v string"), spark.createDataFrame([(1, "y"), (2, "z")], "k int, v string")
     assert {r.k: r.v for r in writers.merged_debug(old, new, ["k"]).collect()} == {1: "y", 2: "z"}
     assert writers.packaged(spark.createDataFrame([(" ",), ("v",)], "a string"), {"A": "a"}).collect() == [("NA",), ("v",)]
+
+
+def test_nearest_vectors_in_blocks(spark):
+    refs = spark.range(10_001).select(F.col("id").alias("ref"), F.array(F.cos(F.col("id") / 5000), F.sin(F.col("id") / 5000)).alias("u"))
+    rows = spark.createDataFrame([(7, [1.0, 0.0]), (8, [-1.0, 0.0])], "id long, v array<double>")
+    whole = features.nearest_vectors(rows, refs, 3, block=20_000).orderBy("id", "rank").collect()
+    assert [r.ref for r in whole[:1]] == [0] and len(whole) == 6
+    assert features.nearest_vectors(rows, refs, 3).orderBy("id", "rank").collect() == whole
+    assert features.nearest_vectors(rows, refs, 3, block=1500).orderBy("id", "rank").collect() == whole

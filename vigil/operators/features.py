@@ -35,16 +35,19 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def nearest_vectors(rows: DataFrame, references: DataFrame, k: int) -> DataFrame:
-    """(id, ref, cosine, rank): the k references of greatest cosine for each row; the references are few, which is checked."""
-    n = references.count()
-    if n > 10_000:
-        raise ValueError(f"{n} references; cluster them first")
+def nearest_vectors(rows: DataFrame, references: DataFrame, k: int, block: int = 10_000) -> DataFrame:
+    """(id, ref, cosine, rank): the k references of greatest cosine for each row. References are broadcast in blocks, each of which reads the rows."""
+    blocks = max(1, -(-references.count() // block))
     left = rows.withColumn("na", F.sqrt(dot(F.col("v"), F.col("v"))))
     right = references.withColumn("nb", F.sqrt(dot(F.col("u"), F.col("u"))))
-    scored = left.join(F.broadcast(right), how="cross").withColumn("cosine", F.round(dot(F.col("v"), F.col("u")) / (F.col("na") * F.col("nb")), 6))
     w = Window.partitionBy("id").orderBy(F.desc("cosine"), "ref")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("id", "ref", "cosine", "rank")
+    best = lambda df: df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("id", "ref", "cosine", "rank")
+    found = None
+    for at in range(blocks):
+        mine = right if blocks == 1 else right.where(F.pmod(F.xxhash64("ref"), F.lit(blocks)) == at)
+        scored = left.join(F.broadcast(mine), how="cross").withColumn("cosine", F.round(dot(F.col("v"), F.col("u")) / (F.col("na") * F.col("nb")), 6))
+        found = best(scored) if found is None else found.union(best(scored))
+    return found if blocks == 1 else best(found)
 
 
 def top_class(probabilities: Column, classes: Sequence[str]) -> Column:
