@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import langid, mixing, neardup, packing
-from vigil.llm.common import shared
+from vigil.llm.common import partitions, shared, stash
 
 #: A document is rejected if it has no letters, or if the best language is this unsure.
 LEAST_SCORE = 0.5
@@ -23,14 +23,20 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (shingles of five words, similarity 0.8): that with the least doc_id.
 
-    Rows with equal doc_id count as one document. Rows without doc_id can't be told apart by it: of those with equal texts one stays.
+    A document is a doc_id with a text: rows equal in both are one, and different texts under one doc_id are judged apart. Rows
+    without doc_id come last, and of those with equal texts one stays.
     """
-    found = neardup.near_duplicates(docs, width=5, percent=80)
-    kept = docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    if not repeated:
-        return kept
-    return kept.withColumn("__text", F.when(F.col("doc_id").isNull(), F.col("text"))).dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
+    if not docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).count():
+        found = neardup.near_duplicates(docs, width=5, percent=80)
+        return docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    # keys in the order of doc_id, as the least one is kept
+    order = [F.col("__id").asc_nulls_last(), F.col("__hash")]
+    pairs = docs.select(F.col("doc_id").alias("__id"), F.sha2("text", 256).alias("__hash")).distinct()
+    keys = stash(pairs.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).withColumn("__key", F.monotonically_increasing_id()))
+    keyed = stash(docs.join(keys, F.col("doc_id").eqNullSafe(F.col("__id")) & F.sha2("text", 256).eqNullSafe(F.col("__hash"))).select(*docs.columns, "__key"))
+    found = neardup.near_duplicates(keyed, width=5, percent=80, id_col="__key")
+    copies = found.where(~F.col("kept")).select(F.col("doc_id").alias("__key")).distinct()
+    return keyed.join(copies, "__key", "left_anti").dropDuplicates(["__key"]).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

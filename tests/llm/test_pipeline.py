@@ -20,6 +20,14 @@ def test_stages(spark, docs):
     assert corpus_pipeline.STAGES[-1][1](spark, now, "").count() > 0
 
 
+def test_dedup_judges_rows_with_one_id_apart(spark, docs):
+    text = lambda a: " ".join(f"{a}{i}" for i in range(60))
+    rows = [(1, text("a")), (2, text("a")), (2, text("b")), (3, text("c")), (3, text("d")), (3, text("d")), (None, text("c")), (None, text("e")), (None, text("e"))]
+    df = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], docs.schema)
+    got = [(r.doc_id, r.text[0]) for r in corpus_pipeline.deduplicated(spark, df, "").collect()]
+    assert sorted(got, key=str) == sorted([(1, "a"), (2, "b"), (3, "c"), (3, "d"), (None, "e")], key=str)
+
+
 def test_empty(spark, none):
     now = none
     for _, stage in corpus_pipeline.STAGES:
