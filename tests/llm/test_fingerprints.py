@@ -52,3 +52,16 @@ def test_likeness_prunes_by_length(spark):
     row = spark.createDataFrame([("a-b-c-d", "a")], "x string, y string").select(fingerprints.likeness("x", "y").alias("e"), fingerprints.likeness("x", "y", 0.5).alias("p")).first()
     assert (row.e, row.p) == (0.25, 0.0)
     assert spark.range(1).select(F.lit(None).cast("string").alias("x"), F.lit("a").alias("y")).select(fingerprints.likeness("x", "y").alias("l")).first().l == 0.0
+
+
+def test_next_document_across_ranges(spark):
+    import random
+
+    rng = random.Random(4)
+    ids = [-(1 << 63), (1 << 63) - 1, 0, 5, 1 << 40] + [rng.getrandbits(63) for _ in range(40)] + list(range(100, 160))
+    rows = sorted((i, f"document {i} of the other things " * rng.randrange(1, 5)) for i in ids)
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, n_chars int, fingerprint string")
+    got = {r.doc_id: r.edited_sha256 for r in fingerprints.fingerprint_edits(df).collect()}
+    for k, (i, t) in enumerate(rows):
+        q = len(t) // 4
+        assert got[i] == hashlib.sha256((t[: len(t) - q] + rows[(k + 1) % len(rows)][1][:q]).encode()).hexdigest()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import partitions, stash, tables
+from vigil.llm.common import partitions, tables
 
 #: Common words of English, French, German and Spanish that anchor signatures.
 ANCHORS = """
@@ -89,52 +89,74 @@ def near_pairs(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     return pairs.withColumn("likeness", likeness("a", "b", threshold - 1e-9)).where(F.col("likeness") >= threshold - 1e-9)
 
 
-def followers(ids: DataFrame) -> DataFrame:
-    """ids(doc_id, n), distinct and without null, with next_id: the next in ascending order, after the last the first.
+#: Ranges of ids for each shuffle partition, and the edges of ranges at most: 8 bytes each in the plan.
+RANGES, MOST_RANGES = 4, 20_000
 
-    The ids are dealt by ranges; a window in each range finds the next, and the ranges' first ids, one row a partition,
-    close the gaps. No task sees more than a range.
+
+def with_range(rows: DataFrame, edges: list[int], cells: int = 1024) -> DataFrame:
+    """rows(doc_id, ...) with part, the number of edges up to doc_id: ranges of ids that hold about as many rows each.
+
+    edges are sorted; a cell of equal width names the first edge that can count, so that a row looks at its own cell's edges only.
     """
-    n = partitions(ids.sparkSession)
-    dealt = stash(ids.repartitionByRange(n, "doc_id").withColumn("part", F.spark_partition_id()))
-    firsts = dealt.groupBy("part").agg(F.min("doc_id").alias("first"))
-    # as many rows as partitions
-    edges = firsts.select(F.col("part").alias("p"), F.coalesce(F.lead("first").over(Window.orderBy("part")), F.min("first").over(Window.partitionBy())).alias("after"))
-    inner = dealt.withColumn("next_id", F.lead("doc_id").over(Window.partitionBy("part").orderBy("doc_id")))
-    return inner.join(F.broadcast(edges), F.col("part") == F.col("p")).select("doc_id", "n", F.coalesce("next_id", "after").alias("next_id"))
+    shift = 0
+    while (edges[-1] >> shift) - (edges[0] >> shift) >= cells:
+        shift += 1
+    low = edges[0] >> shift
+    starts = [0] * (cells + 1)
+    for e in edges:
+        starts[(e >> shift) - low + 1] += 1
+    for i in range(cells):
+        starts[i + 1] += starts[i]
+    listed = F.split(F.lit(",".join(map(str, edges))), ",").cast("array<bigint>")
+    firsts = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<int>")
+    cell = F.least(F.shiftright("doc_id", shift) - F.lit(low), F.lit(cells - 1)).cast("int")
+    first, last = F.element_at(firsts, cell + 1), F.element_at(firsts, cell + 2)
+    return rows.withColumn("part", first + F.size(F.filter(F.slice(listed, first + 1, last - first), lambda e: e <= F.col("doc_id"))))
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Each row of docs(doc_id, text) with its fingerprint, that of its edited text, and their likenesses.
 
     The edited text: the last floor(n_chars / 4) code points replaced by the first as many of the next document's, by ascending
-    doc_id (after the last: the first). A document sends only what its predecessor needs of it; texts are shuffled once.
+    doc_id (after the last: the first). Texts are shuffled once, into ranges of ids; a window in each range finds the next
+    document. The rows that open a range go to the range before it, too, as rows that are only looked at.
 
     Null text counts as empty; equal texts have equal fingerprints; of repeated rows with one doc_id the least text is the one that
     their predecessor gets. A row with null doc_id has no next document: its edited text is just cut, and near_next is 0. No rows give
-    no rows; other columns are ignored.
+    no rows; other columns are ignored. Rows of one doc_id meet in one range.
     """
-    if dict(docs.dtypes)["doc_id"] != "bigint":  # an alias without need would keep the joins from sharing the exchange
-        docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    plain = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    # both joins read this, so that the texts are fingerprinted and shuffled once
-    base = with_fingerprint(plain.where("doc_id IS NOT NULL"), "text", "fingerprint")
-    ids = stash(plain.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.length("text")).alias("n"), F.count("*").alias("rows")))
-    repeated = ids.where("rows > 1").limit(1).count() > 0
-    links = followers(ids.select("doc_id", "n")).select(F.col("next_id").alias("sender"), F.col("doc_id").alias("to"), F.floor(F.col("n") / 4).cast("int").alias("most"))
-    heads = base.join(links.hint("shuffle_merge"), F.col("doc_id") == F.col("sender")).select("to", F.substring("text", F.lit(1), F.col("most")).alias("head"), F.col("fingerprint").alias("next_fingerprint"))
-    if repeated:
-        heads = heads.groupBy("to").agg(F.min(F.struct("head", "next_fingerprint")).alias("x")).select("to", "x.head", "x.next_fingerprint")
-    followed = base.join(heads.hint("shuffle_merge"), F.col("doc_id") == F.col("to"), "left").drop("to")
-    nameless = with_fingerprint(plain.where("doc_id IS NULL"), "text", "fingerprint").withColumns({"head": F.lit(None).cast("string"), "next_fingerprint": F.lit(None).cast("string")})
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    named = plain.where("doc_id IS NOT NULL")
+    n = partitions(docs.sparkSession)
+    ranges = min(MOST_RANGES, RANGES * n)
+    least, quantiles = named.agg(F.min("doc_id"), F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 4 * MOST_RANGES)).first()
+    none = F.lit(None).cast("string")
+    nameless = with_fingerprint(plain.where("doc_id IS NULL"), "text", "fingerprint").withColumns({"next_text": none, "next_fingerprint": none})
+    if least is None:
+        return _edited(nameless)
+    # quantiles of great ids aren't ids; the least id of each range is
+    ranged = with_range(named.select("doc_id"), sorted({least, *quantiles})).groupBy("part").agg(F.min("doc_id").alias("first"))
+    edges = sorted(r["first"] for r in ranged.collect())  # MOST_RANGES at most
+    opening = F.array_contains(F.split(F.lit(",".join(map(str, edges))), ",").cast("array<bigint>"), F.col("doc_id"))
+    # lap: rows that come after the last document are those of the first one
+    own = F.struct(F.col("part"), F.lit(0).alias("lap"), F.lit(True).alias("own"))
+    before = F.struct(F.when(F.col("part") == 1, len(edges)).otherwise(F.col("part") - 1).alias("part"), F.when(F.col("part") == 1, 1).otherwise(0).alias("lap"), F.lit(False).alias("own"))
+    dealt = with_range(named, edges).withColumn("x", F.explode(F.when(opening, F.array(own, before)).otherwise(F.array(own)))).select("doc_id", "text", "x.*")
+    printed = with_fingerprint(dealt.repartition(n, "part"), "text", "fingerprint")
+    # downwards, so that the row before is the next document's, and rows of one doc_id take what the first of them has found
+    downwards = Window.partitionBy("part").orderBy(F.desc("lap"), F.desc("doc_id"), F.desc("text"))
+    above = F.lag(F.struct("lap", "doc_id", "text", "fingerprint")).over(downwards)
+    follower = F.when((F.col("above.lap") != F.col("lap")) | (F.col("above.doc_id") != F.col("doc_id")), F.col("above"))
+    found = F.last(follower, ignorenulls=True).over(downwards.rowsBetween(Window.unboundedPreceding, 0))
+    followed = printed.withColumn("above", above).withColumn("next", found).where("own").select("doc_id", "text", "fingerprint", F.col("next.text").alias("next_text"), F.col("next.fingerprint").alias("next_fingerprint"))
     return _edited(followed).union(_edited(nameless))
 
 
 def _edited(rows: DataFrame) -> DataFrame:
-    """The result for rows(doc_id, text, fingerprint, head, next_fingerprint)."""
+    """The result for rows(doc_id, text, fingerprint, next_text, next_fingerprint)."""
     q = F.floor(F.col("n_chars") / 4).cast("int")
     joined = rows.withColumn("n_chars", F.length("text").cast("long"))
-    edited = joined.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - q).cast("int")), F.substring(F.coalesce("head", F.lit("")), F.lit(1), q))).drop("text", "head")
+    edited = joined.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - q).cast("int")), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), q))).drop("text", "next_text")
     done = with_fingerprint(edited, "edited", "edited_fingerprint")
     return done.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", likeness("fingerprint", "edited_fingerprint").alias("near_edited"), likeness("fingerprint", "next_fingerprint").alias("near_next")
