@@ -23,7 +23,7 @@ def brute(texts, order=3, least=2):
     return [sum(math.log(s(w, i, min(i, order - 1))) for i in range(len(w))) for w in words]
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_equals_brute_force(docs, order):
     rows = docs.collect()
     want = Counter()
@@ -38,3 +38,9 @@ def test_blank_and_no_rows(docs, none):
     assert all((got[d].n_words, got[d].log_score, got[d].mean_log_score) == (0, 0.0, None) for d in (4, 5, 6))
     assert lm.score(none).count() == 0
     assert lm.score(docs.where("doc_id in (4, 5)")).count() == 2
+
+
+def test_clashing_names_and_one_id(spark):
+    rows = [(1, f"a b c d {i % 3}", i, "x") for i in range(12)]
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string, chunk int, p string"), chunk_bytes=30).collect()
+    assert sorted(round(r.log_score, 6) for r in got) == sorted(round(x, 6) for x in brute([r[1] for r in rows]))

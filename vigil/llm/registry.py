@@ -18,4 +18,4 @@ QUERIES = {
     "op10_url_cascade": urls.op10,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op1_chat_formatting": chat.SQL, "op4_source_mixing": mixing.SQL, "op7_spotsigs": fingerprints.SQL, "op8_bottom_k_dedup": neardup.SQL, "op9_block_max_search": search.SQL, "op10_url_cascade": urls.SQL}
+ORACLES = {"op1_chat_formatting": chat.SQL, "op4_source_mixing": mixing.SQL, "op5_backoff_scoring": lm.SQL, "op7_spotsigs": fingerprints.SQL, "op8_bottom_k_dedup": neardup.SQL, "op9_block_max_search": search.SQL, "op10_url_cascade": urls.SQL}
