@@ -15,8 +15,8 @@ from vigil.llm.lm import squeeze, stretch
 
 #: Documents of a block, and of a shard at most; terms and queries that are broadcast together at most (24 and 16 bytes each).
 BLOCK, MOST_DOCS, TERMS, QUERIES = 64, 16_384, 1_000_000, 50_000
-#: Numbers in a shard's matrix, and of scores held together, at most.
-MATRIX, HELD = 1 << 24, 1 << 20
+#: Numbers in a shard's matrix, scores held together, and pairs scored exactly together, at most.
+MATRIX, HELD, PAIRS = 1 << 23, 1 << 19, 4_000
 #: One in so many shards is searched first, for floors. A term is dense if it occurs in so large a share of queries times documents.
 FIRST, DENSE = 16, 0.0007
 #: Clusters of a shard's documents, and the terms that tell them apart.
@@ -232,8 +232,8 @@ class Shard:
         if width > best.k:  # what this shard alone has as its k-th best is a floor, too
             floors = np.maximum(floors, np.partition(flat, width - best.k, 1)[:, width - best.k] * np.float32(0.9999))
         rows, docs = np.nonzero((flat >= floors[:, None]) & (flat > 0))
-        for part in range(0, len(rows), 20_000):
-            r, d = rows[part : part + 20_000], docs[part : part + 20_000]
+        for part in range(0, len(rows), PAIRS):
+            r, d = rows[part : part + PAIRS], docs[part : part + PAIRS]
             exact = self.exact(r + low, d)
             good = (exact > 0) & (exact >= best.floors[r + low])
             if good.any():
