@@ -34,11 +34,28 @@ def test_targets_and_copies(docs):
 
 def test_taken_is_near_the_target(spark):
     rows = [(i, "w " * (1 + i * 37 % 50), "ab"[i % 5 == 0], 9) for i in range(2000)]
-    taken, target = Counter(), {}
-    for r in mixing.copies(spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")).collect():
-        taken[r.source_size] += r.taken
-        target[r.source_size] = r.target
-    assert all(abs(taken[s] - target[s]) <= 50 for s in taken)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
+    ratios = []
+    for seed in range(6):
+        taken, target, squares = Counter(), {}, Counter()
+        for r in mixing.copies(df, seed=seed).collect():
+            taken[r.source_size] += r.taken
+            squares[r.source_size] += r["size"] ** 2
+            target[r.source_size] = r.target
+        # four standard deviations of independent draws
+        assert all(abs(taken[s] - target[s]) <= 2 * squares[s] ** 0.5 for s in taken)
+        ratios += [taken[s] / target[s] - 1 for s in taken]
+    assert abs(sum(ratios)) / len(ratios) < 0.02
+
+
+def test_draws_do_not_depend_on_other_documents(spark):
+    rows = [(i, "w " * 5, "ab"[i % 2]) for i in range(400)]
+    get = lambda x: {r.doc_id: r.copies for r in mixing.copies(spark.createDataFrame(x, "doc_id long, text string, source string")).collect()}
+    first, second = get(rows), get([*rows, *((1000 + i, "w " * 5, "ab"[i % 2]) for i in range(400))])
+    assert {d: second[d] for d in first} == first and len(set(first.values())) > 1
+    # rows without id are drawn apart
+    nameless = [(None, f"{i} w w w", "ab"[i % 2]) for i in range(400)]
+    assert len({r.copies for r in mixing.copies(spark.createDataFrame(nameless, "doc_id long, text string, source string")).collect()}) > 1
 
 
 def test_mix_emits_rows(docs):

@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import n_words, stash, tables
 
-BUCKETS = 4096
 
-
-def bucket(doc_id: Column, seed: int) -> Column:
-    """0 to 4095 from a hash of the seed and the document's id: equal in every rerun."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 3), 16, 10).cast("int")
+def uniform(doc_id: Column, text: Column, seed: int) -> Column:
+    """A number from 0 to 1 by a hash of the seed and the document's id, without id of its text: equal in every rerun."""
+    key = F.coalesce(doc_id.cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key).cast("binary")), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
 def targets(sources: DataFrame, limit: int = 3) -> DataFrame:
@@ -41,61 +40,48 @@ def targets(sources: DataFrame, limit: int = 3) -> DataFrame:
     )
 
 
-#: Rows of a plan that are broadcast at most: about 50 bytes each. Larger plans are joined by shuffle.
+#: Sources whose rates are broadcast at most: about 50 bytes each. More are joined by shuffle.
 MOST_BROADCAST = 200_000
 
 
-def plan(base: DataFrame, limit: int = 3) -> DataFrame:
-    """(source, bucket, source_size, target, copies) for base(source, size, bucket), see mix()."""
-    hist = base.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    rates = targets(hist.groupBy("source").agg(F.sum("words").alias("source_size")), limit)
-    order = Window.partitionBy("source").orderBy("bucket")
-    cells = hist.withColumn("before", F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+def rates(sized: DataFrame, limit: int = 3) -> DataFrame:
+    """(__s, __source_size, __target, __rate) for sized(source, size): a row for each source."""
+    found = stash(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), limit))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    drawn = F.col("before") + F.col("words") / 2 <= (F.col("rate") - F.floor("rate")) * F.col("source_size")
-    return (
-        cells.withColumnRenamed("source", "s")
-        .join(rates, F.col("s").eqNullSafe(F.col("source")))
-        .withColumn("rate", rate)
-        .select("source", "bucket", "source_size", "target", (F.floor("rate") + F.when(drawn & (F.col("rate") > F.floor("rate")), 1).otherwise(0)).cast("long").alias("copies"))
-    )
-
-
-def _planned(rows: DataFrame, base: DataFrame, limit: int) -> DataFrame:
-    """rows with __source and __bucket, and their part of the plan."""
-    cells = stash(plan(base, limit))
-    if cells.count() <= MOST_BROADCAST:
-        cells = F.broadcast(cells)
-    return rows.join(cells.withColumnsRenamed({c: f"__p_{c}" for c in cells.columns}), F.col("__source").eqNullSafe(F.col("__p_source")) & (F.col("__bucket") == F.col("__p_bucket")))
+    out = found.select(F.col("source").alias("__s"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), rate.alias("__rate"))
+    return F.broadcast(out) if found.count() <= MOST_BROADCAST else out
 
 
-def _base(docs: DataFrame, seed: int) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), bucket(F.col("doc_id"), seed).alias("bucket"))
+def drawn(variate: Column) -> Column:
+    """Copies of a document: floor(rate), and one more with the rate's fraction as its probability."""
+    return (F.floor("__rate") + (variate < F.col("__rate") - F.floor("__rate")).cast("long")).cast("long")
 
 
 def copies(docs: DataFrame, *, seed: int = 11, limit: int = 3) -> DataFrame:
     """(doc_id, size, source_size, target, copies, taken) of each row of docs(doc_id, text, source): what mix() does with it.
 
     Tokens are summed per source, then a source's rate is target / source_size, and each of its documents is emitted
-    floor(rate) times plus one Bernoulli copy with the rate's fraction as probability. The uniform variate of the draw
-    is seeded by a hash of doc_id alone: the share of the source's words whose hash bucket comes before the document's
-    own (up to the bucket's middle), which is uniform as the hash is, and which makes the words drawn come near the
-    fraction of the source's words even where one document holds many of them.
+    floor(rate) times plus one Bernoulli copy with the rate's fraction as probability. The draw is by a hash of the seed and
+    doc_id alone, so it doesn't depend on other documents. What is taken comes near the target as the source grows: its
+    standard deviation is at most half the root of the sum of the squared sizes.
 
     Null text has size 0; null is a source of its own; a source without words takes nothing (rate 0); rows with equal
-    doc_id share their draw; no rows give no rows; other columns are ignored.
-    The table is read once; 4 short columns a document are written to the checkpoint folder. Partial sums before the shuffles
-    take a source that holds a third of all rows; the plan, a row for each source and bucket, is broadcast if it is small.
+    doc_id share their draw; rows without doc_id are drawn by their texts; no rows give no rows; other columns are ignored.
+    The texts are read once; 4 short columns a document are written to the checkpoint folder. Partial sums before the
+    shuffle take a source that holds a third of all rows; the rates are broadcast if they are few, else a join is left to
+    adaptive execution to split.
     """
-    base = stash(_base(docs, seed))
-    rows = base.withColumnsRenamed({"source": "__source", "bucket": "__bucket"})
-    return _planned(rows, base, limit).select("doc_id", "size", F.col("__p_source_size").alias("source_size"), F.col("__p_target").alias("target"), F.col("__p_copies").alias("copies"), (F.col("size") * F.col("__p_copies")).alias("taken"))
+    base = stash(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), uniform(F.col("doc_id").cast("long"), F.col("text"), seed).alias("__u")))
+    joined = base.join(rates(base, limit), F.col("source").eqNullSafe(F.col("__s"))).withColumn("copies", drawn(F.col("__u")))
+    return joined.select("doc_id", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mix(docs: DataFrame, *, seed: int = 11, limit: int = 3) -> DataFrame:
     """The rows of docs, all columns, each as often as copies() says."""
-    rows = docs.withColumn("__source", F.col("source").cast("string")).withColumn("__bucket", bucket(F.col("doc_id").cast("long"), seed))
-    return _planned(rows, stash(_base(docs, seed)), limit).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__p_copies").cast("int")))).select(*docs.columns)
+    sized = docs.select(F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"))
+    rows = docs.join(rates(sized, limit), docs["source"].cast("string").eqNullSafe(F.col("__s")))
+    n = drawn(uniform(docs["doc_id"].cast("long"), docs["text"], seed)).cast("int")
+    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), n))).select(*docs.columns)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
@@ -105,7 +91,7 @@ def op4(spark, sf_dir: str) -> DataFrame:
 SQL = r"""
 WITH base AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         CAST('0x' || substr(md5('11:' || CAST(doc_id AS VARCHAR)), 1, 3) AS INTEGER) AS bucket
+         CAST('0x' || substr(md5('11:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(coalesce(text, '')))), 1, 12) AS BIGINT) / 281474976710656.0 AS u
   FROM documents),
 sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM base GROUP BY source),
 ranked AS (
@@ -121,15 +107,7 @@ rates AS (
          CASE WHEN l.open_weight IS NULL OR f.cap <= f.weight * (CAST(l.open_words AS DOUBLE) / CAST(l.open_weight AS DOUBLE)) THEN CAST(f.cap AS DOUBLE)
               ELSE CAST(f.weight * l.open_words AS DOUBLE) / CAST(l.open_weight AS DOUBLE) END AS target
   FROM filled f LEFT JOIN level l ON true),
-hist AS (SELECT source, bucket, sum(size) AS words FROM base GROUP BY source, bucket),
-cells AS (SELECT *, coalesce(sum(words) OVER (PARTITION BY source ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier FROM hist),
-plan AS (
-  SELECT c.source, c.bucket, r.source_size, r.target,
-         CASE WHEN r.source_size = 0 THEN 0 ELSE floor(r.target / r.source_size) END AS whole,
-         CASE WHEN r.source_size = 0 THEN 0 ELSE r.target / r.source_size - floor(r.target / r.source_size) END AS fraction,
-         c.earlier + c.words / 2 AS middle
-  FROM cells c JOIN rates r ON c.source IS NOT DISTINCT FROM r.source)
-SELECT b.doc_id, b.size, p.source_size, p.target,
-       CAST(b.size * (p.whole + CASE WHEN p.fraction > 0 AND p.middle <= p.fraction * p.source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM base b JOIN plan p ON b.source IS NOT DISTINCT FROM p.source AND b.bucket = p.bucket
+plan AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE target / source_size END AS rate FROM rates)
+SELECT b.doc_id, b.size, p.source_size, p.target, CAST(b.size * (floor(p.rate) + CASE WHEN b.u < p.rate - floor(p.rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM base b JOIN plan p ON b.source IS NOT DISTINCT FROM p.source
 """
