@@ -102,6 +102,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     A pair's texts meet in the task of its owner a. An owner of many pairs is dealt over several tasks, each with its text
     once; a task holds two sets at a time.
     """
+    pairs = stash(pairs)
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).alias("salts"))
     salted = stash(pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt")))
     asked = salted.select("a", "salt", F.lit(1).alias("part"), F.col("b").alias("want")).union(salted.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("part"), F.col("a").alias("want")))
@@ -261,8 +262,8 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
        two sketches need to meet (prefix_length()). Lists are cut into classes of sizes that similarity allows. A list of one, and
        with it most values, falls away.
     3. In each list, all documents are paired with its hub, the one whose values lie in the longest lists: as many pairs as
-       rows, and where thousands of near copies share their values, their source is the hub. Union-sketch estimation filters
-       the pairs, exact Jaccard on the full sets verifies them, and components are labelled.
+       rows, and where thousands of near copies share their values, their source is the hub. Pairs that meet in one list only
+       (of sets over 64 shingles) are left to (4). Union-sketch estimation filters the others, exact Jaccard on the full sets verifies them, and components are labelled.
     4. Lists with one hub make a group. Groups that still hold several labels are compared within themselves, but only across
        labels: by signatures that go with their rows, to find the documents that fit another one; then these by
        exact Jaccard on the full sets, of which only links that connect something leave the task. Large groups go in pairs of
@@ -283,26 +284,30 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
     nodes = stash(sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("sig").alias("sig")).where("node IS NOT NULL"))
     postings = nodes.select("node", "n", F.explode("sketch").alias("v"))
     lengths = postings.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
-    by_node = postings.join(lengths, "v").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("values"), F.sum(F.log2("c")).alias("centre"))
+    held = postings.join(lengths, "v").select("node", "n", "c", "v")
+    by_node = held.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("values"), F.sum(F.log2("c")).alias("centre"))
     alone = F.least(F.col("n"), F.lit(K)) - F.size("values")  # values that no other sketch has are the rarest
     take = F.greatest(F.lit(0), prefix_length(F.col("n"), t) - alone).cast("int")
-    listed_values = by_node.select("node", "n", "centre", F.explode(F.slice("values", F.lit(1), take)).alias("x"))
+    listed_values = stash(by_node.select("node", "n", "centre", F.explode(F.slice("values", F.lit(1), take)).alias("x")).select("node", "n", "centre", "x.v"))
     # lists are cut by size: partners' sizes are of the same or the next class, so each row stands in its own and the next one's list
     size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / t)) + F.lit(1e-9))
-    cut = listed_values.select("node", "n", "centre", F.col("x.v").alias("value"), F.explode(F.array(size_class, size_class + 1)).alias("class")).select("node", "n", "centre", F.xxhash64("value", "class").alias("v"))
+    cut = listed_values.withColumn("class", F.explode(F.array(size_class, size_class + 1))).select("node", "n", "centre", F.xxhash64("v", "class").alias("v"))
     paired = cut.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").select("v")
     prefix = stash(cut.join(paired, "v"))
     hubs = prefix.groupBy("v").agg(F.max(F.struct("centre", "node", "n")).alias("hub"))
-    hubbed = prefix.join(hubs, "v").where((F.col("node") != F.col("hub.node")) & size_fits(F.col("n"), F.col("hub.n"), t)).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
+    listed = stash(prefix.join(hubs, "v").groupBy(F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), "node", "n").agg(F.count("*").alias("lists")))
+    # near copies share more than one of their values' lists; the few that don't are left to step 4
+    likely = (F.col("node") != F.col("hub")) & size_fits(F.col("n"), F.col("hub_n"), t) & ((F.col("lists") > 1) | (F.col("n") <= K))
+    hubbed = listed.where(likely).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = stash(verified(estimated(hubbed, nodes, t), base, width, percent))
     labels = components(links)
-    listed = prefix.join(hubs, "v").select(F.col("hub.node").alias("hub"), "node", "n").distinct()
-    labelled = listed.join(labels.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").select("hub", "node", "n", F.coalesce("root", "node").alias("label"))
+    labelled = listed.select("hub", "node", "n").join(labels.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").select("hub", "node", "n", F.coalesce("root", "node").alias("label"))
     mixed = labelled.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("hub")
     signed = in_blocks(labelled.join(mixed, "hub"), "hub", "node", BLOCK).join(nodes.select(F.col("node").alias("own"), "sig"), F.col("node") == F.col("own"))
     rest = stash(suspects(signed, t))
-    full = rest.join(only(base, "doc_id", rest.select("node")), F.col("node") == F.col("doc_id")).select("hub", "node", "label", "text")
-    more = stash(linked(in_blocks(full, "hub", "node", BLOCK), width, percent))
+    blocks = in_blocks(rest, "hub", "node", BLOCK)
+    full = blocks.join(only(base, "doc_id", rest.select("node")), F.col("node") == F.col("doc_id")).select("hub", "i", "j", "side", "node", "label", "text")
+    more = stash(linked(full, width, percent))
     final = components(links.union(more))
     of_node = sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("node")).join(final.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").select(F.col("sid").alias("of"), F.coalesce("root", "node").alias("least"))
     own = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
