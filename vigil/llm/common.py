@@ -38,6 +38,11 @@ def stash(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def freed(spark: SparkSession) -> None:
+    """Have the files of shuffles that no DataFrame needs any more removed; else they stay until the driver happens to collect its garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Arrow batches of a bounded size: some texts are very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

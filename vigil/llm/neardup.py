@@ -10,11 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import U64, fold, hashes, only, pair_hash, partitions, small_batches, stash, tables
+from vigil.llm.common import U64, fold, freed, hashes, only, pair_hash, partitions, small_batches, stash, tables
 from vigil.llm.components import components
 
-#: Values that a sketch retains, slots of a signature, documents of one block of a large group, partners of one task's owner.
-K, SLOTS, BLOCK, PARTNERS = 64, 64, 1024, 256
+#: Values that a sketch retains.
+K = 64
+#: Chance at which a link may have fewer common values than sketches are asked for.
+MISS = 1e-8
+#: Slots of a signature, documents of one block of a large group, partners of one task's owner.
+SLOTS, BLOCK, PARTNERS = 64, 1024, 256
 SETS = "doc_id long, n long, sid binary, sketch array<long>, sig binary"
 
 
@@ -64,9 +68,13 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def least_overlap(k: int, t: float) -> int:
-    """Common values that two sketches of k values hold at least if their sets' Jaccard similarity is t or more, but for six
-    standard deviations (a chance of about 1e-8)."""
-    return max(1, math.floor(k * t - 6 * math.sqrt(k * t * (1 - t))))
+    """Common values that two sketches of k values hold at least if their sets' Jaccard similarity is t or more, but for a chance
+    of MISS: the k least values of both sets together are drawn from the union, without replacement, and a value common to both sets
+    that is among them is in both sketches; so the number of those is no less spread than binomial."""
+    below, at = 0.0, 0
+    while at < k and (below := below + math.comb(k, at) * t**at * (1 - t) ** (k - at)) <= MISS:
+        at += 1
+    return max(1, at)
 
 
 def prefix_length(n: Column, t: float) -> Column:
@@ -91,7 +99,7 @@ def estimated(pairs: DataFrame, nodes: DataFrame, t: float) -> DataFrame:
         pairs.join(left, "a")
         .join(right, "b")
         .withColumn("u", union)
-        .where(F.size(F.array_intersect(F.array_intersect("u", "x"), F.col("y"))) >= F.floor(F.size("u") * t - 6 * F.sqrt(F.size("u") * t * (1 - t))))
+        .where(F.size(F.array_intersect(F.array_intersect("u", "x"), F.col("y"))) >= F.element_at(F.array(*[F.lit(least_overlap(k, t)) for k in range(1, K + 1)]), F.size("u")))
         .select("a", "b")
     )
 
@@ -269,7 +277,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
        exact Jaccard on the full sets, of which only links that connect something leave the task. Large groups go in pairs of
        blocks, over many tasks.
     5. The components of all links give the result. No link between different sets is given up: beyond the chances of
-       about 1e-8 a pair in (2) and (4), only pairs that are already connected go unverified.
+       about 1e-8 a pair in (2), (3) and (4), only pairs that are already connected go unverified.
 
     Words are runs of characters other than blanks (U+0009 to U+000D, U+0020), with A-Z lower-cased; a text with fewer words than
     `width` is one shingle; null and blank texts have no shingles and are linked with nothing. Rows with equal
@@ -280,15 +288,19 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
     small_batches(spark)
     base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     sets = stash(shingle_sets(base, width))
+    own_sets = stash(sets.select("doc_id", "n", "sid"))
     # equal sets have equal sketches; the first is as good as any
     nodes = stash(sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("sig").alias("sig")).where("node IS NOT NULL"))
+    del sets
+    freed(spark)
     postings = nodes.select("node", "n", F.explode("sketch").alias("v"))
     lengths = postings.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
-    held = postings.join(lengths, "v").select("node", "n", "c", "v")
+    held = postings.join(lengths, "v").select("node", "n", "c", "v").repartition("node")
     by_node = held.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("values"), F.sum(F.log2("c")).alias("centre"))
     alone = F.least(F.col("n"), F.lit(K)) - F.size("values")  # values that no other sketch has are the rarest
     take = F.greatest(F.lit(0), prefix_length(F.col("n"), t) - alone).cast("int")
     listed_values = stash(by_node.select("node", "n", "centre", F.explode(F.slice("values", F.lit(1), take)).alias("x")).select("node", "n", "centre", "x.v"))
+    freed(spark)
     # lists are cut by size: partners' sizes are of the same or the next class, so each row stands in its own and the next one's list
     size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / t)) + F.lit(1e-9))
     cut = listed_values.withColumn("class", F.explode(F.array(size_class, size_class + 1))).select("node", "n", "centre", F.xxhash64("v", "class").alias("v"))
@@ -296,10 +308,12 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
     prefix = stash(cut.join(paired, "v"))
     hubs = prefix.groupBy("v").agg(F.max(F.struct("centre", "node", "n")).alias("hub"))
     listed = stash(prefix.join(hubs, "v").groupBy(F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), "node", "n").agg(F.count("*").alias("lists")))
+    freed(spark)
     # near copies share more than one of their values' lists; the few that don't are left to step 4
     likely = (F.col("node") != F.col("hub")) & size_fits(F.col("n"), F.col("hub_n"), t) & ((F.col("lists") > 1) | (F.col("n") <= K))
     hubbed = listed.where(likely).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = stash(verified(estimated(hubbed, nodes, t), base, width, percent))
+    freed(spark)
     labels = components(links)
     labelled = listed.select("hub", "node", "n").join(labels.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").select("hub", "node", "n", F.coalesce("root", "node").alias("label"))
     mixed = labelled.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("hub")
@@ -309,9 +323,9 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
     full = blocks.join(only(base, "doc_id", rest.select("node")), F.col("node") == F.col("doc_id")).select("hub", "i", "j", "side", "node", "label", "text")
     more = stash(linked(full, width, percent))
     final = components(links.union(more))
-    of_node = sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("node")).join(final.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").select(F.col("sid").alias("of"), F.coalesce("root", "node").alias("least"))
+    of_node = own_sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("node")).join(final.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").select(F.col("sid").alias("of"), F.coalesce("root", "node").alias("least"))
     own = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return sets.select("doc_id", "n", "sid").join(of_node, (F.col("sid") == F.col("of")) & (F.col("n") > 0), "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"))
+    return own_sets.join(of_node, (F.col("sid") == F.col("of")) & (F.col("n") > 0), "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
