@@ -38,5 +38,64 @@ def test_word_first_then_longest_grams():
 
     v = lambda *x: np.array(x, float)
     m = langid.Model(["a", "b"], {"xy": v(0, -5)}, {"<z": v(-9, 0), "z": v(-1, -1), ">": v(-1, -1)}, 2, v(-20, -20))
-    assert m.predict("xy")[0] == "a" and m.predict("z")[0] == "b"
-    assert m.predict(None) == m.predict("...") == ("und", 0.0)
+    languages, scores = langid.Scores(m).predict(["xy", None, "z", "...", "xy z", "xy"])
+    assert languages == ["a", "und", "b", "und", "a", "a"] and scores[1] == scores[3] == 0.0 and scores[0] == scores[5]
+    assert langid.Scores(m).predict(["xy " * 300_000, "z"])[0] == ["a", "b"]
+
+
+def plain(rows, n_max=4):
+    """The same model by dictionaries: (text) -> (language, score)."""
+    import math
+    import re
+    from collections import Counter
+
+    words, grams = {}, {}
+    for text, lang in rows:
+        if lang and text:
+            for w in re.findall(r"[^\W\d_]+", text.lower()):
+                words.setdefault(lang, Counter())[w] += 1
+                for k in range(1, n_max + 1):
+                    grams.setdefault((lang, k), Counter()).update(f"<{w}>"[i : i + k] for i in range(len(w) + 3 - k))
+    languages = sorted(words)
+    known, pieces = set().union(*words.values()), {k: set().union(*(c for (_, o), c in grams.items() if o == k)) for k in range(1, n_max + 1)}
+    log = lambda c, w: math.log((c[w] + 0.5) / (sum(c.values()) + 1))
+
+    def word(w, lang):
+        if w in known:
+            return log(words[lang], w)
+        t, total = f"<{w}>", 0.0
+        for i in range(len(t)):
+            k = next((k for k in range(min(n_max, len(t) - i), 0, -1) if t[i : i + k] in pieces[k]), 0)
+            total += log(grams.get((lang, k), Counter()), t[i : i + k]) if k and (lang, k) in grams else math.log(0.5 / 2) if k else -math.log(1e6)
+        return total / len(t)
+
+    def predict(text):
+        tokens = re.findall(r"[^\W\d_]+", (text or "").lower())
+        if not tokens:
+            return "und", 0.0
+        sharp = [sum(word(w, x) for w in tokens) / len(tokens) * min(len(tokens), 12) for x in languages]
+        p = [math.exp(x - max(sharp)) for x in sharp]
+        best = max(range(len(p)), key=p.__getitem__)
+        return languages[best], p[best] / sum(p)
+
+    return predict
+
+
+def test_equals_a_plain_model(spark):
+    long = "abcdefghij" * 30
+    rows = [(1, "the house the water", "en"), (2, "das haus das wasser", "de"), (3, f"le {long} eau", "fr"), (4, f"unseen words {long[5:]} houses wassern", None), (5, "zzz", None), (6, "eaux a", None), (7, long + "x", None), (8, "aqua", "la")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = plain([r[1:] for r in rows])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(df, langid.fit(df)).collect()}
+    for i, text, _ in rows:
+        language, score = want(text)
+        assert got[i][0] == language and abs(got[i][1] - score) < 1e-9, i
+
+
+def test_letters_behind_the_64th_count_and_any_number_of_languages(spark):
+    same = "q" * 100
+    rows = [(1, same + "uvw" * 20, "aa"), (2, same + "xyz" * 20, "bb"), (3, same + "xyz" * 21, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang_pred for r in langid.predict(df, langid.fit(df)).collect()}[3] == "bb"
+    many = spark.createDataFrame([(i, f"wort{chr(97 + i // 26)}{chr(97 + i % 26)}", f"l{i:03d}") for i in range(230)], "doc_id long, text string, lang string")
+    assert all(r.lang_pred == r.lang for r in langid.predict(many, langid.fit(many)).collect())

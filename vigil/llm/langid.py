@@ -17,6 +17,10 @@ from vigil.llm.common import small_batches, tables
 #: A token for this purpose: letters only.
 _LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
+#: Slices of a language's words and n-grams that are ranked apart.
+SLICES = 16
+#: Words from which a text is summed by itself.
+LONG = 1 << 18
 
 
 def held_out(id_col="doc_id"):
@@ -32,11 +36,10 @@ class Model:
 
     def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray], n_max: int, floor: np.ndarray):
         self.languages, self.words, self.grams, self.n_max, self.floor = languages, words, grams, n_max, floor
-        self.seen: dict[str, np.ndarray] = {}
 
     def backoff(self, word: str) -> np.ndarray:
         """Mean over the unseen word's positions of the longest known n-gram that starts there."""
-        text, total = f"<{word[:64]}>" if len(word) > 64 else f"<{word}>", np.zeros(len(self.languages))
+        text, total = f"<{word}>", np.zeros(len(self.languages))
         for i in range(len(text)):
             for n in range(min(self.n_max, len(text) - i), 0, -1):
                 if (v := self.grams.get(text[i : i + n])) is not None:
@@ -46,38 +49,78 @@ class Model:
                 total += self.floor
         return total / len(text)
 
-    def word(self, word: str) -> np.ndarray:
-        v = self.words.get(word)
-        if v is None and (v := self.seen.get(word)) is None:
-            if len(self.seen) >= 100_000:
-                self.seen.clear()
-            v = self.seen[word] = self.backoff(word)
-        return v
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, score) of a whole text."""
-        tokens = _LETTERS.findall(text.lower()) if text else []
-        if not tokens or not self.languages or not any(c.isalpha() for c in text):  # superscripts and the like are no letters
-            return UNKNOWN, 0.0
-        known, word = self.words, self.word
-        total = np.zeros(len(self.languages))
-        for i in range(0, len(tokens), 4096):
-            total += np.add.reduce([known[t] if t in known else word(t) for t in tokens[i : i + 4096]])
-        mean = total / len(tokens)
-        sharp = mean * min(len(tokens), 12)
-        p = np.exp(sharp - sharp.max())
-        p /= p.sum()
-        best = int(np.argmax(p))
-        return self.languages[best], float(p[best])
-
-
-def fit(labelled: DataFrame, *, sample_docs: int = 20_000, top_words: int = 5_000, top_grams: int = 4_000, n_max: int = 4, most_languages: int = 200) -> Model:
+
+class Scores(dict):
+    """The row of each word in `table`: known words first, then unseen ones as they come, with the vectors of backoff()."""
+
+    MOST = 200_000  # rows that are kept for further batches
+
+    def __init__(self, model: Model):
+        super().__init__((w, i) for i, w in enumerate(model.words))
+        self.model, self.known, self.size = model, len(model.words), len(model.words)
+        self.table = np.array(list(model.words.values()), float).reshape(self.known, len(model.languages))
+
+    def __missing__(self, word: str) -> int:
+        if self.size == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((max(1024, self.size), self.table.shape[1]))])
+        self.table[self.size] = self.model.backoff(word)
+        self[word] = self.size
+        self.size += 1
+        return self.size - 1
+
+    def forget(self) -> None:
+        """Drop the unseen words, once they are many."""
+        if self.size - self.known > self.MOST:
+            self.__init__(self.model)
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Language and score of whole texts."""
+        languages, scores, held, sizes, at, chars = [UNKNOWN] * len(texts), [0.0] * len(texts), [], [], [], 0
+
+        def close() -> None:
+            rows = np.fromiter(map(self.__getitem__, held), np.int64, len(held))
+            if len(sizes) == 1 and len(rows) > LONG:
+                sums = (np.bincount(rows, minlength=self.size) @ self.table[: self.size])[None]
+            else:
+                sums = np.add.reduceat(self.table[rows], np.cumsum([0, *sizes[:-1]]))
+            mean = sums / np.array(sizes)[:, None]
+            sharp = mean * np.minimum(sizes, 12)[:, None]
+            p = np.exp(sharp - sharp.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            best = p.argmax(1)
+            for i, b, x in zip(at, best.tolist(), p[np.arange(len(at)), best].tolist(), strict=True):
+                languages[i], scores[i] = self.model.languages[b], x
+            self.forget()
+            held.clear()
+            sizes.clear()
+            at.clear()
+
+        for i, text in enumerate(texts):
+            tokens = _LETTERS.findall(text.lower()) if text and self.model.languages else []
+            if tokens and any(c.isalpha() for c in text):  # superscripts and the like are no letters
+                if len(tokens) > LONG and at:
+                    close()
+                held += tokens
+                sizes.append(len(tokens))
+                at.append(i)
+                chars += len(text)
+                if chars > 1 << 20:
+                    close()
+                    chars = 0
+        if at:
+            close()
+        return languages, scores
+
+
+def fit(labelled: DataFrame, *, sample_docs: int = 20_000, top_words: int = 5_000, top_grams: int = 4_000, n_max: int = 4) -> Model:
     """A model from labelled(doc_id, text, lang).
 
     It is fitted on a sample of about sample_docs labelled documents, taken by a hash of doc_id whatever the table's order and
-    size. Counts are made in DataFrame operations with partial sums; the driver gets, for at most most_languages
-    languages (those with the most documents), the top_words commonest words and for each order 1 to n_max the top_grams
-    commonest character n-grams: the model has a fixed size.
+    size. Counts are made in DataFrame operations with partial sums; the driver gets, for each language, the top_words
+    commonest words and for each order 1 to n_max the top_grams commonest character n-grams: the model's size is fixed by
+    the sample and by what there are of languages in it. Ranks are taken in slices of each language first, so that no
+    task gets all words of one. Words of any length are counted whole. Rows without text or lang teach nothing; without
+    any other, the model has no languages. Null ids count as one.
     """
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     n = known.count()
@@ -87,20 +130,29 @@ def fit(labelled: DataFrame, *, sample_docs: int = 20_000, top_words: int = 5_00
     counts = tokens.groupBy("lang", "word").agg(F.count("*").alias("n"))
     shared = counts.persist()
     try:
-        sizes = {r["lang"]: r.n for r in shared.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
-        rank = lambda *part: Window.partitionBy(*part).orderBy(F.desc("n"), "item")
-        words = shared.withColumnRenamed("word", "item").withColumn("r", F.row_number().over(rank("lang"))).where(F.col("r") <= top_words).collect()
-        padded = F.concat(F.lit("<"), F.substring("word", 1, 64), F.lit(">"))
+        sizes = {r["lang"]: r.n for r in shared.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+
+        def top(counted: DataFrame, most: int, *part: str) -> list:
+            order = (F.desc("n"), F.col("item"))
+            sliced = counted.withColumn("slice", F.pmod(F.xxhash64("item"), F.lit(SLICES))).withColumn("r", F.row_number().over(Window.partitionBy(*part, "slice").orderBy(*order))).where(F.col("r") <= most)
+            return sliced.withColumn("r", F.row_number().over(Window.partitionBy(*part).orderBy(*order))).where(F.col("r") <= most).collect()
+
+        words = top(shared.withColumnRenamed("word", "item"), top_words, "lang")
+        # a long word goes in pieces, of which each gives the n-grams that start in its first letters
+        padded, step = F.concat(F.lit("<"), F.col("word"), F.lit(">")), 64
+        pieces = shared.withColumn("at", F.explode(F.sequence(F.lit(1), F.length(padded), F.lit(step)))).select("lang", "n", F.expr(f"substring(concat('<', word, '>'), at, {step + n_max - 1})").alias("piece"))
 
         def of_order(k: int) -> Column:
-            return F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - k + 1, F.lit(1))), lambda i: F.substring(padded, i, F.lit(k)))
+            last = F.least(F.lit(step), F.length("piece") - k + 1)
+            return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring("piece", i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
 
         grams = F.flatten(F.array(*[of_order(k) for k in range(1, n_max + 1)]))
-        gram_counts = shared.select("lang", "n", F.explode(grams).alias("item")).where(F.length("item") > 0).groupBy("lang", "item").agg(F.sum("n").alias("n")).withColumn("order", F.length("item"))
-        parts = gram_counts.withColumn("total", F.sum("n").over(Window.partitionBy("lang", "order"))).withColumn("r", F.row_number().over(rank("lang", "order"))).where(F.col("r") <= top_grams).collect()
+        gram_counts = pieces.select("lang", "n", F.explode(grams).alias("item")).groupBy("lang", "item").agg(F.sum("n").alias("n")).withColumn("order", F.length("item"))
+        totals = {(r["lang"], r["order"]): r.n for r in gram_counts.groupBy("lang", "order").agg(F.sum("n").alias("n")).collect()}
+        parts = top(gram_counts, top_grams, "lang", "order")
     finally:
         shared.unpersist()
-    return assemble(sizes, [(r["lang"], r["item"], r["n"]) for r in words], [(r["lang"], r["item"], r["n"], r["total"]) for r in parts], n_max)
+    return assemble(sizes, [(r["lang"], r["item"], r["n"]) for r in words], [(r["lang"], r["item"], r["n"], totals[r["lang"], r["order"]]) for r in parts], n_max)
 
 
 def assemble(sizes: dict[str, int], words: list[tuple], grams: list[tuple], n_max: int) -> Model:
@@ -132,7 +184,7 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFra
     """docs with lang_pred and score (0 to 1, how far the best language is ahead of the others over a dozen words).
 
     Known words are scored by their log frequency in each language, unseen ones by the longest known character n-grams
-    at each position. Every word of a text counts; ties go to the first language by code point. Null texts and
+    at each of its positions. Every word of a text counts, whole; ties go to the first language by code point. Null texts and
     those without letters, and all texts where nothing was learned, get 'und' and score 0. Repeated rows are predicted alike;
     no rows give no rows; columns named lang_pred or score are replaced.
     The model, of a fixed size, goes to the workers with the function; there is no shuffle.
@@ -143,10 +195,10 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFra
     shipped = spark.sparkContext.broadcast(model)  # of a fixed size, see fit()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shipped.value
+        own = Scores(shipped.value)
         for batch in batches:
-            pairs = [own.predict(t) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
-            cols = [pa.array([x[0] for x in pairs], pa.string()), pa.array([x[1] for x in pairs], pa.float64())]
+            found, scores = own.predict(batch.column(batch.schema.get_field_index(text_col)).to_pylist())
+            cols = [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, "lang_pred", "score"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
