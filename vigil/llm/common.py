@@ -21,12 +21,15 @@ _A, _B, _C = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3
 
 
 def shared(spark: SparkSession) -> None:
-    """Make sure that checkpoints have a folder: the cluster's spark.checkpoint.dir, or one of our own where that is unset."""
+    """Make sure that checkpoints have a folder: the cluster's spark.checkpoint.dir, or where that is unset and everything runs on one
+    machine, as in tests, one of our own."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="vigil-checkpoint-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
     sc.setCheckpointDir(named)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from vigil.llm import chat, fingerprints, langid, lm, mixing, neardup, packing, search, sharding, urls
 
 QUERIES = {
@@ -16,6 +15,5 @@ QUERIES = {
     "op8_bottom_k_dedup": neardup.op8,
     "op9_block_max_search": search.op9,
     "op10_url_cascade": urls.op10,
-    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op1_chat_formatting": chat.SQL, "op4_source_mixing": mixing.SQL, "op5_backoff_scoring": lm.SQL, "op7_spotsigs": fingerprints.SQL, "op8_bottom_k_dedup": neardup.SQL, "op9_block_max_search": search.SQL, "op10_url_cascade": urls.SQL}
