@@ -88,10 +88,31 @@ def size_fits(a: Column, b: Column, t: float) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * F.lit(t - 1e-9)
 
 
+def alike(pairs: DataFrame, nodes: DataFrame, t: float) -> DataFrame:
+    """pairs(a, b) whose signatures differ in no more slots than t allows, see fitting(): a tenth of a sketch is shipped for each."""
+    side = lambda c, n, sig: only(nodes.select(F.col("node").alias(c), F.col("n").alias(n), F.col("sig").alias(sig)), c, pairs.select(c))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                a, b, m, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 3))
+                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SLOTS) for i in (4, 5))
+                fits = (x != y).sum(1) <= most_differing(m + n, t)
+                yield pa.RecordBatch.from_arrays([pa.array(a[fits]), pa.array(b[fits])], names=["a", "b"])
+
+    return pairs.join(side("a", "m", "x"), "a").join(side("b", "n", "y"), "b").select("a", "b", "m", "n", "x", "y").mapInArrow(work, "a long, b long")
+
+
+def most_differing(both: np.ndarray, t: float) -> np.ndarray:
+    """Slots in which the signatures of two sets may differ, by the sum of their sizes: as many as they can have values of their own,
+    and no more than half of the slots but for a chance of about 1e-8."""
+    return np.minimum(SLOTS // 2, np.floor(both * (1 - t) / (1 + t) + 1e-9))
+
+
 def estimated(pairs: DataFrame, nodes: DataFrame, t: float) -> DataFrame:
     """pairs(a, b) whose Jaccard similarity, estimated on the union's bottom-k sketch, isn't far below t: of the least K values
     of both sets together, how many lie in both."""
-    pairs = stash(pairs)
+    pairs = stash(alike(stash(pairs), nodes, t))
     left = only(nodes.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a", pairs.select("a"))
     right = only(nodes.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b", pairs.select("b"))
     union = F.slice(F.array_sort(F.array_union("x", "y")), 1, K)
@@ -162,9 +183,6 @@ def block_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, lis
 def fitting(n: np.ndarray, label: np.ndarray, sig: np.ndarray, left: int, t: float) -> Iterator[tuple[int, np.ndarray]]:
     """(row, rows that fit it): of different labels, of sizes and signatures that similarity t allows. With left > 0, only the
     first `left` rows are paired, and with those after them; else all with all.
-
-    Signatures differ in at most as many slots as the sets have values of their own, and in no more than half of the slots but for a
-    chance of about 1e-8.
     """
     for i in range(left or len(n)):
         rest = slice(left or i + 1, None)
@@ -172,7 +190,7 @@ def fitting(n: np.ndarray, label: np.ndarray, sig: np.ndarray, left: int, t: flo
         fits = np.flatnonzero((label[rest] != label[i]) & (low >= high * (t - 1e-9)))
         if len(fits):
             differ = (sig[rest][fits] != sig[i]).sum(1)
-            fits = fits[differ <= np.minimum(SLOTS // 2, np.floor((low + high)[fits] * (1 - t) / (1 + t) + 1e-9))]
+            fits = fits[differ <= most_differing((low + high)[fits], t)]
             if len(fits):
                 yield i, fits + rest.start
 
@@ -271,7 +289,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
        with it most values, falls away.
     3. In each list, all documents are paired with its hub, the one whose values lie in the longest lists: as many pairs as
        rows, and where thousands of near copies share their values, their source is the hub. Pairs that meet in one list only
-       (of sets over 64 shingles) are left to (4). Union-sketch estimation filters the others, exact Jaccard on the full sets verifies them, and components are labelled.
+       (of sets over 64 shingles) are left to (4). Signatures and union-sketch estimation filter the others, exact Jaccard on the full sets verifies them, and components are labelled.
     4. Lists with one hub make a group. Groups that still hold several labels are compared within themselves, but only across
        labels: by signatures that go with their rows, to find the documents that fit another one; then these by
        exact Jaccard on the full sets, of which only links that connect something leave the task. Large groups go in pairs of
@@ -316,8 +334,10 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
     freed(spark)
     labels = components(links)
     labelled = listed.select("hub", "node", "n").join(labels.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").select("hub", "node", "n", F.coalesce("root", "node").alias("label"))
+    labelled = stash(labelled)
     mixed = labelled.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("hub")
-    signed = in_blocks(labelled.join(mixed, "hub"), "hub", "node", BLOCK).join(nodes.select(F.col("node").alias("own"), "sig"), F.col("node") == F.col("own"))
+    grouped = stash(labelled.join(mixed, "hub"))
+    signed = in_blocks(grouped, "hub", "node", BLOCK).join(only(nodes, "node", grouped.select("node")).select(F.col("node").alias("own"), "sig"), F.col("node") == F.col("own"))
     rest = stash(suspects(signed, t))
     blocks = in_blocks(rest, "hub", "node", BLOCK)
     full = blocks.join(only(base, "doc_id", rest.select("node")), F.col("node") == F.col("doc_id")).select("hub", "i", "j", "side", "node", "label", "text")
