@@ -14,14 +14,26 @@ SUFFIX_HINTS = (
     "account", "bank", "card", "cards", "gov", "kyc", "login", "netbanking", "online", "pay", "payment", "payments", "portal",
     "reward", "rewards", "secure", "service", "sewa", "upi", "verification", "verify", "wallet",
 )
-SAME_DOMAIN, FUZZY_BRAND, LEAST_SCORE = 0.93, 0.93, 40
+#: Words that name no brand.
+GENERIC_TOKENS = """
+account accounts api auth authority bank books branch care card cards centre center census co cloud com computer contents content
+corp corporate corporation dev department digital direct education election exam exams express finance financial foundation fund
+funds gov group help home health homeloans in identification india indian insurance institute informatics intranet invest
+investment kerala language life library limited load login mail management market medical mf mutual national net nic official
+online org payments portal prod research reserve registration retail sciences securelogin service services shop space state
+support secure signin store system systems test tourism tracker uat unique update verify wallet web bharat coal catering civil
+first income punjab rajasthan railway chandigarh odisha assam gujarat maharashtra tamilnadu karnataka telangana andhra bihar delhi
+haryana westbengal bengal organisation organization board commission agency committee council ministry bhavan cats sac sedal pord
+sparrow
+""".split()
+SAME_DOMAIN, FUZZY_BRAND, LEAST_SCORE, PASSING, FALLBACK = 0.93, 0.93, 40, 0.85, 10
 #: Rows of the entity tables that are broadcast at most; a row is a name and a domain.
 MOST_ENTITIES = 100_000
 
 
-def entities(spark: SparkSession, rows: list[tuple[int, str, str, str]]) -> DataFrame:
-    """(idx, entity, domain, token) from a catalogue that is given with the query."""
-    return spark.createDataFrame(rows, "idx int, entity string, domain string, token string")
+def entities(spark: SparkSession, rows: list[tuple[int, str, list[str]]]) -> DataFrame:
+    """(idx, entity, domains) from a catalogue that is given with the query."""
+    return spark.createDataFrame(rows, "idx int, entity string, domains array<string>")
 
 
 def small(entity: DataFrame) -> DataFrame:
@@ -29,8 +41,26 @@ def small(entity: DataFrame) -> DataFrame:
     return F.broadcast(entity) if entity.limit(MOST_ENTITIES + 1).count() <= MOST_ENTITIES else entity
 
 
+def brand_index(entity: DataFrame) -> DataFrame:
+    """(idx, token): an entity's brand tokens, which are the first labels of its registrable domains (three letters at least),
+    abbreviations in brackets in its name (three) and the name's words (four), without generic ones."""
+    name = F.coalesce("entity", F.lit(""))
+    label = lambda d: F.split_part(urls.registrable(urls.hostname(d)), F.lit("."), F.lit(1))
+    kinds = (
+        (F.transform(F.coalesce("domains", F.array().cast("array<string>")), label), 3),
+        (F.regexp_extract_all(name, F.lit(r"\(([A-Za-z0-9]{2,})\)"), F.lit(1)), 3),
+        (F.regexp_extract_all(F.lower(name), F.lit("([a-z0-9]{3,})"), F.lit(1)), 4),
+    )
+
+    def of_length(found: Column, least: int) -> Column:
+        return F.filter(F.transform(found, urls.flat), lambda x: F.length(x) >= least)
+
+    every = F.concat(*[of_length(found, least) for found, least in kinds])
+    return entity.select("idx", F.explode(F.array_except(every, F.array(*map(F.lit, GENERIC_TOKENS)))).alias("token"))
+
+
 def token_rule(part: Column, token: Column, others: Column) -> Column:
-    """Whether a part of a host shows a brand token. Long tokens (over four) match a part that begins or ends with them; short
+    """Whether a part of a label shows a brand token. Long tokens (over four) match a part that begins or ends with them; short
     ones match with a keyword or hint behind them, or as a whole part if another part begins with one."""
     hints = tuple(sorted({*RISK_KEYWORDS, *SUFFIX_HINTS}))
     begins = f"^({'|'.join(hints)})"
@@ -39,11 +69,20 @@ def token_rule(part: Column, token: Column, others: Column) -> Column:
     return F.when(long, F.startswith(part, token) | F.endswith(part, token)).when(part == token, F.exists(others, lambda o: o.rlike(begins))).otherwise(F.startswith(part, token) & rest.rlike(begins))
 
 
-def brand_hits(hosts: DataFrame, entity: DataFrame) -> DataFrame:
-    """(host, idx, hits): the tokens of each entity that a host shows, for pairs with at least one."""
-    parts = hosts.withColumn("parts", urls.words("host"))
+def first_label(host: Column) -> Column:
+    """The first label of a host's registrable domain, which is what brand tokens are looked for in."""
+    return F.split_part(urls.registrable(host), F.lit("."), F.lit(1))
+
+
+def brand_hits(hosts: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(host, idx, hits): the tokens(idx, token) of each entity that a host's label shows, for pairs with at least one.
+
+    Hits are found by distinct label and token, and fanned out to the entities that have the token.
+    """
+    parts = hosts.select("host", urls.words(first_label(F.col("host"))).alias("parts"))
     one = parts.select("host", "parts", F.posexplode("parts").alias("i", "part")).withColumn("others", F.filter("parts", lambda x, i: i != F.col("i")))
-    return one.join(small(entity.select("idx", "token")), token_rule(F.col("part"), F.col("token"), F.col("others"))).groupBy("host", "idx").agg(F.array_sort(F.collect_set("token")).alias("hits"))
+    shown = one.join(small(tokens.select("token").distinct()), token_rule(F.col("part"), F.col("token"), F.col("others"))).select("host", "token").distinct()
+    return shown.join(small(tokens), "token").groupBy("host", "idx").agg(F.array_sort(F.collect_set("token")).alias("hits"))
 
 
 def length_part(label: Column) -> Column:
@@ -51,19 +90,45 @@ def length_part(label: Column) -> Column:
     return F.when(n <= 8, 4).when(n <= 14, 10).when(n <= 20, 18).otherwise(25)
 
 
+def similar_domains(hosts: DataFrame, entity: DataFrame) -> DataFrame:
+    """(host, idx, similarity, domain): for each entity its domain that is most similar to the host; of equal ones the first."""
+    listed = entity.select("idx", F.posexplode("domains").alias("pos", "domain"))
+    pairs = hosts.select("host").join(small(listed.select("domain").distinct()), how="cross").withColumn("similarity", jaro_winkler_udf("host", "domain"))
+    best = F.max(F.struct("similarity", (-F.col("pos")).alias("pos"), "domain"))
+    return pairs.join(small(listed), "domain").groupBy("host", "idx").agg(best.alias("m")).select("host", "idx", "m.similarity", F.when(F.col("m.similarity") > 0, F.col("m.domain")).otherwise("").alias("domain"))
+
+
+def similar_tokens(hosts: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(host, idx, keyword_sim): the greatest similarity of a host's flat label to a token of the entity, of lengths at most six apart."""
+    flat = hosts.select("host", urls.flat(first_label(F.col("host"))).alias("flat"))
+    near = F.abs(F.length("flat") - F.length("token")) <= 6
+    pairs = flat.select("flat").distinct().join(small(tokens.select("token").distinct()), near).withColumn("keyword_sim", jaro_winkler_udf("flat", "token"))
+    best = pairs.join(small(tokens), "token").groupBy("flat", "idx").agg(F.max("keyword_sim").alias("keyword_sim"))
+    return flat.join(best, "flat").select("host", "idx", "keyword_sim")
+
+
 def scored(hosts: DataFrame, entity: DataFrame) -> DataFrame:
-    """(host, idx, entity, domain, similarity, keyword_sim, n_hits, total, lexical_score, evidence, rule_hit) for each host and entity.
+    """For each of hosts(host) and entities: host, idx, entity, domain, similarity, keyword_sim, n_hits, hits, total, lexical_score,
+    evidence, rule_hit, n_risk.
 
-    Every host meets every entity: the catalogue is small and broadcast, and hosts are distinct before this.
+    Every host meets every entity: the catalogue is small and broadcast, and hosts are distinct before this. Similarities are
+    computed for distinct pairs, however many entities have a domain or token in common.
     """
-    label = F.split_part(urls.registrable(F.col("host")), F.lit("."), F.lit(1))
     hints = tuple(sorted({*RISK_KEYWORDS, *SUFFIX_HINTS}))
-    profile = hosts.withColumn("label", label).withColumn("flat", urls.flat(label)).withColumn("n_risk", F.size(F.filter(F.array(*map(F.lit, hints)), lambda k: F.contains(F.col("flat"), k))))
-    crossed = profile.crossJoin(small(entity)).withColumn("similarity", jaro_winkler_udf("host", "domain"))
-    near = F.abs(F.length("label") - F.length("token")) <= 6
-    full = crossed.withColumn("keyword_sim", F.when(near, jaro_winkler_udf("label", "token")).otherwise(0.0))
-    hits = brand_hits(hosts, entity).select(F.col("host").alias("h"), F.col("idx").alias("k"), F.size("hits").alias("n_hits"))
-    joined = full.join(hits, (F.col("host") == F.col("h")) & (F.col("idx") == F.col("k")), "left").withColumn("n_hits", F.coalesce("n_hits", F.lit(0)))
+    tokens = brand_index(entity)
+    label = first_label(F.col("host"))
+    profile = hosts.select("host").withColumn("label", label).withColumn("risks", F.filter(F.array(*map(F.lit, hints)), lambda k: F.contains(urls.flat(F.col("label")), k))).withColumn("n_risk", F.size("risks"))
+    joined = (
+        profile.join(small(entity.select("idx", "entity")), how="cross")
+        .join(similar_domains(hosts, entity), ["host", "idx"], "left")
+        .join(similar_tokens(hosts, tokens), ["host", "idx"], "left")
+        .join(brand_hits(hosts, tokens), ["host", "idx"], "left")
+        .withColumn("similarity", F.coalesce("similarity", F.lit(0.0)))
+        .withColumn("domain", F.coalesce("domain", F.lit("")))
+        .withColumn("keyword_sim", F.coalesce("keyword_sim", F.lit(0.0)))
+        .withColumn("hits", F.coalesce("hits", F.array().cast("array<string>")))
+        .withColumn("n_hits", F.size("hits"))
+    )
     fuzzy = (F.col("n_risk") > 0) & (F.col("keyword_sim") >= FUZZY_BRAND)
     evidence = (F.col("n_hits") > 0) | fuzzy
     entropy_part = F.least(F.greatest(urls.entropy(F.col("label")) / 4.5 * 25, F.lit(0.0)), F.lit(25.0))
@@ -78,23 +143,30 @@ def scored(hosts: DataFrame, entity: DataFrame) -> DataFrame:
         joined.withColumn("evidence", evidence)
         .withColumn("total", total)
         .withColumn("lexical_score", F.greatest("similarity", F.col("total") / 100.0))
-        .withColumn("rule_hit", (F.col("similarity") >= SAME_DOMAIN) | ((F.col("total") >= LEAST_SCORE) & evidence))
-        .select("host", "idx", "entity", "domain", "similarity", "keyword_sim", "n_hits", "total", "lexical_score", "evidence", "rule_hit")
+        .withColumn("rule_hit", (F.col("similarity") >= SAME_DOMAIN) | ((F.col("total") >= LEAST_SCORE) & F.col("evidence")))
+        .select("host", "idx", "entity", "domain", "similarity", "keyword_sim", "n_hits", "hits", "total", "lexical_score", "evidence", "rule_hit", "n_risk")
     )
 
 
-def gate(scores: DataFrame, floor: float = 0.85) -> DataFrame:
-    """Per host the best entity (greatest lexical score, then least idx), its label, risk band and whether it passes the gate.
+def candidates(scores: DataFrame, k: int = FALLBACK) -> DataFrame:
+    """scores of a host's candidate entities with fallback: those with a rule hit, or where there is none, the k of greatest lexical
+    score (of equal ones the greatest idx), as fallback only."""
+    ranked = scores.withColumn("any_hit", F.max("rule_hit").over(Window.partitionBy("host"))).withColumn("r", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("lexical_score"), F.desc("idx"))))
+    return ranked.where(F.col("rule_hit") | (~F.col("any_hit") & (F.col("r") <= k))).withColumn("fallback", ~F.col("any_hit")).drop("any_hit", "r")
+
+
+def gate(scores: DataFrame, floor: float = PASSING, k: int = FALLBACK) -> DataFrame:
+    """Per host the best candidate entity (greatest lexical score, then least idx), its label, risk band and whether it passes.
 
-    Candidates are the entities with a rule hit or a brand token; where a host has none, all are ranked, as fallback only.
+    A host passes with a strict hit, or with a score at the floor that isn't the rank of a fallback alone.
     """
-    best = Window.partitionBy("host").orderBy(F.desc(F.col("rule_hit") | (F.col("n_hits") > 0)), F.desc("lexical_score"), "idx")
-    top = scores.withColumn("r", F.row_number().over(best)).where("r = 1")
-    strict = F.col("rule_hit") | (F.col("n_hits") > 0)
-    passed, fallback = F.col("lexical_score") >= floor, ~strict
+    top = candidates(scores, k).withColumn("r", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("lexical_score"), "idx"))).where("r = 1")
+    strict = F.col("rule_hit")
+    fallback_only = F.col("fallback") & ~strict
+    passed = (F.col("lexical_score") >= floor) & ~fallback_only
     return top.select(
-        "host", "entity", "domain", F.round("similarity", 6).alias("similarity"), F.round("lexical_score", 6).alias("lexical_score"), "total",
-        F.when(F.col("similarity") >= SAME_DOMAIN, "whitelist").when((F.col("total") >= LEAST_SCORE) & F.col("evidence"), "score").otherwise("none").alias("match_reason"),
+        "host", "entity", "domain", F.round("similarity", 6).alias("similarity"), F.round("keyword_sim", 6).alias("keyword_sim"), F.round("lexical_score", 6).alias("lexical_score"), "total", F.array_join("hits", "|").alias("brand_hits"),
+        F.when(F.col("similarity") >= SAME_DOMAIN, "whitelist_similarity_match").when((F.col("total") >= LEAST_SCORE) & F.col("evidence"), "score_threshold_match").otherwise("no_match").alias("match_reason"),
         F.when(F.col("total") >= 70, "high").when(F.col("total") >= 40, "medium").otherwise("low").alias("risk"),
-        strict.alias("strict_lexical_hit"), (strict | (passed & ~fallback)).alias("gate"),
+        (strict & F.col("evidence")).alias("brand_token_hit"), strict.alias("strict_lexical_hit"), passed.alias("lexical_score_pass"), fallback_only.alias("fallback_rank_only"), (strict | (passed & ~fallback_only)).alias("gate"),
     )

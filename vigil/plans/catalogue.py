@@ -1,14 +1,30 @@
 """Catalogues that the queries are given: invented entities, brands, sectors and address ranges."""
 
-#: (idx, entity, domain, token)
+#: (idx, entity, domains)
 ENTITIES = [
-    (0, "Therin Bank", "therin.example.net", "therin"),
-    (1, "Ththre Pay", "ththre.example.com", "ththre"),
-    (2, "Thther Telecom", "thther.example.org", "thther"),
-    (3, "Spam Farm Watch", "spam-farm.example.org", "spam"),
-    (4, "Onti Air", "onti.example.com", "onti"),
-    (5, "Red Widget", "widget.example.net", "widget"),
+    (0, "Therin Bank", ["therin.example.net", "therin-bank.com"]),
+    (1, "Ththre Pay (TTP)", ["ththre.example.com", "ttp.co.in"]),
+    (2, "Thther Telecom", ["thther.example.org"]),
+    (3, "Spam Farm Watch", ["spam-farm.example.org", "spamfarm.net"]),
+    (4, "Onti Air", ["onti.example.com", "example.org"]),
+    (5, "Red Widget (RW)", ["widget.example.net", "redwidget.com"]),
 ]
+#: Entities, as above, and hosts of the gate's known cases.
+PROTECTED = [
+    (0, "Axis Bank", ["axisbank.com", "axismf.com", "axismaxlife.com"]),
+    (1, "Airtel", ["airtel.in", "airtel.com"]),
+    (2, "Kfintech", ["kfintech.com"]),
+    (3, "Air India", ["airindia.com", "airindiaexpress.com"]),
+    (4, "Computer Age Management Services Ltd. (CAMS)", ["camsonline.com"]),
+    (5, "State Bank of India (SBI)", ["sbi.co.in", "onlinesbi.com"]),
+    (6, "ICICI Bank", ["icicibank.com"]),
+    (7, "Registrar General and Census Commissioner of India (RGCCI)", ["crsorgi.gov.in"]),
+    (8, "UIDAI", ["uidai.gov.in"]),
+]
+JUDGED = (
+    "16fintech.com", "airtelbox.com", "airtiz.net", "ajiraexpress.com", "art-axis.art", "atmosonline.com", "axis-fluxrad.com", "axis-grandhiraki.com", "axis-mobfintech.com", "axis-modelmgmt.com",
+    "airtel-secure-pay.club", "axisupi-login.com", "sbirewardlogin.com", "icici-bank-secure.icu", "crsorgi-login.info", "uidai-service-gov.com", "5208is.xyz", "axis-network.com", "home-loans.website",
+)
 #: (alias, canonical)
 BRANDS = [("license", "GNU"), ("gnu", "GNU"), ("public", "GNU"), ("the", "Article"), ("and", "Article"), ("der", "Artikel"), ("und", "Artikel"), ("token", "Secret"), ("que", "Articulo")]
 #: (token, sector); the first that matches

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from vigil.operators.lexical import RISK_KEYWORDS, SUFFIX_HINTS
+from vigil.operators.lexical import GENERIC_TOKENS, RISK_KEYWORDS, SUFFIX_HINTS
 from vigil.operators.policy import INPUTS
-from vigil.plans.catalogue import BRANDS, ENTITIES, GEO, SECTORS
+from vigil.plans.catalogue import BRANDS, ENTITIES, GEO, JUDGED, PROTECTED, SECTORS
 
 
 def _values(rows) -> str:
@@ -25,21 +25,61 @@ def _entropy(x: str) -> str:
     return f"CASE WHEN length({x}) = 0 THEN 0.0 ELSE coalesce(list_sum(list_transform(list_distinct(string_split({x}, '')), lambda c: -(length({x}) - length(replace({x}, c, ''))) / length({x}) * log2((length({x}) - length(replace({x}, c, ''))) / length({x})))), 0.0) END"
 
 
-_ENT = f"ent(idx, entity, domain, token) AS ({_values(ENTITIES)})"
+def _ent(rows) -> str:
+    return "ent(idx, entity, domains) AS (VALUES " + ", ".join(f"({i}, '{e}', {d})" for i, e, d in rows) + ")"
+
+
+_ENT = _ent(ENTITIES)
 _HINTS = sorted({*RISK_KEYWORDS, *SUFFIX_HINTS})
 _BEGINS = f"'^({'|'.join(_HINTS)})'"
 _HOSTS = f"hosts AS (SELECT DISTINCT {_HOST} AS host FROM pages WHERE {_HOST} <> '')"
+_FLAT = "regexp_replace(lower({0}), '[^a-z0-9]+', '', 'g')"
+_TOKENS_OF = f"""
+dom AS (SELECT idx, unnest(domains) AS domain, unnest(range(len(domains))) AS pos FROM ent),
+tok AS (SELECT DISTINCT idx, token FROM (
+    SELECT idx, {_FLAT.format(f"string_split({_registrable('domain')}, '.')[1]")} AS token, 3 AS least FROM dom
+    UNION ALL SELECT idx, lower(unnest(regexp_extract_all(entity, '\\(([A-Za-z0-9]{{2,}})\\)', 1))), 3 FROM ent
+    UNION ALL SELECT idx, unnest(regexp_extract_all(lower(entity), '[a-z0-9]{{3,}}')), 4 FROM ent)
+  WHERE length(token) >= least AND token NOT IN {tuple(GENERIC_TOKENS)})"""
 _HITS = f"""
-parts AS (SELECT host, list_filter(regexp_split_to_array(lower(host), '[^a-z0-9]+'), lambda x: x <> '') AS parts FROM hosts),
+labels AS (SELECT host, string_split({_registrable("host")}, '.')[1] AS label FROM hosts),
+parts AS (SELECT host, list_filter(regexp_split_to_array(lower(label), '[^a-z0-9]+'), lambda x: x <> '') AS parts FROM labels),
 one AS (SELECT host, parts, unnest(range(1, len(parts) + 1)) AS i FROM parts),
 rules AS (
-  SELECT host, idx, token, parts[i] AS part, i, parts FROM one, ent),
+  SELECT host, idx, token, parts[i] AS part, i, parts FROM one, tok),
 hits AS (
   SELECT host, idx, list_sort(list_distinct(list(token))) AS hits FROM rules
   WHERE CASE WHEN length(token) > 4 THEN starts_with(part, token) OR ends_with(part, token)
              WHEN part = token THEN len(list_filter(parts, lambda o, k: k <> i AND regexp_matches(o, {_BEGINS}))) > 0
              ELSE starts_with(part, token) AND regexp_matches(substr(part, length(token) + 1), {_BEGINS}) END
   GROUP BY host, idx)"""
+_SCORED = f"""
+sim AS (SELECT host, idx, domain, similarity FROM (SELECT *, row_number() OVER (PARTITION BY host, idx ORDER BY similarity DESC, pos) AS r FROM (SELECT host, idx, pos, domain, jaro_winkler_similarity(host, domain) AS similarity FROM hosts, dom)) WHERE r = 1),
+flats AS (SELECT host, label, {_FLAT.format("label")} AS flat FROM labels),
+key AS (SELECT host, idx, max(jaro_winkler_similarity(flat, token)) AS keyword_sim FROM flats, tok WHERE abs(length(flat) - length(token)) <= 6 GROUP BY host, idx),
+prof2 AS (SELECT *, len(list_filter({_HINTS}, lambda k: contains(flat, k))) AS n_risk FROM flats),
+full_ AS (
+  SELECT p.*, ent.idx, entity, CASE WHEN coalesce(similarity, 0) > 0 THEN domain ELSE '' END AS domain, coalesce(similarity, 0.0) AS similarity, coalesce(keyword_sim, 0.0) AS keyword_sim, coalesce(hits, []) AS hits, coalesce(len(hits), 0) AS n_hits, {_entropy("label")} AS ent_bits
+  FROM prof2 p CROSS JOIN ent LEFT JOIN sim ON sim.host = p.host AND sim.idx = ent.idx LEFT JOIN key ON key.host = p.host AND key.idx = ent.idx LEFT JOIN hits ON hits.host = p.host AND hits.idx = ent.idx),
+j AS (SELECT *, n_risk > 0 AND keyword_sim >= 0.93 AS fuzzy FROM full_),
+e AS (SELECT *, n_hits > 0 OR fuzzy AS evidence FROM j),
+pts AS (SELECT *, CASE WHEN evidence THEN 0.35::DOUBLE * (CASE WHEN length(label) <= 8 THEN 4 WHEN length(label) <= 14 THEN 10 WHEN length(label) <= 20 THEN 18 ELSE 25 END) + 0.35::DOUBLE * least(greatest(ent_bits / 4.5::DOUBLE * 25, 0.0), 25.0) ELSE 0.0 END
+    + CASE WHEN evidence AND n_risk > 0 THEN least(12, 6 + 3 * (n_risk - 1)) ELSE 0 END
+    + CASE WHEN n_hits > 0 THEN least(32, 18 + 6 * (n_hits - 1)) WHEN fuzzy THEN 12 ELSE 0 END + least(25.0, 25 * keyword_sim) AS points FROM e),
+t AS (SELECT *, CAST(least(greatest(round_even(points, 0), 0), 100) AS INTEGER) AS total FROM pts),
+s AS (SELECT *, greatest(similarity, total / 100.0::DOUBLE) AS lexical_score, similarity >= 0.93 OR (total >= 40 AND evidence) AS rule_hit FROM t)"""
+
+
+def _gate(ent: str, hosts: str) -> str:
+    return f"""
+WITH {ent}, {hosts}, {_TOKENS_OF}, {_HITS}, {_SCORED},
+r AS (SELECT *, max(CAST(rule_hit AS INTEGER)) OVER (PARTITION BY host) AS any_hit, row_number() OVER (PARTITION BY host ORDER BY rule_hit DESC, lexical_score DESC, idx) AS k FROM s),
+b AS (SELECT *, any_hit = 0 AND NOT rule_hit AS fallback_rank_only, lexical_score >= 0.85 AND any_hit = 1 AS lexical_score_pass FROM r WHERE k = 1)
+SELECT host, entity, domain, round(similarity, 6) AS similarity, round(keyword_sim, 6) AS keyword_sim, round(lexical_score, 6) AS lexical_score, total, array_to_string(hits, '|') AS brand_hits,
+  CASE WHEN similarity >= 0.93 THEN 'whitelist_similarity_match' WHEN total >= 40 AND evidence THEN 'score_threshold_match' ELSE 'no_match' END AS match_reason,
+  CASE WHEN total >= 70 THEN 'high' WHEN total >= 40 THEN 'medium' ELSE 'low' END AS risk, rule_hit AND evidence AS brand_token_hit, rule_hit AS strict_lexical_hit, lexical_score_pass, fallback_rank_only,
+  rule_hit OR lexical_score_pass AS gate
+FROM b"""
 
 
 def _decide(source: str) -> str:
@@ -95,32 +135,21 @@ def _popcount(a: str, b: str) -> str:
 _TOKENS = "list_distinct(list_filter(regexp_split_to_array(lower({0}), '[^a-z0-9]+'), lambda x: length(x) >= {1}))"
 
 ORACLES = {
-    "q_lexical_gate": f"""
-WITH {_ENT}, {_HOSTS}, {_HITS},
-prof AS (SELECT host, string_split({_registrable("host")}, '.')[1] AS label FROM hosts),
-prof2 AS (SELECT *, len(list_filter({_HINTS}, lambda k: contains(regexp_replace(lower(label), '[^a-z0-9]+', '', 'g'), k))) AS n_risk FROM prof),
-full_ AS (
-  SELECT p.*, e.*, jaro_winkler_similarity(host, domain) AS similarity,
-         CASE WHEN abs(length(label) - length(token)) <= 6 THEN jaro_winkler_similarity(label, token) ELSE 0.0 END AS keyword_sim FROM prof2 p, ent e),
-j AS (SELECT f.*, coalesce(len(h.hits), 0) AS n_hits, n_risk > 0 AND keyword_sim >= 0.93 AS fuzzy, {_entropy("label")} AS ent_bits FROM full_ f LEFT JOIN hits h ON f.host = h.host AND f.idx = h.idx),
-e AS (SELECT *, n_hits > 0 OR fuzzy AS evidence FROM j),
-pts AS (SELECT *, CASE WHEN evidence THEN 0.35::DOUBLE * (CASE WHEN length(label) <= 8 THEN 4 WHEN length(label) <= 14 THEN 10 WHEN length(label) <= 20 THEN 18 ELSE 25 END) + 0.35::DOUBLE * least(greatest(ent_bits / 4.5::DOUBLE * 25, 0.0), 25.0) ELSE 0.0 END
-    + CASE WHEN evidence AND n_risk > 0 THEN least(12, 6 + 3 * (n_risk - 1)) ELSE 0 END
-    + CASE WHEN n_hits > 0 THEN least(32, 18 + 6 * (n_hits - 1)) WHEN fuzzy THEN 12 ELSE 0 END + least(25.0, 25 * keyword_sim) AS points FROM e),
-t AS (SELECT *, CAST(least(greatest(round_even(points, 0), 0), 100) AS INTEGER) AS total FROM pts),
-s AS (SELECT *, greatest(similarity, total / 100.0::DOUBLE) AS lexical_score, similarity >= 0.93 OR (total >= 40 AND evidence) OR n_hits > 0 AS rule_hit FROM t),
-r AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY rule_hit DESC, lexical_score DESC, idx) AS k FROM s)
-SELECT host, entity, domain, round(similarity, 6) AS similarity, round(lexical_score, 6) AS lexical_score, total,
-  CASE WHEN similarity >= 0.93 THEN 'whitelist' WHEN total >= 40 AND evidence THEN 'score' ELSE 'none' END AS match_reason,
-  CASE WHEN total >= 70 THEN 'high' WHEN total >= 40 THEN 'medium' ELSE 'low' END AS risk, rule_hit AS strict_lexical_hit, rule_hit AS gate
-FROM r WHERE k = 1""",
+    "q_lexical_gate": _gate(_ENT, _HOSTS),
+    "q_protected_gate": _gate(_ent(PROTECTED), f"hosts(host) AS ({_values([(h,) for h in JUDGED])})"),
+    "q_lexical_candidates": f"""
+WITH {_ENT}, {_HOSTS}, {_TOKENS_OF}, {_HITS}, {_SCORED},
+r AS (SELECT *, max(CAST(rule_hit AS INTEGER)) OVER (PARTITION BY host) = 0 AS fallback, row_number() OVER (PARTITION BY host ORDER BY lexical_score DESC, idx DESC) AS k FROM s)
+SELECT host, idx, round(lexical_score, 6) AS lexical_score, rule_hit, fallback FROM r WHERE rule_hit OR (fallback AND k <= 2)""",
+    "q_brand_index": f"WITH {_ent(PROTECTED)}, {_TOKENS_OF} SELECT idx, token FROM tok",
     "q_jw_whitelist_topk": f"""
-WITH {_ENT}, {_HOSTS}, p AS (SELECT *, round(jaro_winkler_similarity(host, domain), 6) AS similarity FROM hosts, ent)
-SELECT host, entity, domain, similarity, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY similarity DESC, idx) AS rank FROM p) WHERE rank <= 3""",
-    "q_brand_token_hits": f"WITH {_ENT}, {_HOSTS}, {_HITS} SELECT host, idx, array_to_string(hits, '|') AS hits, len(hits) AS n_hits FROM hits",
+WITH {_ENT}, {_HOSTS}, {_TOKENS_OF}, p AS (SELECT host, idx, pos, domain, jaro_winkler_similarity(host, domain) AS raw FROM hosts, dom),
+b AS (SELECT host, idx, CASE WHEN raw > 0 THEN domain ELSE '' END AS domain, round(raw, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY host, idx ORDER BY raw DESC, pos) AS r FROM p) WHERE r = 1)
+SELECT host, idx, domain, similarity, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY similarity DESC, idx) AS rank FROM b) WHERE rank <= 3""",
+    "q_brand_token_hits": f"WITH {_ENT}, {_HOSTS}, {_TOKENS_OF}, {_HITS} SELECT host, idx, array_to_string(hits, '|') AS hits, len(hits) AS n_hits FROM hits",
     "q_token_band_join": f"""
-WITH {_ENT}, w AS (SELECT DISTINCT unnest({_TOKENS.format("p_name", 3)}) AS word FROM part)
-SELECT word, token, idx, round(jaro_winkler_similarity(word, token), 6) AS similarity FROM w, ent WHERE abs(length(word) - length(token)) <= 2""",
+WITH {_ENT}, {_TOKENS_OF}, w AS (SELECT DISTINCT unnest({_TOKENS.format("p_name", 3)}) AS word FROM part)
+SELECT word, token, idx, round(jaro_winkler_similarity(word, token), 6) AS similarity FROM w, tok WHERE abs(length(word) - length(token)) <= 2""",
     "q_url_features": f"""
 SELECT page_id, length(url) AS url_length, length({_HOST}) AS host_length, length({_PATH}) AS path_length,
   len(regexp_extract_all(url, '\\.')) AS n_dots, len(regexp_extract_all(url, '-')) AS n_hyphens, len(regexp_extract_all(url, '[0-9]')) AS n_digits, len(regexp_extract_all(url, '/')) AS n_slashes, len(regexp_extract_all(url, '[^A-Za-z0-9]')) AS n_special,
@@ -189,7 +218,7 @@ WITH w AS (SELECT doc_id AS id, unnest({_TOKENS.format("text", 2)}) AS alias FRO
 p AS (SELECT id, canonical, count(DISTINCT alias) AS n_hits, max(length(alias)) AS longest FROM w JOIN b USING (alias) GROUP BY ALL)
 SELECT id, canonical, n_hits, longest FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n_hits DESC, longest DESC, canonical) AS r FROM p) WHERE r = 1""",
     "q_suffix_catalog": f"""
-WITH {_ENT}, h AS (SELECT page_id, {_HOST} AS host FROM pages), m AS (SELECT h.*, domain, entity, row_number() OVER (PARTITION BY page_id ORDER BY length(domain) DESC NULLS LAST, domain DESC) AS k FROM h LEFT JOIN ent ON host = domain OR ends_with(host, '.' || domain))
+WITH {_ENT}, h AS (SELECT page_id, {_HOST} AS host FROM pages), m AS (SELECT h.*, domain, entity, row_number() OVER (PARTITION BY page_id ORDER BY length(domain) DESC NULLS LAST, domain DESC) AS k FROM h LEFT JOIN (SELECT unnest(domains) AS domain, entity FROM ent) ON host = domain OR ends_with(host, '.' || domain))
 SELECT page_id, host, domain AS brand_domain, entity FROM m WHERE k = 1""",
     "q_keyword_overlap": f"""
 WITH w AS (SELECT doc_id, unnest({_TOKENS.format("text", 4)}) AS w FROM documents), k AS (SELECT DISTINCT unnest({_TOKENS.format("text", 4)}) AS w FROM benchmark)
@@ -242,7 +271,7 @@ UNION ALL SELECT 'union_all', count(*), CAST(coalesce(sum(k), 0) AS BIGINT) FROM
 WITH p AS (SELECT p_partkey, p_type, CASE WHEN p_partkey % 7 <> 0 THEN p_size END AS size, p_retailprice AS price FROM part), m AS (SELECT median(size) AS ms, avg(price) AS a, stddev_pop(price) AS s FROM p)
 SELECT p_partkey, coalesce(CAST(size AS DOUBLE), ms) AS size, round((price - a) / s, 5) AS price, CAST(p_type = 'ECONOMY' AS INTEGER) AS p_type_economy, CAST(p_type = 'PROMO' AS INTEGER) AS p_type_promo, CAST(p_type = 'LARGE' AS INTEGER) AS p_type_large FROM p, m""",
     "q_class_frequencies": """
-WITH c AS (SELECT p_brand, count(*) AS class_n FROM part GROUP BY p_brand HAVING count(*) >= 80), d AS (SELECT *, dense_rank() OVER (ORDER BY p_brand) - 1 AS class_id FROM c)
+WITH c AS (SELECT p_brand, count(*) AS class_n FROM part GROUP BY p_brand HAVING count(*) >= 5), d AS (SELECT *, dense_rank() OVER (ORDER BY p_brand) - 1 AS class_id FROM c)
 SELECT p_partkey, p_brand, class_n, class_id FROM part JOIN d USING (p_brand)""",
     "q_topk_cosine_entities": """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vigil.functions import hashing, signals, text, urls
 from vigil.functions.similarity import indel_ratio_udf, jaro_winkler_udf, token_set_ratio_udf
 from vigil.operators import features, infra, lexical, matching, monitor, policy, reports, scoring, state
-from vigil.plans.catalogue import BRANDS, ENTITIES, GEO, SALE_RULES, SECTORS
+from vigil.plans.catalogue import BRANDS, ENTITIES, GEO, JUDGED, PROTECTED, SALE_RULES, SECTORS
 from vigil.sources import readers
 from vigil.streaming import streams
 
@@ -40,26 +40,45 @@ def q_lexical_gate(spark, d):
     return lexical.gate(lexical.scored(_hosts(spark, d), _ent(spark)))
 
 
+@query
+def q_protected_gate(spark, d):
+    """Known hosts against a catalogue with several domains and brand tokens an entity."""
+    hosts = spark.createDataFrame([(h,) for h in JUDGED], "host string")
+    return lexical.gate(lexical.scored(hosts, lexical.entities(spark, PROTECTED)))
+
+
+@query
+def q_lexical_candidates(spark, d):
+    """The candidate entities of each host; where no rule hits, the two best as fallback."""
+    found = lexical.candidates(lexical.scored(_hosts(spark, d), _ent(spark)), 2)
+    return found.select("host", "idx", F.round("lexical_score", 6).alias("lexical_score"), "rule_hit", "fallback")
+
+
+@query
+def q_brand_index(spark, d):
+    return lexical.brand_index(lexical.entities(spark, PROTECTED))
+
+
 @query
 def q_jw_whitelist_topk(spark, d):
-    """The three most similar entities of each host, ties to the first entity."""
+    """The three most similar entities of each host by their best domain, ties to the first entity."""
     from pyspark.sql import Window
 
-    pairs = _hosts(spark, d).crossJoin(lexical.small(_ent(spark))).withColumn("similarity", F.round(jaro_winkler_udf("host", "domain"), 6))
+    best = lexical.similar_domains(_hosts(spark, d), _ent(spark)).withColumn("similarity", F.round("similarity", 6))
     w = Window.partitionBy("host").orderBy(F.desc("similarity"), "idx")
-    return pairs.withColumn("rank", F.row_number().over(w)).where("rank <= 3").select("host", "entity", "domain", "similarity", "rank")
+    return best.withColumn("rank", F.row_number().over(w)).where("rank <= 3").select("host", "idx", "domain", "similarity", "rank")
 
 
 @query
 def q_brand_token_hits(spark, d):
-    return lexical.brand_hits(_hosts(spark, d), _ent(spark)).select("host", "idx", F.array_join("hits", "|").alias("hits"), F.size("hits").cast("long").alias("n_hits"))
+    return lexical.brand_hits(_hosts(spark, d), lexical.brand_index(_ent(spark))).select("host", "idx", F.array_join("hits", "|").alias("hits"), F.size("hits").cast("long").alias("n_hits"))
 
 
 @query
 def q_token_band_join(spark, d):
     """Distinct words of part names against brand tokens of nearly the same length."""
     words = _t(spark, d, "part").select(F.explode(text.tokens(F.col("p_name"))).alias("word")).distinct()
-    near = words.join(lexical.small(_ent(spark).select("idx", "token")), F.abs(F.length("word") - F.length("token")) <= 2)
+    near = words.join(lexical.small(lexical.brand_index(_ent(spark))), F.abs(F.length("word") - F.length("token")) <= 2)
     return near.select("word", "token", "idx", F.round(jaro_winkler_udf("word", "token"), 6).alias("similarity"))
 
 
@@ -145,7 +164,7 @@ def q_hash_anchor_score(spark, d):
 
 @query
 def q_margin_second_best(spark, d):
-    return scoring.margins(_t(spark, d, "lineitem").select("l_orderkey", "l_extendedprice", "l_linenumber"), "l_orderkey", "l_extendedprice", "l_linenumber").withColumnsRenamed({})
+    return scoring.margins(_t(spark, d, "lineitem").select("l_orderkey", "l_extendedprice", "l_linenumber"), "l_orderkey", "l_extendedprice", "l_linenumber")
 
 
 @query
@@ -224,7 +243,7 @@ def q_tvc_catalog_match(spark, d):
 @query
 def q_suffix_catalog(spark, d):
     hosts = _t(spark, d, "pages").select("page_id", urls.hostname(F.col("url")).alias("host"))
-    cat = _ent(spark).select("domain", "entity")
+    cat = _ent(spark).select(F.explode("domains").alias("domain"), "entity")
     return matching.suffix_match(hosts, cat).select("page_id", "host", F.col("domain").alias("brand_domain"), "entity")
 
 
@@ -375,7 +394,7 @@ def q_feature_matrix(spark, d):
 
 @query
 def q_class_frequencies(spark, d):
-    return features.frequent_classes(_t(spark, d, "part").select("p_partkey", "p_brand"), "p_brand", 80).select("p_partkey", "p_brand", "class_n", F.col("class_id").cast("long").alias("class_id"))
+    return features.frequent_classes(_t(spark, d, "part").select("p_partkey", "p_brand"), "p_brand").select("p_partkey", "p_brand", "class_n", F.col("class_id").cast("long").alias("class_id"))
 
 
 @query
