@@ -1,11 +1,12 @@
 from pyspark.sql import functions as F
 
 from vigil.operators import features, lexical, matching, monitor, policy, reports, scoring, state
+from vigil.plans.catalogue import PROTECTED
 from vigil.sources import readers, writers
 
 
 def test_brand_token_gate(spark):
-    catalogue = lexical.entities(spark, [(0, "Airtel", ["airtel.in"]), (1, "SBI", ["sbi.co.in"]), (2, "UIDAI", ["uidai.gov.in"]), (3, "Axis", ["axisbank.com"])])
+    catalogue = lexical.entities(spark, PROTECTED)
     good, bad = ["airtel-secure-pay.club", "axisupi-login.com", "sbirewardlogin.com", "uidai-service-gov.com"], ["5208is.xyz", "art-axis.art", "axis-network.com", "home-loans.website"]
     hits = {r.host for r in lexical.brand_hits(spark.createDataFrame([(h,) for h in good + bad], "host string"), lexical.brand_index(catalogue)).collect()}
     assert hits == set(good)
