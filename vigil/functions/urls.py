@@ -22,8 +22,9 @@ def netloc(url: Column) -> Column:
 
 
 def hostname(url: Column) -> Column:
-    """Lower-cased host without user and port; surrounding dots go. parse_url() loses hosts with underscores."""
-    return F.regexp_replace(F.lower(F.regexp_extract(F.trim(url), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/?#@]*@)?([^:/?#]*)", 1)), r"^\.+|\.+$", "")
+    """Lower-cased host without user and port; surrounding dots, and the brackets of an IPv6 address, go. parse_url() loses hosts with
+    underscores."""
+    return F.regexp_replace(F.lower(F.regexp_extract(F.trim(url), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/?#@]*@)?(\[[^\]]*\]|[^:/?#]*)", 1)), r"^[.\[]+|[.\]]+$", "")
 
 
 def labels(host: Column) -> Column:

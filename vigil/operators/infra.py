@@ -24,18 +24,69 @@ def seed(*columns: Column) -> Column:
     return F.coalesce(*[F.when(present(c), F.trim(c)) for c in columns], F.lit("NA"))
 
 
+_CARD = "roles: array<string>, vcardArray: array<string>"
+_REGISTRATION = f"events array<struct<eventAction: string, eventDate: string>>, nameservers array<struct<ldhName: string>>, entities array<struct<{_CARD}, entities: array<struct<{_CARD}>>>>"
+
+
+def _field(entity: Column, name: str) -> Column:
+    """The value of the first field of that name in an entity's card; null without one."""
+    items = F.from_json(F.get(entity["vcardArray"], F.lit(1)), "array<array<string>>")
+    return F.get(F.get(F.filter(items, lambda i: (F.size(i) >= 4) & (F.get(i, F.lit(0)) == name)), F.lit(0)), F.lit(3))
+
+
+def _last(values: Column) -> Column:
+    return F.get(F.reverse(F.filter(values, lambda x: x.isNotNull())), F.lit(0))
+
+
 def registration(doc: Column) -> dict[str, Column]:
-    """Fields of a registration document: name and country from its first entity's card, the event dates, the name servers."""
-    get = lambda path: F.get_json_object(doc, path)
-    events = F.from_json(get("$.events"), "array<struct<eventAction: string, eventDate: string>>")
-    servers = F.from_json(get("$.nameservers"), "array<struct<ldhName: string>>")
-    when = lambda action: F.get(F.filter(events, lambda e: e["eventAction"] == action), F.lit(0))["eventDate"]
-    return {
-        "registrant": F.coalesce(get("$.entities[0].vcardArray[1][1][3]"), F.lit("NA")),
-        "registered": F.coalesce(when("registration"), F.lit("NA")),
-        "expires": F.coalesce(when("expiration"), F.lit("NA")),
-        "name_servers": F.coalesce(F.array_join(F.transform(servers, lambda s: F.lower(s["ldhName"])), ";"), F.lit("NA")),
+    """Fields of a registration document, NA where it has none: registrar, registrant and country by the entities' roles (the last that
+    has one, a registrant within another entity before that entity itself), dates by the events' actions, name servers as they are."""
+    d = F.from_json(doc, _REGISTRATION)
+    entities = F.coalesce(d["entities"], F.from_json(F.lit("[]"), f"array<struct<{_CARD}, entities: array<struct<{_CARD}>>>>"))
+    plays = lambda e, role: F.coalesce(F.array_contains(e["roles"], role), F.lit(False))
+    own = lambda e, role, field: F.when(plays(e, role), _field(e, field))
+    nested = lambda e: _last(F.transform(F.coalesce(e["entities"], F.from_json(F.lit("[]"), f"array<struct<{_CARD}>>")), lambda x: own(x, "registrant", "fn")))
+    address = _last(F.transform(entities, lambda e: own(e, "registrant", "adr")))
+    country = F.when(F.startswith(address, F.lit("{")), F.get_json_object(address, "$['country-name']")).when(F.startswith(address, F.lit("[")), F.nullif(F.get(F.from_json(address, "array<string>"), F.lit(6)), F.lit("")))
+    when = lambda action: F.get(F.filter(d["events"], lambda e: e["eventAction"] == action), F.lit(0))["eventDate"]
+    servers = F.filter(F.transform(d["nameservers"], lambda s: s["ldhName"]), lambda x: x.isNotNull() & (x != ""))
+    values = {
+        "registrar": _last(F.transform(entities, lambda e: own(e, "registrar", "fn"))),
+        "registrant": _last(F.transform(entities, lambda e: F.coalesce(nested(e), own(e, "registrant", "fn")))),
+        "country": country,
+        "registered": when("registration"),
+        "expires": when("expiration"),
+        "name_servers": F.nullif(F.array_join(servers, ";"), F.lit("")),
     }
+    return {n: F.coalesce(c, F.lit("NA")) for n, c in values.items()}
+
+
+def endpoint(host: Column, endpoints: dict[str, str], default: str) -> Column:
+    """The address that a host's registration is asked at: that of its last label, else the default."""
+    known = F.create_map(*[F.lit(x) for e in endpoints.items() for x in e])
+    return F.concat(F.coalesce(F.try_element_at(known, F.substring_index(F.lower(host), ".", -1)), F.lit(default)), host)
+
+
+def resolved_addresses(answers: DataFrame) -> DataFrame:
+    """(host, ips, dns_answer_count) of answers(host, pos, ip): the distinct addresses in the order in which they came."""
+    firsts = answers.where(present(F.col("ip"))).groupBy("host", "ip").agg(F.min("pos").alias("pos"))
+    return firsts.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ip"))), lambda x: x["ip"]).alias("ips"), F.count("*").alias("dns_answer_count"))
+
+
+def record_bundle(records: DataFrame) -> DataFrame:
+    """(host, dns_records) of records(host, kind, value): 'kind:value' joined by ';', kinds A, NS, MX, CNAME first, NA without any."""
+    place = F.array_position(F.array(*map(F.lit, ("A", "NS", "MX", "CNAME"))), F.col("kind"))
+    listed = records.select("host", F.struct(F.when(place > 0, place).otherwise(9).alias("p"), "kind", "value").alias("r")).distinct()
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("r.value").isNotNull(), F.col("r")))), lambda r: F.concat(r["kind"], F.lit(":"), r["value"])), ";")
+    return listed.groupBy("host").agg(F.coalesce(F.nullif(joined, F.lit("")), F.lit("NA")).alias("dns_records"))
+
+
+def looked_up_with_cache(hosts: DataFrame, cache: DataFrame, now: Column, *, cool_down: float = 90.0) -> DataFrame:
+    """Distinct hosts(host) with what to do: 'cached' if cache(host, ok, at) has a success, 'cooling' if it failed less than cool_down
+    seconds ago, else 'ask'. Each host is asked once, however many rows wait for it."""
+    last = cache.groupBy("host").agg(F.max("ok").alias("ok"), F.max(F.when(~F.col("ok"), F.col("at"))).alias("failed_at"))
+    cooling = F.col("failed_at").isNotNull() & (now.cast("double") - F.col("failed_at").cast("double") < cool_down)
+    return hosts.select("host").distinct().join(last, "host", "left").select("host", F.when(F.coalesce("ok", F.lit(False)), "cached").when(cooling, "cooling").otherwise("ask").alias("action"))
 
 
 def remaining(rows: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:

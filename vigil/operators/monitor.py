@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.operators import control
+
 
 def tumbling(events: DataFrame, ts: str, seconds: int, keys: Sequence[str], value: str) -> DataFrame:
     """Counters (count, sum), a gauge (last value) and latency (mean, max) for each window and key."""
@@ -39,21 +41,19 @@ def sessions(events: DataFrame, key: str, ts: str, gap_seconds: int) -> DataFram
     return events.groupBy(F.session_window(ts, f"{gap_seconds} seconds"), key).agg(F.count("*").alias("n"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")).drop("session_window")
 
 
-def downshift(ticks: DataFrame, part: str, order: str, *, limit: int, floor: int, step: int, windows: int = 2, least_processed: int = 0) -> DataFrame:
-    """(part, next_limit, downshifts): the fold of a limiter over a key's ticks(processed, failed, timed_out).
+def downshift(ticks: DataFrame, part: str, order: str, *, limit: int, floor: int, step: int, backlog_most: int | None = None) -> DataFrame:
+    """(part, next_limit, downshifts): the fold of a limiter over a run's ticks(processed, failed, timed_out[, backlog]).
 
-    A tick presses if timeouts reach 35 % or failures and timeouts 70 % of what it processed; `windows` of them in a row lower the
-    limit by `step`, not below the floor. Each step depends on the last, so a key's ticks are folded in order within one
-    row; they are windows of a run, and bounded by its length.
+    A tick presses if timeouts reach 35 % or failures and timeouts 70 % of what it processed, the run has processed enough by then, and
+    no more than backlog_most rows wait for the next stage; two in a row lower the limit by a step, not below the floor.
     """
-    n = F.greatest(F.lit(1), F.col("processed"))
-    pressed = (F.col("processed") > least_processed) & ((F.col("timed_out") / n >= 0.35) | ((F.col("failed") + F.col("timed_out")) / n >= 0.70))
-    rows = ticks.groupBy(part).agg(F.array_sort(F.collect_list(F.struct(F.col(order), pressed.alias("p")))).alias("t"))
-    start = F.struct(F.lit(limit).alias("limit"), F.lit(0).alias("run"), F.lit(0).alias("down"))
+    run = Window.partitionBy(part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    full = ticks.withColumn("total", F.sum("processed").over(run)).withColumn("clear", F.col("backlog") <= backlog_most if backlog_most is not None else F.lit(True))
 
-    def fold(s: Column, t: Column) -> Column:
-        run = F.when(t["p"], s["run"] + 1).otherwise(0)
-        down = t["p"] & (run >= windows) & (s["limit"] > floor)
-        return F.struct(F.when(down, F.greatest(F.lit(floor), s["limit"] - step)).otherwise(s["limit"]).alias("limit"), F.when(down, 0).otherwise(run).alias("run"), (s["down"] + down.cast("int")).alias("down"))
+    def move(s: Column, t: Column) -> Column:
+        over = t["clear"] & (t["total"] >= control.LEAST_PROCESSED) & (t["processed"] > 0) & ((control.share(t["timed_out"], t["processed"]) >= control.TIMEOUTS) | (control.share(t["failed"] + t["timed_out"], t["processed"]) >= control.FAILURES))
+        pressed = F.when(over, s["pressed"] + 1).otherwise(0)
+        down = over & (pressed >= control.PRESSED_WINDOWS) & (s["next_limit"] > floor)
+        return F.struct(F.when(down, F.greatest(F.lit(floor), s["next_limit"] - step)).otherwise(s["next_limit"]).alias("next_limit"), F.when(down, 0).otherwise(pressed).alias("pressed"), (s["downshifts"] + down.cast("int")).alias("downshifts"))
 
-    return rows.withColumn("s", F.aggregate("t", start, fold)).select(part, F.col("s.limit").alias("next_limit"), F.col("s.down").alias("downshifts"))
+    return control.folded(full, part, order, {"next_limit": F.lit(limit), "pressed": F.lit(0), "downshifts": F.lit(0)}, move).select(part, "next_limit", "downshifts")

@@ -17,6 +17,15 @@ BAD_LOOKUP = ("not_registered", "no_records", "unresolved", "connection_refused"
 BAD_DETAIL = ("err_name_not_resolved", "err_connection_refused", "no_records", "nxdomain", "not_registered", "not registered")
 
 
+def parked_text(title: Column, text: Column) -> Column:
+    """What parking() looks in: a page's title and text."""
+    return F.concat_ws(" ", *[F.when(F.trim(c) != "", F.trim(c)) for c in (title, text)])
+
+
+def parked(provider: Column, reason: Column) -> Column:
+    return present(provider) | present(reason)
+
+
 def parking(host: Column, text: Column, hosts: dict[str, str] = PARKING_HOSTS, texts: dict[str, str] = PARKING_TEXTS, phrases: tuple[str, ...] = SALE_PHRASES) -> Column:
     """struct(provider, reason), the first of the ordered rules that matches; both empty without one."""
     low = F.lower(text)

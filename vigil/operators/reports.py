@@ -25,6 +25,22 @@ def ranked(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
+def numbered(df: DataFrame, column: str, out: str, ranges: int = 200) -> DataFrame:
+    """df with out, the place (1..n) of each row in the order of a number. Ranges of about as many rows are numbered apart, and what
+    stands before each is added: no task gets all rows."""
+    edges = df.agg(F.percentile_approx(column, [i / ranges for i in range(1, ranges)], 10_000)).first()[0] or []
+    part = F.size(F.filter(F.array(*map(F.lit, sorted(set(edges)))), lambda e: e <= F.col(column))) if edges else F.lit(0)
+    dealt = df.withColumn("__part", part)
+    before, offsets = 0, []
+    for r in sorted(dealt.groupBy("__part").agg(F.count("*").alias("n")).collect(), key=lambda r: r["__part"]):  # a row a range
+        offsets += [F.lit(r["__part"]), F.lit(before)]
+        before += r.n
+    if not offsets:
+        return df.withColumn(out, F.lit(None).cast("long"))
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(column))
+    return dealt.withColumn(out, (place + F.element_at(F.create_map(*offsets), F.col("__part"))).cast("long")).drop("__part")
+
+
 def exploded(df: DataFrame, column: str, out: str) -> DataFrame:
     """A row for each distinct item of a list joined by '|': what a partitioned export writes."""
     return df.withColumn(out, F.explode(pipe_list(F.col(column))))

@@ -32,3 +32,47 @@ SECTORS = [("promo", "Retail"), ("ring", "Jewellery"), ("widget", "Industry"), (
 #: (low, high, asn, country)
 GEO = [(0, 9_999, "AS1", "AA"), (10_000, 65_535, "AS2", "BB"), (65_536, 99_999, "AS3", "CC"), (120_000, 140_000, "AS4", "DD")]
 SALE_RULES = ["work is licensed", "this domain is for sale"]
+#: (exception, message)
+FAILED = [
+    ("TimeoutError", "Page.goto: Timeout 30000ms exceeded.\nCall log:\n  - navigating\n  - waiting\n  - more\n  - last"), ("Error", "net::ERR_CONNECTION_RESET at https://x.org/"), ("Error", "net::ERR_SSL_PROTOCOL_ERROR"), ("TargetClosedError", "gone"),
+    ("NXDOMAIN", "The DNS query name does not exist: x.org."), ("NoAnswer", "no answer"), ("LifetimeTimeout", "The resolution lifetime expired"), ("OSError", "[Errno 104] Connection reset by peer"), ("ClientError", "429 too many requests"),
+    ("ClientError", "503 Service Unavailable\nBrowser logs:\nmuch"), ("ValueError", ""), ("ValueError", "boom"), ("gaierror", "Temporary failure in name resolution"),
+]
+#: Registration documents.
+REGISTRATIONS = [
+    "{}",
+    '{"events": [{"eventAction": "expiration", "eventDate": "2031-01-01"}, {"eventAction": "registration", "eventDate": "2020-02-03"}], "nameservers": [{"ldhName": "NS1.X.ORG"}, {"ldhName": ""}, {"ldhName": "ns2.x.org"}]}',
+    '{"entities": [{"roles": ["abuse"], "vcardArray": ["vcard", [["version", {}, "text", "4.0"], ["org", {}, "text", "ORG"]]]}, {"roles": ["registrant"], "vcardArray": ["vcard", [["fn", {}, "text", "Jo Doe"], ["adr", {}, "text", ["", "", "S", "T", "", "1", "IN"]]]]}]}',
+    '{"entities": [{"roles": ["registrar", "tech"], "vcardArray": ["vcard", [["fn", {}, "text", "Names Inc"]]], "entities": [{"roles": ["registrant"], "vcardArray": ["vcard", [["fn", {}, "text", "Nested Owner"]]]}]}]}',
+    '{"entities": [{"roles": ["registrant"], "vcardArray": ["vcard", [["fn", {}, "text", "Own"], ["adr", {"cc": "x"}, "text", {"country-name": "France"}]]]}, {"roles": ["registrar"], "vcardArray": ["vcard", [["org", {}, "text", "no name"]]]}]}',
+    "not json",
+]
+#: (hash, other hash, references)
+HASHES = [
+    ("ffffffffffffffff", "ffffffffffffffff", ["ffffffffffffffff"]), ("ffffffffffffffff", "0000000000000000", ["0000000000000000"]), ("0xFFFFffffffffffff", "fffffffffffffff0", ["zz", "0xfffffffffffffffe"]), ("ff", "0x0F", ["", "1"]), ("zz", "00", ["00"]),
+    ("", "00", ["00"]), ("0f0f0f0f0f0f0f0f", "f0f0f0f0f0f0f0f0", []), (None, "00", ["00"]), (" ABCDEF0123456789 ", "abcdef0123456780", ["abcdef0123456700", "abcdef0123456788"]),
+]
+#: (subject, issuer, names)
+CERTIFICATES = [
+    ([("commonName", " Bank.Example "), ("organizationName", "Bank Ltd")], [("commonName", "CA 1"), ("organizationName", "Trust")], [("DNS", "www.bank.example"), ("dns", "Bank.example"), ("IP", "10.0.0.1"), ("DNS", "bank.example")]),
+    ([], [("organizationName", "Trust"), ("organizationName", "A Trust")], []),
+    ([], [], []),
+]
+#: (brand, aliases, aliases that prove something, domains)
+BRAND_TABLE = [
+    ("axis", ["axis", "Axis Bank", "axis upi"], ["axis bank", "axis upi", "axis"], ["axisbank.com"]),
+    ("airtel", ["airtel", "bharti airtel"], ["airtel", "bharti airtel"], ["airtel.in", "airtel.com"]),
+    ("sbi", ["sbi", "state bank of india"], ["sbi", "state bank of india"], ["sbi.co.in", "onlinesbi.com"]),
+]
+#: (domain, header, recognised text, page text, entity, its domain)
+SHOWN = [
+    ("evil.com", "Welcome to Axis-Bank", "", "", "Axis Bank", "axisbank.com"), ("axisbank.com", "Axis Bank", "", "", "", ""), ("x.axisbank.com", "", "axis bank", "", "Axis Bank", ""), ("evil.com", "axis", "", "", "", ""),
+    ("evil.com", "", "", "State Bank of India", "", ""), ("evil.com", "Airtel", "Axis Bank", "", "Axis Bank", ""), ("evil.com", "nothing here", "", "", "", ""), ("evil.org", "", "stateBANK of India and airtel", "", "Unknown", "m.sbi.co.in"),
+]
+#: (word, sector), by word; words of more than one sector don't occur.
+SECTOR_RULES = [("sbi", "Banking/Financial"), ("card", "Banking/Financial"), ("life", "Insurance"), ("gov", "Government"), ("nic", "Government"), ("irctc", "Transport"), ("rail", "Transport"), ("airtel", "Telecom"), ("oil", "Oil & Gas")]
+#: (entity, domain, registrar, hoster, records)
+ORGANISATIONS = [
+    ("Indian Railway (IRCTC)", "irctc.co.in", "GoDaddy LLC", "x", "ssl"), ("Oil India", "oil.gov.in", "NA", "na", ""), ("SBI Card", "sbicard.com", "", "Cloudflare", "TLS 1.3"), ("Life Corp", "licindia.in", "CheapNames", "", ""), ("Nobody", "airtelworld.net", "x", "y", ""), (None, "plain.org", "x", "BulletProof host", ""),
+    ("State ICICI", "icici.example", "godaddy", "", ""),
+]

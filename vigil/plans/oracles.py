@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from vigil.functions.signals import BLOCKED, BROWSER_BROKEN, BROWSER_GONE, NETWORK_SUSPICIOUS, NO_SUCH_NAME, TLS_BROKEN, TRANSIENT
+from vigil.operators.brands import DOMAIN_PARTS, KINDS, SERVICES
 from vigil.operators.lexical import GENERIC_TOKENS, RISK_KEYWORDS, SUFFIX_HINTS
+from vigil.operators.outcomes import SUBMISSION, WEAK
 from vigil.operators.policy import INPUTS
-from vigil.plans.catalogue import BRANDS, ENTITIES, GEO, JUDGED, PROTECTED, SECTORS
+from vigil.plans.catalogue import BRAND_TABLE, BRANDS, CERTIFICATES, ENTITIES, FAILED, GEO, HASHES, JUDGED, ORGANISATIONS, PROTECTED, REGISTRATIONS, SECTOR_RULES, SECTORS, SHOWN
 
 
 def _values(rows) -> str:
@@ -116,6 +119,11 @@ sig AS (SELECT o_orderkey AS id, o_orderkey % 3 = 0 AS a_on, o_orderkey % 5 <> 0
 
 
 def _simhash(table: str, key: str) -> str:
+    """(key, simhash) of a table's texts; null without words."""
+    return f"(SELECT {key}, simhash FROM {table} LEFT JOIN {_word_simhash(table, key)} USING ({key}))"
+
+
+def _word_simhash(table: str, key: str) -> str:
     nibble = "(strpos('0123456789abcdef', substr(h, b // 4 + 1, 1)) - 1)"
     return f"""(
   SELECT {key}, string_agg(format('{{:x}}', v), '' ORDER BY d) AS simhash FROM (
@@ -286,16 +294,10 @@ SELECT kind, count(*) FILTER (gap >= 3600) AS warnings, count(*) FILTER (gap >=
 WITH b AS (SELECT page_id, html, regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g') AS x FROM pages),
 t AS (SELECT page_id, html, trim(regexp_replace(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', ' '), '&amp;', '&'), '[ \t\n\r\f\x0B]+', ' ', 'g')) AS body FROM b)
 SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1)) AS title, length(body) AS text_length, md5(body) AS text_md5, len(regexp_extract_all(html, '<p[ >]')) AS n_paragraphs, len(regexp_extract_all(html, '<a ')) AS n_links FROM t""",
-    "q_failure_classes": """
-SELECT event_id, ['none', 'timeout', 'reset', 'ssl', 'dns', 'error', 'refused', 'transient'][event_id % 8 + 1] AS kind, event_id % 8 IN (1, 2, 7) AS retryable, least(8.0::DOUBLE, 0.5::DOUBLE * pow(2, event_id % 6)) AS wait FROM events""",
-    "q_certificate_days": """
-SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN -1 ELSE greatest(0, date_diff('day', DATE '1998-01-01', CAST(o_orderdate AS DATE))) END AS days_left, CASE WHEN o_orderkey % 10 = 0 THEN -1 ELSE year(o_orderdate) END AS year FROM orders""",
     "q_infra_seed": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment WHEN c_custkey % 5 = 0 THEN c_name ELSE 'NA' END AS seed FROM customer",
     "q_lookup_fanout": f"""
 WITH p AS (SELECT page_id, {_HOST} AS host FROM pages), a AS (SELECT host, min(page_id) AS ip FROM p WHERE page_id % 3 = 0 GROUP BY host)
 SELECT page_id, host, coalesce(ip, -1) AS ip, CASE WHEN ip IS NULL THEN 'no_records' ELSE 'resolved' END AS status FROM p LEFT JOIN a USING (host)""",
-    "q_registration_fields": """
-SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'NA' ELSE s_name END AS registrant, CASE WHEN s_suppkey % 5 = 0 THEN 'NA' ELSE '2020-01-0' || (s_suppkey % 9 + 1) END AS registered, 'NA' AS expires, CASE WHEN s_suppkey % 5 = 0 THEN 'NA' ELSE 'ns1.x;ns2.x' END AS name_servers FROM supplier""",
     "q_resume_remaining": """
 WITH k AS (SELECT page_id, sha1(lower(trim(url)) || '|book') AS record_key FROM pages) SELECT record_key, page_id FROM k WHERE record_key NOT IN (SELECT record_key FROM k WHERE page_id % 2 = 0)""",
     "q_live_workers": "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id HAVING arg_max(event_type, event_id) <> 'error'",
@@ -306,10 +308,278 @@ j AS (SELECT coalesce(o_orderkey, k) AS o_orderkey, CASE WHEN k IS NULL THEN 'le
 SELECT * FROM j WHERE problem <> ''""",
     "q_filled_catalogue": "SELECT n_nationkey, n_name, last_value(CASE WHEN n_nationkey % 4 = 0 THEN CAST(n_regionkey AS VARCHAR) END IGNORE NULLS) OVER (ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS region FROM nation",
     "q_whitelist_first_match": "SELECT id, n_nationkey, n_name FROM (SELECT p_partkey AS id, n_nationkey, n_name, row_number() OVER (PARTITION BY p_partkey ORDER BY n_nationkey) AS r FROM part, nation WHERE (p_size + n_nationkey) % 7 = 0) WHERE r = 1",
-    "q_adaptive_limits": """
-WITH p AS (SELECT event_type, event_id, greatest(1, event_id % 9 + 1) AS n, event_id % 5 AS f, event_id % 4 AS t FROM events),
-r AS (SELECT event_type, list({l: 400, run: CAST(t / n >= 0.35 OR (f + t) / n >= 0.70 AS INTEGER), down: 0} ORDER BY event_id) AS ticks FROM p GROUP BY event_type),
-q AS (SELECT event_type, list_reduce(ticks, lambda s, x: CASE WHEN x.run = 1 AND s.run + 1 >= 2 AND s.l > 50 THEN {l: greatest(50, s.l - 4), run: 0, down: s.down + 1}
-  ELSE {l: s.l, run: CASE WHEN x.run = 1 THEN s.run + 1 ELSE 0 END, down: s.down} END, {l: 400, run: 0, down: 0}) AS z FROM r)
+}
+
+
+def _lit(x) -> str:
+    if x is None:
+        return "NULL"
+    if isinstance(x, list):
+        return "[" + ", ".join(_lit(y) for y in x) + "]" + ("::VARCHAR[]" if not x else "")
+    if isinstance(x, tuple):
+        return f"{{'key': {_lit(x[0])}, 'value': {_lit(x[1])}}}"
+    return str(x) if isinstance(x, int | float) else "'" + x.replace("'", "''") + "'"
+
+
+def _cases(rows, columns: str) -> str:
+    return f"c(k, {columns}) AS (VALUES " + ", ".join(f"({i}, {', '.join(_lit(x) for x in r)})" for i, r in enumerate(rows)) + ")"
+
+
+def _pairs(rows) -> str:
+    return "CAST([" + ", ".join(_lit(r) for r in rows) + "] AS STRUCT(key VARCHAR, value VARCHAR)[])"
+
+
+def _any(text: str, markers) -> str:
+    return "(" + " OR ".join(f"contains({text}, {_lit(m)})" for m in markers) + ")"
+
+
+def _hash_bits(x: str) -> str:
+    """16 hex digits of a hash as it comes; null if it isn't one."""
+    clean = f"regexp_replace(lower(trim({x})), '^0x', '')"
+    return f"CASE WHEN regexp_matches({clean}, '^[0-9a-f]{{1,16}}$') THEN lpad({clean}, 16, '0') END"
+
+
+def _simhash_of(source: str, key: str, grams: str) -> str:
+    """Like _simhash(), of a list of features."""
+    nibble = "(strpos('0123456789abcdef', substr(h, b // 4 + 1, 1)) - 1)"
+    return f"""(
+  SELECT {key}, string_agg(format('{{:x}}', v), '' ORDER BY d) AS simhash FROM (
+    SELECT {key}, b // 4 AS d, CAST(sum(CASE WHEN votes >= 0 THEN 1 << (3 - b % 4) ELSE 0 END) AS INTEGER) AS v FROM (
+      SELECT {key}, b, sum(CASE WHEN ({nibble} >> (3 - b % 4)) & 1 = 1 THEN 1 ELSE -1 END) AS votes
+      FROM (SELECT {key}, sha256(unnest({grams})) AS h FROM {source}), (SELECT unnest(range(64)) AS b) GROUP BY {key}, b) GROUP BY {key}, b // 4) GROUP BY {key})"""
+
+
+_TICKS = "ticks AS (SELECT event_type, event_id, event_id % 9 + 1 AS processed, event_id % 5 AS failed, event_id % 4 AS timed_out, event_id % 50 AS backlog FROM events)"
+_BLANK = "trim(coalesce(CAST({0} AS VARCHAR), ''))"
+_PUBLIC = "(trim(coalesce({0}, '')) <> '' AND NOT regexp_matches(trim({0}), '(?i)^(about|javascript|data|file|blob|chrome|edge):'))"
+
+
+def _host(x: str) -> str:
+    return _HOST.replace("trim(url)", f"trim({x})")
+
+
+_FAIL_TEXT = "lower(name || ': ' || detail)"
+_TARGETS = f"""
+p AS (SELECT page_id, url, {_HOST} AS host FROM pages),
+j AS (SELECT a.page_id, a.url, b.url AS next, a.host FROM p a JOIN p b ON b.page_id - 1 = a.page_id),
+l AS (SELECT *, CASE WHEN page_id % 5 = 0 THEN 'about:blank' WHEN page_id % 5 = 1 THEN 'https://a.b.' || host || '/x' WHEN page_id % 5 = 2 THEN url ELSE next END AS landing, page_id % 3 = 0 AS trick FROM j),
+m AS (SELECT *, url AS original_url, CASE WHEN {_PUBLIC.format("landing")} THEN trim(landing) ELSE '' END AS there FROM l),
+n AS (SELECT *, {_host("original_url")} AS original_host, CASE WHEN there = '' THEN '' ELSE {_host("there")} END AS final_host FROM m),
+o AS (SELECT *, final_host <> '' AND final_host <> original_host AND ({_registrable("final_host")} <> {_registrable("original_host")} OR trick OR (ends_with(final_host, '.' || original_host) AND len(string_split(final_host, '.')) - len(string_split(original_host, '.')) >= 2)) AS redirect_promoted FROM n),
+target AS (SELECT *, redirect_promoted AND trick AS redirect_spoof, CASE WHEN redirect_promoted OR original_url = '' THEN there ELSE original_url END AS effective_url, CASE WHEN redirect_promoted OR original_host = '' THEN final_host ELSE original_host END AS effective_host FROM o)"""
+_INPUTS = f"""{_SIGNALS}, i AS (SELECT id, o_custkey, id % 2 = 0 AS fallback_only, id % 3 = 0 AS strict, id % 5 < 3 AS score_pass, o_orderstatus <> 'P' AS fetched, id % 17 = 0 AS redirect_spoof, id % 13 = 0 AS redirect_changed, id % 7 = 0 AS parked, id % 4 = 1 AS network,
+  id % 11 = 0 AS hash_anchor, id % 19 = 0 AS tvc_strong, id % 23 = 0 AS content_spoof, id % 29 = 0 AS weak_tvc, id % 31 = 0 AS brand_evidence, id % 37 = 0 AS keyword_hit, id % 6 = 5 AS weak_signal FROM sig)"""
+
+
+def _norm(x: str) -> str:
+    return f"trim(regexp_replace(lower(coalesce({x}, '')), '[^a-z0-9]+', ' ', 'g'))"
+
+
+def _plain(x: str) -> str:
+    bare = f"regexp_replace({x}, '(?s)<[^>]*>', ' ', 'g')"
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&")):
+        bare = f"replace({bare}, '{name}', '{char}')"
+    return bare
+
+
+def _named(x: str) -> str:
+    """Words of a text that could name a brand, in order."""
+    return f"list_distinct(list_filter(regexp_split_to_array(lower({x}), '[^a-z0-9]+'), lambda x: length(x) > 2 AND x NOT IN {tuple(sorted({*SERVICES, *DOMAIN_PARTS}))}))"
+
+
+def _urlstruct() -> str:
+    full, place = "f", "regexp_extract(f, '^https?://([^/?#]*)', 1)"
+    count = lambda x, pattern: f"len(regexp_extract_all({x}, '{pattern}'))"
+    twice = "'00|11|22|33|44|55|66|77|88|99'"
+    whole = {
+        "url_length": f"length({full})", "num_dots": count(full, r"\."), "has_repeated_digits": f"regexp_matches({full}, {twice})", "num_special_chars": count(full, "[^a-zA-Z0-9]"), "num_hyphens": count(full, "-"), "num_slashes": count(full, "/"), "num_underscores": count(full, "_"),
+        "num_question_marks": count(full, r"\?"), "num_equal_signs": count(full, "="), "num_dollar_signs": count(full, r"\$"), "num_exclamations": count(full, "!"), "num_hashtags": count(full, "#"), "num_percent": count(full, "%"),
+        "domain_length": f"length({place})", "num_hyphens_domain": count(place, "-"), "has_special_chars_domain": f"regexp_matches({place}, '[^a-zA-Z0-9.-]')", "num_special_chars_domain": count(place, "[^a-zA-Z0-9.-]"),
+        "num_subdomains": "len(parts)", "avg_subdomain_length": "CASE WHEN len(parts) > 0 THEN round(list_avg(list_transform(parts, lambda x: length(x))), 6) ELSE 0.0 END", "subdomain_length": "length(front)", "subdomain_has_hyphen": "contains(front, '-')", "subdomain_has_repeated_digits": f"regexp_matches(front, {twice})",
+        "path_length": "length(regexp_extract(f, '^https?://[^/?#]*([^?#]*)', 1))", "has_query": r"regexp_extract(f, '^[^?#]*\?([^#]*)', 1) <> ''", "has_fragment": "regexp_extract(f, '#(.*)$', 1) <> ''", "has_anchor": "contains(u, '#')",
+        "entropy_url": f"round({_entropy('u')}, 6)", "entropy_domain": f"round({_entropy(place)}, 6)",
+    }
+    zero = lambda n: "false" if "has_" in n else "0.0" if n.startswith(("avg", "entropy")) else "0"
+    cols = ", ".join(f"CASE WHEN ok THEN {c} ELSE {zero(n)} END AS {n}" for n, c in whole.items())
+    return f"""
+WITH p AS (SELECT page_id, CASE WHEN page_id % 7 = 0 THEN url || repeat('x', 2100) WHEN page_id % 11 = 0 THEN ' ' WHEN page_id % 2 = 0 THEN url || '/a_b-c?q=1&r=%20#top!' ELSE regexp_replace(url, '^https?://', '') END AS u FROM pages),
+f AS (SELECT *, CASE WHEN regexp_matches(trim(u), '^https?://') THEN trim(u) ELSE 'https://' || trim(u) END AS f FROM p),
+h AS (SELECT *, {_host("f")} AS host FROM f),
+g AS (SELECT *, trim(u) <> '' AND length(trim(u)) <= 2048 AND host <> '' AS ok, regexp_replace(substr(host, 1, length(host) - length({_registrable("host")})), '\\.$', '') AS front FROM h),
+x AS (SELECT *, list_filter(string_split(front, '.'), lambda y: y <> '') AS parts FROM g)
+SELECT page_id, {cols} FROM x"""
+
+
+ORACLES |= {
+    "q_failure_classes": f"""
+WITH {_cases(FAILED, "name, message")},
+t AS (SELECT *, list_filter(list_transform(regexp_split_to_array(CASE WHEN contains(trim(message), chr(10) || 'Browser logs:') THEN rtrim(string_split(trim(message), chr(10) || 'Browser logs:')[1]) ELSE trim(message) END, '\\r\\n|\\r|\\n'), lambda x: trim(x)), lambda x: x <> '') AS lines FROM c),
+u AS (SELECT *, coalesce(list_position(lines, 'Call log:'), 0) AS log_at FROM t),
+f AS (SELECT *, CASE WHEN len(lines) = 0 THEN name ELSE lines[1] || CASE WHEN log_at > 0 AND len(lines) > log_at THEN ' | Call log: ' || array_to_string(lines[log_at + 1 : log_at + 3], ' | ') ELSE '' END END AS detail, lower(name || ': ' || message) AS raw FROM u),
+e AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'navigation' ELSE 'content' END AS stage, event_id % 6 AS i, f.* FROM events JOIN f ON event_id % {len(FAILED)} = k)
+SELECT event_id, CASE WHEN contains({_FAIL_TEXT}, 'timeout') THEN stage || '_timeout' WHEN {_any(_FAIL_TEXT, BROWSER_GONE)} THEN stage || '_transient_browser_error' WHEN {_any(_FAIL_TEXT, TLS_BROKEN)} THEN 'ssl_error' WHEN contains({_FAIL_TEXT}, 'net::err_connection_reset') THEN 'connection_reset' ELSE stage || '_error' END AS kind, detail,
+  CASE WHEN contains({_FAIL_TEXT}, 'timeout') THEN stage = 'navigation' WHEN {_any(_FAIL_TEXT, BROWSER_GONE)} THEN true WHEN {_any(_FAIL_TEXT, TLS_BROKEN)} THEN false ELSE contains({_FAIL_TEXT}, 'net::err_connection_reset') END AS fetch_retryable,
+  CASE WHEN {_any("raw", NO_SUCH_NAME)} THEN 'nxdomain' WHEN {_any("raw", ("noanswer", "no answer"))} THEN 'no_answer' WHEN {_any("raw", ("timeout", "lifetime"))} THEN 'timeout' ELSE 'error' END AS lookup,
+  {_any("raw", TRANSIENT)} AS retryable, contains(raw, 'timeout') AS timeout, least(8.0::DOUBLE, 0.5::DOUBLE * pow(2, i)) AS wait FROM e""",
+    "q_certificate_days": """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'not a date' WHEN o_orderkey % 11 <> 0 THEN strftime(o_orderdate, '%b %-d %H:%M:%S %Y GMT') END AS u FROM orders),
+p AS (SELECT *, try_strptime(regexp_replace(u, ' [A-Z]+$', ''), '%b %d %H:%M:%S %Y') AS until, TIMESTAMP '1997-01-01 12:00:00' AS now FROM o)
+SELECT o_orderkey, CAST(u IS NOT NULL AS INTEGER) AS present, CASE WHEN until IS NOT NULL AND now <= until THEN 1 ELSE 0 END AS valid,
+  CASE WHEN until IS NULL THEN -1 ELSE CAST(greatest(0, floor((epoch_us(until) - epoch_us(now)) / 86400000000.0::DOUBLE)) AS INTEGER) END AS days_to_expiry, CASE WHEN u IS NOT NULL THEN 'Issuer Inc' END AS issuer FROM p""",
+    "q_registration_fields": f"""
+WITH {_cases([(x,) for x in REGISTRATIONS], "doc")}, d AS (SELECT k, CASE WHEN json_valid(doc) THEN doc::JSON ELSE '{{}}'::JSON END AS doc FROM c),
+e AS (SELECT k, i, json_extract(doc, '$.entities[' || i || ']') AS e FROM d, range(0, 20) r(i) WHERE i < coalesce(json_array_length(doc, '$.entities'), 0)),
+n AS (SELECT k, i, i AS outer_i, -1 AS inner_i, e FROM e UNION ALL SELECT k, i, i, j, json_extract(e, '$.entities[' || j || ']') FROM e, range(0, 20) r(j) WHERE j < coalesce(json_array_length(e, '$.entities'), 0)),
+f AS (SELECT *, coalesce(contains(json_extract(e, '$.roles')::VARCHAR, '"registrar"'), false) AS is_registrar, coalesce(contains(json_extract(e, '$.roles')::VARCHAR, '"registrant"'), false) AS is_registrant,
+  list_filter(from_json(coalesce(json_extract(e, '$.vcardArray[1]'), '[]'::JSON), '["JSON"]'), lambda x: json_extract_string(x, '$[0]') = 'fn')[1] AS fn_item, list_filter(from_json(coalesce(json_extract(e, '$.vcardArray[1]'), '[]'::JSON), '["JSON"]'), lambda x: json_extract_string(x, '$[0]') = 'adr')[1] AS adr_item FROM n),
+v AS (SELECT *, json_extract_string(fn_item, '$[3]') AS fn, CASE json_type(adr_item, '$[3]') WHEN 'OBJECT' THEN json_extract_string(adr_item, '$[3]."country-name"') WHEN 'ARRAY' THEN nullif(json_extract_string(adr_item, '$[3][6]'), '') END AS country FROM f),
+r AS (SELECT k, arg_max(fn, outer_i) FILTER (is_registrar AND inner_i = -1 AND fn IS NOT NULL) AS registrar, arg_max(fn, outer_i * 100 + inner_i + 1) FILTER (is_registrant AND fn IS NOT NULL) AS registrant, arg_max(country, outer_i) FILTER (is_registrant AND inner_i = -1 AND country IS NOT NULL) AS country FROM v GROUP BY k),
+g AS (SELECT k, list_filter(from_json(coalesce(json_extract(doc, '$.events'), '[]'::JSON), '["JSON"]'), lambda x: json_extract_string(x, '$.eventAction') = 'registration')[1] AS reg, list_filter(from_json(coalesce(json_extract(doc, '$.events'), '[]'::JSON), '["JSON"]'), lambda x: json_extract_string(x, '$.eventAction') = 'expiration')[1] AS exp,
+  array_to_string(list_filter(list_transform(from_json(coalesce(json_extract(doc, '$.nameservers'), '[]'::JSON), '["JSON"]'), lambda x: json_extract_string(x, '$.ldhName')), lambda x: x <> ''), ';') AS servers FROM d)
+SELECT s_suppkey, coalesce(registrar, 'NA') AS registrar, coalesce(registrant, 'NA') AS registrant, coalesce(country, 'NA') AS country, coalesce(json_extract_string(reg, '$.eventDate'), 'NA') AS registered, coalesce(json_extract_string(exp, '$.eventDate'), 'NA') AS expires, coalesce(nullif(servers, ''), 'NA') AS name_servers
+FROM supplier JOIN g ON s_suppkey % {len(REGISTRATIONS)} = g.k LEFT JOIN r ON r.k = g.k""",
+    "q_adaptive_limits": f"""
+WITH {_TICKS}, p AS (SELECT *, sum(processed) OVER (PARTITION BY event_type ORDER BY event_id) AS total FROM ticks),
+r AS (SELECT event_type, list({{l: 400, run: CAST(backlog <= 40 AND total >= 100 AND (timed_out / processed >= 0.35 OR (failed + timed_out) / processed >= 0.70) AS INTEGER), down: 0}} ORDER BY event_id) AS t FROM p GROUP BY event_type),
+q AS (SELECT event_type, list_reduce(list_prepend({{l: 400, run: 0, down: 0}}, t), lambda s, x: CASE WHEN x.run = 1 AND s.run + 1 >= 2 AND s.l > 50 THEN {{l: greatest(50, s.l - 4), run: 0, down: s.down + 1}}
+  ELSE {{l: s.l, run: CASE WHEN x.run = 1 THEN s.run + 1 ELSE 0 END, down: s.down}} END) AS z FROM r)
 SELECT event_type, z.l AS next_limit, z.down AS downshifts FROM q""",
+    "q_fetch_limits": f"""
+WITH {_TICKS}, p AS (SELECT event_type, event_id, processed, CASE WHEN event_id % 3 = 0 THEN failed ELSE 0 END AS f, CASE WHEN event_id % 4 = 0 THEN timed_out + 2 ELSE 0 END AS t, (event_id % 10) / 12.0::DOUBLE AS q, (event_id % 7) / 10.0::DOUBLE AS files FROM ticks),
+r AS (SELECT event_type, list({{l: 0, p: CAST(t / processed >= 0.35 OR (f + t) / processed >= 0.70 OR q >= 0.75 OR files >= 0.70 AS INTEGER), h: CAST(t / processed < 0.20 AND (f + t) / processed < 0.30 AND q < 0.40 AND files < 0.70 AS INTEGER), d: 0, u: 0}} ORDER BY event_id) AS t FROM p GROUP BY event_type),
+z AS (SELECT event_type, list_reduce(list_prepend({{l: 64, p: 0, h: 0, d: 0, u: 0}}, t), lambda s, x: CASE
+    WHEN x.p = 1 AND s.p + 1 >= 2 AND s.l > 8 THEN {{l: greatest(8, s.l - 8), p: 0, h: 0, d: s.d + 1, u: s.u}}
+    WHEN x.p = 1 THEN {{l: s.l, p: s.p + 1, h: 0, d: s.d, u: s.u}}
+    WHEN x.h = 1 AND s.h + 1 >= 2 AND s.l < 96 THEN {{l: least(96, s.l + 8), p: 0, h: 0, d: s.d, u: s.u + 1}}
+    ELSE {{l: s.l, p: 0, h: CASE WHEN x.h = 1 THEN s.h + 1 ELSE 0 END, d: s.d, u: s.u}} END) AS z FROM r)
+SELECT event_type, z.l AS "limit", z.p AS pressed, z.h AS healthy, z.d AS downs, z.u AS ups FROM z""",
+    "q_stage_limits": """
+WITH e AS (SELECT event_id, event_id % 300 AS raw, (event_id % 11) / 10.0::DOUBLE AS cpu, (event_id % 8) / 10.0::DOUBLE AS ingress, event_id % 40 AS depth, event_id % 13 AS rate, (event_id % 9) / 20.0::DOUBLE AS late FROM events),
+f AS (SELECT *, greatest(8, least(256, raw)) AS now, depth / greatest(rate, 1.0::DOUBLE) AS backlog FROM e),
+g AS (SELECT *, greatest(8, CAST(ceil(now * 0.5) AS INTEGER)) AS half, greatest(8, now - greatest(32, now // 4)) AS low, backlog > 2 OR cpu > 0.6 OR late >= 0.35 AS pressed, backlog < 1 AND ingress < 0.5 AND late < 0.2 AND now < 256 AS room FROM f)
+SELECT event_id, CASE WHEN cpu >= 0.8 THEN CASE WHEN half < now THEN 'hard_clamp' ELSE 'hold' END WHEN pressed THEN CASE WHEN low < now THEN 'downshift' ELSE 'hold' END WHEN room THEN 'upshift' ELSE 'hold' END AS action,
+  CAST(CASE WHEN cpu >= 0.8 THEN half WHEN pressed THEN low WHEN room THEN least(256, now + 32) ELSE now END AS INTEGER) AS next_limit,
+  CAST(CASE WHEN event_id % 17 = 0 OR (backlog <= 0.5 AND ingress < 0.25 AND cpu < 0.25) THEN greatest(1, raw) WHEN backlog <= 1 AND ingress < 0.5 AND cpu < 0.5 THEN least(greatest(1, raw), greatest(least(greatest(1, raw), 12), 16)) ELSE least(greatest(1, raw), 12) END AS INTEGER) AS cap,
+  round(greatest(depth / 40.0::DOUBLE, CAST(event_id % 30 AS DOUBLE)), 6) AS pressure FROM g""",
+    "q_in_flight": """
+WITH e AS (SELECT event_type, event_id, (event_id % 8) / 2.0::DOUBLE AS free, (event_id % 5) * 2.0::DOUBLE AS used, (event_id % 6) * 45.0::DOUBLE AS lag, event_id % 30 * 800 AS pending, event_id % 12 AS queue, event_id % 4 AS tasks, event_id % 3 AS done FROM events),
+f AS (SELECT *, CASE WHEN free + used > 0 THEN used / (free + used) ELSE 0 END AS load FROM e),
+g AS (SELECT *, list_filter([CASE WHEN free < 0.5 THEN 'cpu_headroom_low' END, CASE WHEN free < 1 AND load > 0.94 THEN 'cpu_utilization' END, CASE WHEN lag > 250 THEN 'event_loop_lag' END, CASE WHEN pending > 20000 THEN 'checkpoint_backlog' END, CASE WHEN queue > greatest(32, 2 * tasks) THEN 'ocr_backlog' END], lambda x: x IS NOT NULL) AS why FROM f),
+h AS (SELECT *, CASE WHEN len(why) > 0 THEN 2 WHEN free > 1 AND load < 0.82 + 0.05 AND lag < 100 AND pending < 5000 AND queue < 8 AND (done > 0 OR tasks = 0) THEN 1 ELSE 0 END AS mood, array_to_string(why[1:3], ',') AS said FROM g),
+r AS (SELECT event_type, list({n: 0, m: mood, a: '', w: said} ORDER BY event_id) AS t FROM h GROUP BY event_type),
+z AS (SELECT event_type, list_reduce(list_prepend({n: 20, m: 0, a: 'hold', w: 'steady'}, t), lambda s, x: CASE
+    WHEN x.m = 2 THEN {n: CASE WHEN s.n > 4 THEN greatest(4, s.n - 4) ELSE s.n END, m: 0, a: CASE WHEN s.n > 4 THEN 'downshift' ELSE 'hold' END, w: x.w}
+    WHEN x.m = 1 THEN {n: CASE WHEN s.n < 64 THEN least(64, s.n + 12) ELSE s.n END, m: 0, a: CASE WHEN s.n < 64 THEN 'upshift' ELSE 'hold' END, w: CASE WHEN s.n < 64 THEN 'healthy_window' ELSE 'at_cap' END}
+    ELSE {n: s.n, m: 0, a: 'hold', w: 'steady'} END) AS z FROM r)
+SELECT event_type, z.n AS in_flight, z.a AS action, z.w AS reason FROM z""",
+    "q_window_rates": """
+WITH g AS (SELECT event_id, greatest(0, event_id % 500 - coalesce(lag(event_id % 500) OVER w, 0)) AS d_done, greatest(0, event_id % 70 - coalesce(lag(event_id % 70) OVER w, 0)) AS d_late FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id))
+SELECT event_id, d_done, d_late, round(d_late / greatest(d_done, 1)::DOUBLE, 6) AS late_share FROM g""",
+    "q_stale_tasks": "SELECT event_id, CASE WHEN epoch_us(TIMESTAMP '2024-01-16') - epoch_us(ts) < 180000000 THEN 'running' WHEN event_id % 3 >= 1 THEN 'classification_failed' ELSE 'retry' END AS fate FROM events",
+    "q_backlog": """
+WITH n AS (SELECT (SELECT count(*) FROM orders) AS orders, (SELECT count(*) FROM events) AS events, (SELECT count(*) FROM nation) AS nation)
+SELECT n.*, orders + events + nation AS pending_rows_total, s.* FROM n, (SELECT bool_and(value >= 0) AS ready, CAST(sum(user_id) AS BIGINT) AS queue_depth, CAST(sum(event_id % 7) AS BIGINT) AS batches, CAST(sum(event_id % 31) AS BIGINT) AS items FROM main.events) s""",
+    "q_compare_hashes": f"""
+WITH {_cases(HASHES, "a, b, refs")}, h AS (SELECT *, {_hash_bits("a")} AS x, {_hash_bits("b")} AS y FROM c),
+d AS (SELECT k, {_popcount("x", "y")} AS distance FROM h WHERE x IS NOT NULL AND y IS NOT NULL),
+u AS (SELECT k, x, {_hash_bits("r")} AS y FROM (SELECT k, x, unnest(refs) AS r FROM h)),
+m AS (SELECT k, min({_popcount("x", "y")}) AS best FROM u WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY k)
+SELECT c.k, distance, coalesce(round(1 - distance / 64.0::DOUBLE, 6), 0.0) AS similarity, best AS best_distance, coalesce(round(1 - best / 64.0::DOUBLE, 6), 0.0) AS best_similarity, coalesce(best, 64) AS filled, coalesce(best <= 8, false) AS hit, coalesce(best <= 4, false) AS anchor
+FROM c LEFT JOIN d USING (k) LEFT JOIN m USING (k)""",
+    "q_domain_simhash": f"""
+WITH {_HOSTS}, p AS (SELECT host, '^' || regexp_replace(lower(host), '[^a-z0-9.-]+', '', 'g') || '$' AS t FROM hosts)
+SELECT host, simhash FROM {_simhash_of("p", "host", "list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))")}""",
+    "q_certificate_identity": f"""
+WITH c(k, subject, issuer, names) AS (VALUES {", ".join("(" + str(i) + ", " + ", ".join(_pairs(x) for x in r) + ")" for i, r in enumerate(CERTIFICATES))}),
+l AS (SELECT k, {", ".join(f"list_sort(list_distinct(list_transform(list_filter({f}, lambda x: lower(trim(x.key)) = '{key}'), lambda x: lower(trim(x.value))))) AS {n}" for n, f, key in (("a", "subject", "commonname"), ("b", "subject", "organizationname"), ("cc", "issuer", "commonname"), ("dd", "issuer", "organizationname"), ("e", "names", "dns")))} FROM c),
+i AS (SELECT k, array_to_string(list_filter([CASE WHEN len(a) > 0 THEN 'subject_cn=' || array_to_string(a, '|') END, CASE WHEN len(b) > 0 THEN 'subject_o=' || array_to_string(b, '|') END, CASE WHEN len(cc) > 0 THEN 'issuer_cn=' || array_to_string(cc, '|') END, CASE WHEN len(dd) > 0 THEN 'issuer_o=' || array_to_string(dd, '|') END, CASE WHEN len(e) > 0 THEN 'san=' || array_to_string(e, '|') END], lambda x: x IS NOT NULL), '||') AS identity FROM l)
+SELECT i.k, identity, simhash FROM i LEFT JOIN {_simhash_of("i", "k", "regexp_extract_all(identity, '[a-z0-9]+')")} s ON s.k = i.k""",
+    "q_url_struct": _urlstruct(),
+    "q_effective_target": f"WITH {_TARGETS} SELECT page_id, original_host, final_host, redirect_promoted, redirect_spoof, effective_url, effective_host FROM target",
+    "q_output_remarks": f"""
+WITH {_TARGETS}, c AS (SELECT *, page_id % 8 = 0 AS path, CASE WHEN page_id % 3 = 0 THEN 'Phishing' WHEN page_id % 3 = 1 THEN 'Suspected' ELSE 'Legitimate' END AS label, CASE WHEN page_id % 9 = 0 OR page_id % 4 = 0 THEN 'strong_evidence' ELSE 'weak_evidence' END AS tier FROM target)
+SELECT page_id, CASE WHEN path AND page_id % 6 <> 0 THEN 'not_mapped_to_ip; webpage rendering skipped because the domain did not resolve to an active IP.' WHEN redirect_spoof AND effective_host <> '' THEN 'redirect_target_spoofs_cse; redirected_to=' || effective_host || '.'
+    WHEN redirect_promoted AND effective_host <> '' AND label <> 'Legitimate' THEN 'redirected_to=' || effective_host || '; lexical_redirect_suspected.' WHEN label = 'Legitimate' THEN 'non_aligned_or_weak_cse_similarity; NA values are due to privacy issues.'
+    WHEN tier = 'weak_evidence' THEN 'weak_or_single_signal_match; NA values are due to privacy issues.' ELSE 'NA values are due to privacy issues.' END AS remarks,
+  CASE WHEN page_id % 10 = 0 THEN 'fetch_failed_lexical_hit' WHEN page_id % 3 = 0 THEN 'low_confidence_hash_bypass' WHEN page_id % 2 = 0 THEN 'low_confidence_strict_lexical' WHEN page_id % 7 = 0 THEN 'low_confidence_lexical_score_pass' ELSE 'low_confidence_admitted' END AS review_reason,
+  CASE WHEN page_id % 3 = 0 THEN 'shop.example' WHEN page_id % 5 = 0 THEN host ELSE {_host("landing")} END AS export_domain, page_id || '_b_c.v1' AS stem FROM c""",
+    "q_preempted_decisions": f"""
+WITH {_INPUTS}, e AS (SELECT *, (fetched AND id % 12 <> 0) OR id % 40 = 0 AS eligible FROM i), g AS (SELECT * REPLACE (eligible AND tvc_strong AS tvc_strong, eligible AND weak_tvc AS weak_tvc, eligible AND weak_signal AS weak_signal) FROM e), d AS ({_decide("g")})
+SELECT id, CASE WHEN eligible AND id % 8 = 0 THEN 'Suspected' ELSE classification END AS classification, emit OR (eligible AND id % 8 = 0) AS emit, CASE WHEN eligible AND id % 8 = 0 THEN 'not_registered_domain_suspected' ELSE reason END AS reason, corroboration FROM d""",
+    "q_below_floor": f"""
+WITH o AS (SELECT *, CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE o_orderkey % 60 END AS score FROM orders)
+SELECT {", ".join({"Application_ID": "'A'", "Identified Phishing/Suspected Domain Name": "'h' || o_orderkey", "Critical Sector Entity Name": "CASE WHEN o_orderkey % 2 = 0 THEN 'NA' ELSE o_orderpriority END", "Phishing/Suspected Domains (i.e. Class Label)": "'Suspected'", "Remarks": f"'{WEAK}'"}.get(c, "'NA'") + f' AS "{c}"' for c in SUBMISSION)}
+FROM o WHERE score < 25 AND o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0""",
+    "q_stage0_rows": """
+WITH p AS (SELECT row_number() OVER (ORDER BY page_id) AS input_position, page_id AS k, url FROM pages)
+SELECT input_position, url, CASE WHEN k % 4 <> 3 THEN k % 3 = 0 END AS strict, CASE WHEN k % 4 <> 3 THEN k % 100 END AS score, k % 7 <> 0 AND k % 4 <> 3 AS lexical_hit,
+  CASE WHEN k % 7 = 0 THEN 'lexical_prefilter_rejected' WHEN k % 6 = 0 THEN 'dns_not_mapped_lexical_passthrough' WHEN k % 5 = 0 THEN CASE WHEN k % 2 = 0 THEN 'score_threshold' ELSE 'weak' END ELSE 'lexical_hit' END AS reason,
+  CASE WHEN k % 7 = 0 THEN 'filtered_lexical_miss' WHEN k % 6 = 0 THEN 'dns_not_mapped_lexical_passthrough' WHEN k % 5 = 0 THEN CASE WHEN k % 2 = 0 THEN 'shortlisted' WHEN k % 15 = 0 THEN 'review_only' ELSE 'filtered_after_hash' END ELSE 'queued_for_hash' END AS final_status,
+  CASE WHEN k % 7 = 0 THEN '' WHEN k % 6 = 0 THEN 'no_answer' ELSE 'resolved' END AS dns_status, CASE WHEN k % 7 = 0 THEN '' WHEN k % 6 = 0 THEN 'filtered' ELSE 'accepted' END AS dns_decision,
+  CASE WHEN k % 7 = 0 THEN '' WHEN k % 6 = 0 THEN 'failed' WHEN k % 5 = 0 THEN 'fetched' ELSE '' END AS fetch_status, CASE WHEN k % 7 <> 0 AND k % 6 = 0 THEN 'dns_gate_no_answer' ELSE '' END AS fetch_error_type FROM p""",
+    "q_stage1_rows": """
+WITH o AS (SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN 'timeout' WHEN 1 THEN 'failed' WHEN 2 THEN 'fetched_visual_missing' WHEN 3 THEN 'fetched' ELSE '' END AS s, CASE o_orderkey % 6 WHEN 0 THEN 'stage1_suspected_non_escalated' WHEN 1 THEN 'strict_lexical_below_holdout_threshold' ELSE '' END AS r FROM orders)
+SELECT k AS o_orderkey, s IN ('fetched', 'fetched_visual_missing') AS queued, CASE WHEN s IN ('fetched', 'fetched_visual_missing') THEN 'hashed_success' WHEN s = 'timeout' THEN 'fetch_timed_out' ELSE 'fetch_failed' END AS metric, 'not_attempted' AS visual_status,
+  k % 2 = 0 AND k % 7 <> 0 AS deep_analysis_dns_accepted, k % 2 = 0 AND k % 7 <> 0 AND s <> '' AS deep_analysis_attempted,
+  CASE WHEN k % 11 = 0 THEN 'holdout_ready' WHEN k % 13 = 0 THEN 'review_only' WHEN s IN ('failed', 'timeout') THEN 'hash_failed' WHEN k % 3 = 0 THEN 'filtered_lexical_miss' END AS pipeline_status,
+  CASE WHEN k % 11 = 0 THEN 'admitted' WHEN k % 13 = 0 THEN 'review_only' WHEN s IN ('failed', 'timeout') THEN 'fetch_failed' WHEN k % 3 = 0 THEN 'filtered' ELSE 'pending' END AS stage_status,
+  CASE WHEN k % 11 = 0 THEN '' WHEN k % 13 = 0 THEN 'stage1_review_only' WHEN s IN ('failed', 'timeout') THEN coalesce(nullif(r, ''), 'fetch_timeout_or_fetch_failed') WHEN k % 3 = 0 THEN coalesce(nullif(r, ''), 'filtered_lexical_miss') ELSE '' END AS failure_reason,
+  nullif(r, '') AS review_reason, k % 11 <> 0 AND k % 4 <> 0 AS is_excluded FROM o""",
+    "q_brand_consistency": f"""
+WITH {_cases(SHOWN, "domain, header, full_, html, cse, cse_domain")}, bt(brand, aliases, spoofs, domains) AS (VALUES {", ".join("(" + ", ".join(_lit(x) for x in r) + ")" for r in BRAND_TABLE)}),
+al AS (SELECT DISTINCT brand, a, domains FROM (SELECT brand, domains, {_norm("x")} AS a FROM (SELECT brand, domains, unnest(aliases) AS x FROM bt) UNION ALL SELECT brand, domains, replace({_norm("x")}, ' ', '') FROM (SELECT brand, domains, unnest(aliases) AS x FROM bt))),
+sp AS (SELECT DISTINCT brand, a FROM (SELECT brand, {_norm("x")} AS a FROM (SELECT brand, unnest(spoofs) AS x FROM bt) UNION ALL SELECT brand, replace({_norm("x")}, ' ', '') FROM (SELECT brand, unnest(spoofs) AS x FROM bt)) WHERE a NOT IN ('axis', 'cloud', 'mail', 'myvi', 'nic')),
+pts AS (SELECT c.k, bt.brand, greatest((SELECT max(length(d)) FROM (SELECT unnest(bt.domains) AS d) WHERE c.cse_domain = d OR ends_with(c.cse_domain, '.' || d)), CASE WHEN {_norm("c.cse")} <> '' AND EXISTS (SELECT 1 FROM al WHERE al.brand = bt.brand AND al.a IN ({_norm("c.cse")}, replace({_norm("c.cse")}, ' ', ''))) THEN length({_norm("c.cse")}) END) AS n FROM c, bt),
+sl AS (SELECT k, arg_max(brand, n) AS short FROM pts WHERE n IS NOT NULL GROUP BY k),
+su AS (SELECT k, domain, 'ocr_header_footer' AS surface, {_norm("header")} AS w, true AS shows, 3 AS pr FROM c UNION ALL SELECT k, domain, 'ocr_full', {_norm("full_")}, true, 2 FROM c UNION ALL SELECT k, domain, 'html', {_norm("html")}, false, 1 FROM c),
+hit AS (SELECT su.k, surface, pr, shows, al.brand, al.a, length(al.a) AS n, CASE WHEN short IS NULL OR short = al.brand THEN 1 ELSE 0 END AS agrees, len(list_filter(al.domains, lambda d: su.domain = d OR ends_with(su.domain, '.' || d))) > 0 AS own, EXISTS (SELECT 1 FROM sp WHERE sp.brand = al.brand AND sp.a = al.a) AS proves
+  FROM su JOIN al ON su.w <> '' AND contains(su.w, al.a) LEFT JOIN sl ON sl.k = su.k),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY agrees DESC, pr DESC, n DESC, a DESC, brand DESC) AS r FROM hit) WHERE r = 1),
+worst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY agrees DESC, pr DESC, n DESC, a DESC, brand DESC) AS r FROM hit WHERE shows AND proves) WHERE r = 1)
+SELECT c.k AS id, b.k IS NOT NULL AS detected, coalesce(b.brand, 'none') AS detected_brand, coalesce(b.own, false) AS domain_match, coalesce(w.agrees = 1 AND NOT w.own, false) AS spoofed, coalesce(w.surface, b.surface, 'none') AS surface, coalesce(w.a, b.a, '') AS alias
+FROM c LEFT JOIN best b ON b.k = c.k LEFT JOIN worst w ON w.k = c.k""",
+    "q_page_alignment": rf"""
+WITH {_ENT}, p AS (SELECT page_id, {_HOST} AS host, lower(trim(regexp_replace({_plain("array_to_string(regexp_extract_all(html, '(?is)<(?:p|h[1-3]|title)(?:\s[^>]*)?>(.*?)</(?:p|h[1-3]|title)>', 1), ' ')")}, '[ \t\n\r\f\x0B]+', ' ', 'g'))) AS words FROM pages),
+j AS (SELECT p.*, entity, domains[1] AS legit, {_registrable("host")} AS reg, CASE WHEN page_id % 2 = 0 THEN domains[1] || '.evil.info' ELSE 'www.' || domains[1] END AS inside FROM p JOIN ent ON page_id % 6 = idx),
+t AS (SELECT *, {_named("words")} AS page, list_distinct({_named("host")} || {_named("string_split(reg, '.')[1]")}) AS hosts, list_distinct({_named("entity")} || ['token', 'public', 'work']) AS own FROM j),
+k AS (SELECT *, list_filter(own, lambda x: x NOT IN {tuple(KINDS)} OR x IN ('token', 'public', 'work') OR list_contains(string_split(lower(entity), ' '), x)) AS mine FROM t)
+SELECT page_id, len(list_intersect(list_distinct(page || hosts), mine)) AS aligned, array_to_string({_named("host")}, '|') AS host_tokens,
+  {_registrable("inside")} <> {_registrable("legit")} AND contains('.' || regexp_replace(inside, '\.[^.]*$', '') || '.', '.' || {_registrable("legit")} || '.') AS deceptive, CASE WHEN page_id % 3 = 0 THEN 'login.bank.in' ELSE reg END AS signature FROM k""",
+    "q_sector_precedence": f"""
+WITH {_cases(ORGANISATIONS, "entity, domain, registrar, hoster, dns")}, n AS (SELECT *, {_norm("entity")} AS name, list_filter(regexp_split_to_array(lower(domain), '[^a-z0-9]+'), lambda x: x <> '') AS parts FROM c),
+r(pos, w, s) AS (VALUES {", ".join(f"({i}, '{w}', '{s}')" for i, (w, s) in enumerate(SECTOR_RULES))}), pri(pos, w) AS (VALUES (0, 'irctc'), (1, 'nic'), (2, 'sbi')),
+a AS (SELECT k, (SELECT arg_min(r.s, pri.pos) FROM pri JOIN r ON r.w = pri.w WHERE contains(name, pri.w) OR list_contains(parts, pri.w)) AS one, (SELECT arg_min(r.s, i) FROM (SELECT unnest(parts) AS p, unnest(range(len(parts))) AS i) JOIN r ON r.w = p) AS two, (SELECT arg_min(r.s, r.pos) FROM r WHERE contains(name, r.w) OR contains(lower(domain), r.w)) AS three FROM n)
+SELECT c.k, coalesce(one, two, three, 'Unknown') AS sector,
+  CASE WHEN contains(domain, 'sbi') OR contains(domain, 'icici') THEN CASE WHEN (contains(lower(registrar), 'godaddy') OR contains(lower(hoster), 'cloudflare')) AND regexp_matches(lower(dns), 'ssl|tls') THEN 'Legitimate' ELSE 'Suspected' END
+    WHEN contains(lower(registrar), 'cheapnames') OR contains(lower(hoster), 'bulletproof') OR (lower(registrar) = 'na' AND lower(hoster) = 'na') THEN 'Suspected' ELSE 'Legitimate' END AS label FROM c JOIN a USING (k)""",
+    "q_page_predicates": f"""
+WITH p AS (SELECT page_id AS k, url, CASE WHEN page_id % 9 = 0 THEN NULL WHEN page_id % 9 = 1 THEN substr(html, 1, 60) WHEN page_id % 9 = 2 THEN html || ' 403 Forbidden ' ELSE html END AS page, CASE WHEN page_id % 4 = 0 THEN 'index of /' WHEN page_id % 4 = 1 THEN '' ELSE 'home' END AS title, CASE WHEN page_id % 3 = 0 THEN '' ELSE 'some text' END AS shown,
+  lower(trim(CASE WHEN page_id % 6 = 0 THEN 'TargetClosedError ' ELSE '' END || CASE WHEN page_id % 7 = 0 THEN 'net::ERR_NAME_NOT_RESOLVED' WHEN page_id % 7 = 1 THEN 'boom' ELSE '' END)) AS said FROM pages)
+SELECT k AS page_id, page IS NULL OR length(page) < 100 OR {_any("lower(page)", BLOCKED)} AS blocked, k % 2 = 0 AND k % 10 <> 0 AND {_HOST} <> '' AND (title IN ('', 'index of /') OR shown = '') AS look_again, trim(title || ' ' || shown) = '' AS uninformative,
+  CASE WHEN {_any("said", BROWSER_BROKEN)} THEN false WHEN said = '' THEN k % 5 = 0 ELSE {_any("said", NETWORK_SUSPICIOUS)} OR k % 5 = 0 END AS suspicious, k % 20 = 0 OR k % 21 = 0 OR k % 22 = 0 AS seed,
+  k % 5 <> 0 AND (k % 8 = 0 OR k % 9 = 0 OR ((k % 90) / 90.0::DOUBLE >= 0.75 AND (k % 100) / 100.0::DOUBLE >= 0.75)) AS high_risk FROM p""",
+    "q_small_functions": r"""
+WITH o AS (SELECT *, o_orderkey AS k, CAST(round_even(o_totalprice / 7, 0) AS BIGINT) AS s FROM orders), z AS (SELECT *, (10 + k % 700) / 2.0::DOUBLE / 900 AS a, (500 + k % 700) / 2.0::DOUBLE / 900 AS b, (890 + k % 700) / 2.0::DOUBLE / 900 AS c FROM o)
+SELECT o_orderkey, CASE WHEN s >= 3600 THEN format('{:02d}:{:02d}:{:02d}', s // 3600, s % 3600 // 60, s % 60) ELSE format('{:02d}:{:02d}', s // 60, s % 60) END AS duration, '{"a":"' || k || '","b":"' || o_orderstatus || '"}' AS json,
+  CASE WHEN k % 3 = 0 THEN 'https://t-my.sharepoint.com/personal/u' || k || '/_layouts/15/download.aspx?share=TOK' WHEN k % 3 = 1 THEN 'https://t.sharepoint.com/a?b=1&download=1'
+    ELSE 'https://api.onedrive.com/v1.0/shares/u!' || rtrim(replace(replace(base64(('https://1drv.ms/x/s!' || k)::BLOB), '+', '-'), '/', '_'), '=') || '/root/content' END AS link,
+  CASE WHEN k % 2 = 0 THEN 'SBI' ELSE 'Airtel' END || '_x.example_' || k || '.pdf' AS evidence,
+  array_to_string(list_filter([CASE WHEN a < 0.2 THEN 'Bank' END, CASE WHEN b < 0.2 THEN 'login' END, CASE WHEN c < 0.2 THEN '(c) 2024' END], lambda x: x IS NOT NULL), ' ') AS header,
+  array_to_string(list_filter([CASE WHEN a BETWEEN 0.2 AND 0.8 THEN 'Bank' END, CASE WHEN b BETWEEN 0.2 AND 0.8 THEN 'login' END, CASE WHEN c BETWEEN 0.2 AND 0.8 THEN '(c) 2024' END], lambda x: x IS NOT NULL), ' ') AS body,
+  array_to_string(list_filter([CASE WHEN a > 0.8 THEN 'Bank' END, CASE WHEN b > 0.8 THEN 'login' END, CASE WHEN c > 0.8 THEN '(c) 2024' END], lambda x: x IS NOT NULL), ' ') AS footer, 3 AS n_words FROM z""",
+    "q_submission_package": r"""
+WITH l AS (SELECT user_id, max(event_id) AS k FROM events GROUP BY user_id), r AS (SELECT CAST(user_id AS VARCHAR) AS record_key, CASE WHEN k % 5 <> 0 THEN 'h' || k WHEN k % 10 = 0 THEN 'n.example' ELSE 'raw.example' END AS domain, CASE WHEN k % 2 = 0 THEN 'r' ELSE 'NA' END AS remarks, 'NA' AS ip, 'E\x/f' || (k % 40) || '.pdf' AS evidence, k % 40 AS f FROM l WHERE k % 3 <> 0 AND k % 7 <> 0)
+SELECT record_key, domain, remarks, ip, evidence, (SELECT count(DISTINCT f) FROM r) AS n_files FROM r""",
+    "q_lookup_bundles": f"""
+WITH p AS (SELECT page_id AS k, {_HOST} AS host FROM pages WHERE {_HOST} <> ''), h AS (SELECT DISTINCT host FROM p),
+a AS (SELECT host, '10.0.0.' || (k % 4) AS ip, min(k) AS pos FROM p WHERE k % 6 <> 0 GROUP BY ALL), aa AS (SELECT host, string_agg(ip, ',' ORDER BY pos) AS ips, count(*) AS dns_answer_count FROM a GROUP BY host),
+r AS (SELECT DISTINCT host, ['MX', 'A', 'NS', 'CNAME', 'TXT'][k % 5 + 1] AS kind, [2, 1, 3, 4, 9][k % 5 + 1] AS z, CASE WHEN k % 7 <> 0 THEN 'v' || (k % 3) END AS v FROM p),
+rr AS (SELECT host, coalesce(string_agg(kind || ':' || v, ';' ORDER BY CASE kind WHEN 'A' THEN 1 WHEN 'NS' THEN 2 WHEN 'MX' THEN 3 WHEN 'CNAME' THEN 4 ELSE 9 END, kind, v), 'NA') AS dns_records FROM r GROUP BY host),
+c AS (SELECT host, bool_or(k % 4 = 0) AS ok, max(k) FILTER (k % 4 <> 0) AS failed FROM p WHERE k % 2 = 0 GROUP BY host)
+SELECT h.host, CASE WHEN ok THEN 'cached' WHEN failed IS NOT NULL AND 200 - failed < 90 THEN 'cooling' ELSE 'ask' END AS action, ips, dns_answer_count, dns_records,
+  CASE WHEN ends_with(h.host, '.com') THEN 'https://com.example/' WHEN ends_with(h.host, '.org') THEN 'https://org.example/' ELSE 'https://any.example/' END || h.host AS endpoint FROM h LEFT JOIN c USING (host) LEFT JOIN aa USING (host) LEFT JOIN rr USING (host)""",
+    "q_funnel_pivot": """
+WITH b AS (SELECT doc_id, unnest(list_distinct([source, lang])) AS book FROM documents)
+SELECT book, count(*) FILTER (doc_id % 3 = 0) AS stage1, count(*) FILTER (doc_id % 3 = 1) AS holdout, count(*) FILTER (doc_id % 3 = 2) AS review FROM b WHERE book IS NOT NULL GROUP BY book""",
+    "q_top_reasons": "SELECT l_returnflag || '_' || l_linestatus || '_' || (l_linenumber % 3) AS reason, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, reason LIMIT 5",
 }

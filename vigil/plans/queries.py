@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from vigil.functions import hashing, signals, text, urls
 from vigil.functions.similarity import indel_ratio_udf, jaro_winkler_udf, token_set_ratio_udf
-from vigil.operators import features, infra, lexical, matching, monitor, policy, reports, scoring, state
-from vigil.plans.catalogue import BRANDS, ENTITIES, GEO, JUDGED, PROTECTED, SALE_RULES, SECTORS
+from vigil.operators import brands as brands_of
+from vigil.operators import control, features, infra, lexical, matching, monitor, outcomes, policy, reports, scoring, state
+from vigil.plans.catalogue import BRAND_TABLE, BRANDS, CERTIFICATES, ENTITIES, FAILED, GEO, HASHES, JUDGED, ORGANISATIONS, PROTECTED, REGISTRATIONS, SALE_RULES, SECTOR_RULES, SECTORS, SHOWN
 from vigil.sources import readers
 from vigil.streaming import streams
 
@@ -121,7 +122,7 @@ def q_record_key(spark, d):
 
 
 def _simhashes(spark, d, table, key):
-    words = _t(spark, d, table).select(key, F.explode(F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")).alias("w"))
+    words = _t(spark, d, table).select(key, F.explode_outer(F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")).alias("w"))
     return hashing.simhash64(words, key, "w")
 
 
@@ -360,11 +361,60 @@ def q_stall_sessions(spark, d):
     return s.select("user_id", "n", F.date_format("first_ts", fmt).alias("first_ts"), F.date_format("last_ts", fmt).alias("last_ts"))
 
 
+def _ticks(spark, d):
+    k = F.col("event_id")
+    return _t(spark, d, "events").select("event_type", "event_id", (k % 9 + 1).alias("processed"), (k % 5).alias("failed"), (k % 4).alias("timed_out"), (k % 50).alias("backlog"))
+
+
 @query
 def q_adaptive_limits(spark, d):
+    return monitor.downshift(_ticks(spark, d), "event_type", "event_id", limit=400, floor=50, step=4, backlog_most=40)
+
+
+@query
+def q_fetch_limits(spark, d):
+    """A limiter that moves both ways, by each run's totals and ratios."""
     k = F.col("event_id")
-    ticks = _t(spark, d, "events").select(F.col("event_type"), "event_id", (k % 9 + 1).alias("processed"), (k % 5).alias("failed"), (k % 4).alias("timed_out"))
-    return monitor.downshift(ticks, "event_type", "event_id", limit=400, floor=50, step=4)
+    t = _ticks(spark, d).withColumn("total", F.lit(1000)).withColumn("failed", F.when(k % 3 == 0, F.col("failed")).otherwise(0)).withColumn("timed_out", F.when(k % 4 == 0, F.col("timed_out") + 2).otherwise(0))
+    return control.fetch_limits(t.select("event_type", "event_id", "total", "processed", "failed", "timed_out", ((k % 10) / 12.0).alias("queues"), ((k % 7) / 10.0).alias("files"), F.lit(0.2).alias("memory")), "event_type", "event_id", limit=64, most=96, floor=8, step=8)
+
+
+@query
+def q_stage_limits(spark, d):
+    k = F.col("event_id")
+    e = _t(spark, d, "events").select("event_id", (k % 300).cast("int").alias("now"), ((k % 11) / 10.0).alias("cpu"), ((k % 8) / 10.0).alias("ingress"), (k % 40).alias("depth"), (k % 13).cast("double").alias("rate"), ((k % 9) / 20.0).alias("late"))
+    at = control.stage_limit(F.col("now"), F.lit(8), F.lit(256), F.col("ingress"), F.col("cpu"), F.col("depth"), F.col("rate"), F.col("late"), F.lit(0.3), F.lit(0.4))
+    cap = control.backlog_cap(F.col("now"), F.lit(12), F.col("depth") / F.greatest(F.col("rate"), F.lit(1.0)), F.col("ingress"), F.col("cpu"), k % 17 == 0)
+    ratio = control.pressure({"a": F.col("depth"), "b": k % 30}, {"a": F.lit(40), "b": F.lit(0)})
+    return e.withColumn("x", at).select("event_id", "x.action", "x.next_limit", cap.cast("int").alias("cap"), F.round(ratio, 6).alias("pressure"))
+
+
+@query
+def q_in_flight(spark, d):
+    k = F.col("event_id")
+    t = _t(spark, d, "events").select("event_type", "event_id", ((k % 8) / 2.0).alias("free_cpu"), ((k % 5) * 2.0).alias("used_cpu"), ((k % 6) * 45.0).alias("lag_ms"), (k % 30 * 800).alias("pending_rows"), (k % 12).alias("queue"), (k % 4).alias("open_tasks"), (k % 3).alias("completed"))
+    return control.in_flight(t, "event_type", "event_id", start=20, floor=4, cap=64)
+
+
+@query
+def q_window_rates(spark, d):
+    """What cumulative counters gained since the last tick; they restart now and then."""
+    e = _t(spark, d, "events").select("event_type", "event_id", (F.col("event_id") % 500).alias("done"), (F.col("event_id") % 70).alias("late"))
+    return control.window_rates(e, "event_type", "event_id", "done", "late").select("event_id", "d_done", "d_late", F.round(control.share(F.col("d_late"), F.col("d_done")), 6).alias("late_share"))
+
+
+@query
+def q_stale_tasks(spark, d):
+    tasks = _t(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("submitted"), (F.col("event_id") % 3).alias("attempts"))
+    latest = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    return control.reaped(tasks, latest).select("event_id", "fate")
+
+
+@query
+def q_backlog(spark, d):
+    stats = _t(spark, d, "events").select((F.col("value") >= 0).alias("ready"), F.col("user_id").alias("queue_depth"), (F.col("event_id") % 7).alias("batches"), (F.col("event_id") % 31).alias("items"))
+    waiting = control.backlog({"orders": _t(spark, d, "orders"), "events": _t(spark, d, "events"), "nation": _t(spark, d, "nation")})
+    return waiting.crossJoin(F.broadcast(control.rolled_up(stats)))  # one row each
 
 
 @query
@@ -418,18 +468,28 @@ def q_html_signals(spark, d):
     return _t(spark, d, "pages").select("page_id", signals.page_title(F.col("html")).alias("title"), F.length(body).cast("long").alias("text_length"), F.md5(body).alias("text_md5"), F.regexp_count("html", F.lit("<p[ >]")).cast("long").alias("n_paragraphs"), F.regexp_count("html", F.lit("<a ")).cast("long").alias("n_links"))
 
 
+def _cases(spark, rows, schema):
+    """Inline cases with their place."""
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"k int, {schema}")
+
+
 @query
 def q_failure_classes(spark, d):
-    messages = ["", "Timeout 30000ms exceeded: timed out", "net::ERR_CONNECTION_RESET", "SSL handshake", "getaddrinfo failed", "boom", "connection refused", "503 try again"]
-    e = _t(spark, d, "events").select("event_id", F.element_at(F.array(*map(F.lit, messages)), (F.col("event_id") % 8 + 1).cast("int")).alias("m"), (F.col("event_id") % 6).alias("i"))
-    return e.select("event_id", signals.failure_class(F.col("m")).alias("kind"), signals.retryable(F.col("m")).alias("retryable"), signals.backoff(F.col("i"), 0.5, 8).alias("wait"))
+    """Each event fails in one of the known ways, in one of two stages."""
+    cases = F.broadcast(_cases(spark, FAILED, "name string, message string"))  # inline
+    e = _t(spark, d, "events").select("event_id", F.when(F.col("event_id") % 2 == 0, "navigation").otherwise("content").alias("stage"), (F.col("event_id") % 6).alias("i"))
+    j = e.join(cases, F.col("event_id") % len(FAILED) == F.col("k"))
+    name, message = F.col("name"), F.col("message")
+    out = j.withColumn("f", signals.fetch_failure(name, message, F.col("stage"))).withColumn("t", signals.transient(name, message))
+    return out.select("event_id", "f.kind", "f.detail", F.col("f.retryable").alias("fetch_retryable"), signals.lookup_failure(name, message).alias("lookup"), "t.retryable", "t.timeout", signals.backoff(F.col("i"), 0.5, 8).alias("wait"))
 
 
 @query
 def q_certificate_days(spark, d):
-    o = _t(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, "not a date").otherwise(F.date_format("o_orderdate", "MMM d HH:mm:ss yyyy")).alias("until"))
-    at = signals.certificate_date(F.col("until"))
-    return o.select("o_orderkey", signals.days_left(at, F.lit("1998-01-01").cast("date")).cast("long").alias("days_left"), F.coalesce(F.year(at), F.lit(-1)).cast("long").alias("year"))
+    """Certificates that end on the dates of orders, in the form that certificates have."""
+    o = _t(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, "not a date").when(F.col("o_orderkey") % 11 != 0, F.date_format("o_orderdate", "MMM d HH:mm:ss yyyy 'GMT'")).alias("until"))
+    o = o.withColumn("since", F.when(F.col("until").isNotNull(), "Jan  5 00:00:00 1995 GMT")).withColumn("by", F.when(F.col("until").isNotNull(), "Issuer Inc"))
+    return o.withColumn("c", signals.certificate(F.col("since"), F.col("until"), F.col("by"), F.lit("1997-01-01 12:00:00").cast("timestamp"))).select("o_orderkey", "c.present", "c.valid", "c.days_to_expiry", "c.issuer")
 
 
 @query
@@ -448,9 +508,10 @@ def q_lookup_fanout(spark, d):
 
 @query
 def q_registration_fields(spark, d):
-    doc = F.concat(F.lit('{"entities":[{"vcardArray":["vcard",[["version",{},"text","4.0"],["fn",{},"text","'), F.col("s_name"), F.lit('"]]]}],"events":[{"eventAction":"registration","eventDate":"2020-01-0'), (F.col("s_suppkey") % 9 + 1).cast("string"), F.lit('"}],"nameservers":[{"ldhName":"NS1.X"},{"ldhName":"NS2.X"}]}'))
-    doc = F.when(F.col("s_suppkey") % 5 == 0, F.lit("{}")).otherwise(doc)
-    return _t(spark, d, "supplier").select("s_suppkey", *[c.alias(n) for n, c in infra.registration(doc).items()])
+    """Suppliers with registration documents of several makes."""
+    docs = F.broadcast(_cases(spark, [(x,) for x in REGISTRATIONS], "doc string"))  # inline
+    j = _t(spark, d, "supplier").join(docs, F.col("s_suppkey") % len(REGISTRATIONS) == F.col("k"))
+    return j.select("s_suppkey", *[c.alias(n) for n, c in infra.registration(F.col("doc")).items()])
 
 
 @query
@@ -488,11 +549,201 @@ def q_whitelist_first_match(spark, d):
     return matching.first_match(left, right, (F.col("p_size") + F.col("n_nationkey")) % 7 == 0, "n_nationkey").select("id", "n_nationkey", "n_name")
 
 
+@query
+def q_compare_hashes(spark, d):
+    """Hashes as they come, with prefixes, capitals and rubbish, to each other and to sets of references."""
+    c = _cases(spark, HASHES, "a string, b string, refs array<string>")
+    dist, best = hashing.distance(hashing.bits(F.col("a")), hashing.bits(F.col("b"))), hashing.best_of_set(F.col("a"), F.col("refs"))
+    arrays = F.get(hashing.reference_arrays(F.col("a"), F.array("refs"), 8, 4), F.lit(0))
+    return c.withColumn("x", best).withColumn("y", arrays).select("k", dist.alias("distance"), F.round(hashing.similarity(dist), 6).alias("similarity"), F.col("x.distance").alias("best_distance"), F.round("x.similarity", 6).alias("best_similarity"), F.col("y.distance").alias("filled"), "y.hit", "y.anchor")
+
+
+@query
+def q_domain_simhash(spark, d):
+    return _hosts(spark, d).select("host", hashing.domain_simhash(F.col("host")).alias("simhash"))
+
+
+@query
+def q_certificate_identity(spark, d):
+    pair = "array<struct<key: string, value: string>>"
+    c = _cases(spark, CERTIFICATES, f"subject {pair}, issuer {pair}, names array<struct<kind: string, value: string>>")
+    return c.select("k", hashing.certificate_identity(F.col("subject"), F.col("issuer"), F.col("names")).alias("identity"), hashing.certificate_simhash(F.col("subject"), F.col("issuer"), F.col("names")).alias("simhash"))
+
+
+@query
+def q_url_struct(spark, d):
+    """All features of a URL; every seventh one is too long, every eleventh blank."""
+    k = F.col("page_id")
+    p = _t(spark, d, "pages").select("page_id", F.when(k % 7 == 0, F.concat("url", F.repeat(F.lit("x"), 2100))).when(k % 11 == 0, " ").when(k % 2 == 0, F.concat(F.col("url"), F.lit("/a_b-c?q=1&r=%20#top!"))).otherwise(F.regexp_replace("url", "^https?://", "")).alias("u"))
+    return p.select("page_id", *[(F.round(c, 6) if n.startswith(("avg", "entropy")) else c).alias(n) for n, c in features.url_features(F.col("u")).items()])
+
+
+def _targets(spark, d):
+    """Each page lands on the next one, on a deeper host, or nowhere."""
+    k = F.col("page_id")
+    p = _t(spark, d, "pages").select("page_id", "url")
+    j = p.join(p.select((k - 1).alias("page_id"), F.col("url").alias("next")), "page_id")
+    landing = F.when(k % 5 == 0, "about:blank").when(k % 5 == 1, F.concat(F.lit("https://a.b."), urls.hostname(F.col("url")), F.lit("/x"))).when(k % 5 == 2, F.col("url")).otherwise(F.col("next"))
+    return outcomes.with_target(j.withColumn("landing", landing).withColumn("trick", F.when(k % 3 == 0, "yes")), [F.when(k % 4 == 0, "javascript:void(0)").otherwise(F.col("url")), F.col("url")], F.col("landing"), F.col("trick"))
+
+
+@query
+def q_effective_target(spark, d):
+    return _targets(spark, d).select("page_id", "original_host", "final_host", "redirect_promoted", "redirect_spoof", "effective_url", "effective_host")
+
+
+@query
+def q_output_remarks(spark, d):
+    k = F.col("page_id")
+    path = outcomes.passthrough(F.when(k % 8 == 0, F.lit("score_threshold| dns_not_mapped_lexical_passthrough ")), F.lit("x|"))
+    label = F.when(k % 3 == 0, "Phishing").when(k % 3 == 1, "Suspected").otherwise("Legitimate")
+    tier = scoring.evidence_tier(F.when(k % 9 == 0, "Strong_Evidence"), k % 2 == 0, k % 4 == 0)
+    said = outcomes.remarks(path, F.when(k % 6 == 0, "10.0.0.1").otherwise("na"), F.col("redirect_spoof"), F.col("redirect_promoted"), F.col("effective_host"), label, tier)
+    why = outcomes.review_reason(F.when(k % 5 == 0, "Failed").otherwise("fetched"), k % 2 == 0, k % 3 == 0, k % 7 == 0)
+    domain = outcomes.export_domain(F.when(k % 2 == 0, " "), F.when(k % 3 == 0, "Shop.Example"), F.when(k % 5 == 0, F.col("url")), F.col("landing"))
+    return _targets(spark, d).select("page_id", said.alias("remarks"), why.alias("review_reason"), domain.alias("export_domain"), outcomes.export_stem(F.concat(F.lit("dir/ "), F.col("page_id").cast("string"), F.lit(" b&c.v1.xlsx"))).alias("stem"))
+
+
+@query
+def q_preempted_decisions(spark, d):
+    k = F.col("id")
+    i = _decision_inputs(_order_signals(spark, d))
+    status = F.when(~F.col("fetched"), "timeout").when(k % 12 == 0, "blocked").otherwise("fetched")
+    out = outcomes.decided(i, status, F.when(k % 8 == 0, "not_registered"), k % 40 == 0)
+    return out.select("id", "classification", "emit", "reason", "corroboration")
+
+
+@query
+def q_below_floor(spark, d):
+    k = F.col("o_orderkey")
+    o = _t(spark, d, "orders").withColumn("score", F.when(k % 9 == 0, "n/a").otherwise((k % 60).cast("string")))
+    return outcomes.below_floor(o, F.col("score"), 25, k % 5 == 0, k % 7 == 0, {"Application_ID": F.lit("A"), "Identified Phishing/Suspected Domain Name": F.concat(F.lit("h"), k.cast("string")), "Critical Sector Entity Name": F.when(k % 2 == 0, " ").otherwise(F.col("o_orderpriority"))})
+
+
+@query
+def q_stage0_rows(spark, d):
+    p = _t(spark, d, "pages").select("page_id", F.col("url"))
+    k = F.col("page_id")
+    scores = p.where(k % 4 != 3).select("url", (k % 3 == 0).alias("strict"), (k % 100).alias("score"))
+    decisions = p.where(k % 5 == 0).select("url", F.when(k % 2 == 0, "score_threshold").otherwise("").alias("admission_path"), F.lit("weak").alias("review_only_reason"), (k % 2 == 0).alias("admitted"), (k % 15 == 0).alias("review_only"), F.lit("fetched").alias("fetch_status"))
+    return outcomes.stage0_rows(p.select(k.alias("pos"), "url"), scores, decisions, p.where(k % 7 == 0), p.where(k % 6 == 0))
+
+
+@query
+def q_stage1_rows(spark, d):
+    """Orders as records after the first stage: where each ends, and which go to review, are excluded, or were analysed deeply."""
+    k = F.col("o_orderkey")
+    o = _t(spark, d, "orders").select(
+        "o_orderkey", F.when(k % 5 == 0, "Timeout").when(k % 5 == 1, "failed").when(k % 5 == 2, "fetched_visual_missing").when(k % 5 == 3, "fetched").alias("fetch_status"), (k % 11 == 0).alias("admitted"), (k % 13 == 0).alias("kept"), F.when(k % 4 == 0, "p").otherwise(" ").alias("survival_path"),
+        F.when(k % 6 == 0, "stage1_suspected_non_escalated").when(k % 6 == 1, "strict_lexical_below_holdout_threshold").otherwise("").alias("reason"), F.when(k % 3 == 0, "lexical_gate").otherwise("dns").alias("exclusion_stage"), (k % 2 == 0).alias("escalate_to_hashing"), F.when(k % 7 != 0, "Accepted").alias("dns_decision"),
+    )
+    r = outcomes.deep_analysis(outcomes.routed(outcomes.with_defaults(o, {"fetch_status": "", "visual_status": "not_attempted"})))
+    r = r.withColumn("x", outcomes.terminal_outcome(F.col("admitted"), F.col("kept"), F.col("reason"), F.lit(""), F.col("fetch_status"), F.col("exclusion_stage")))
+    review, out = outcomes.review_queue(o).select("o_orderkey", "review_reason"), outcomes.excluded(o).select("o_orderkey", F.lit(True).alias("is_excluded"))
+    j = r.join(review, "o_orderkey", "left").join(out, "o_orderkey", "left")
+    return j.select("o_orderkey", "queued", "metric", "visual_status", "deep_analysis_dns_accepted", "deep_analysis_attempted", "x.pipeline_status", "x.stage_status", "x.failure_reason", "review_reason", F.coalesce("is_excluded", F.lit(False)).alias("is_excluded"))
+
+
+@query
+def q_brand_consistency(spark, d):
+    """Brands in recognised and page texts against the domains that show them."""
+    brands = brands_of.catalogue(spark.createDataFrame(BRAND_TABLE, "brand string, aliases array<string>, spoof_aliases array<string>, domains array<string>"))
+    rows = _cases(spark, SHOWN, "domain string, header string, full string, html string, cse string, cse_domain string").withColumnRenamed("k", "id")
+    return brands_of.consistency(rows, brands)
+
+
+@query
+def q_page_alignment(spark, d):
+    """How far pages speak of the entities that they are held against, and which hosts embed another one."""
+    k = F.col("page_id")
+    p = _t(spark, d, "pages").select("page_id", signals.headings_and_paragraphs(F.col("html")).alias("words"), urls.hostname(F.col("url")).alias("host"))
+    e = lexical.small(_ent(spark)).select("idx", "entity", F.get("domains", F.lit(0)).alias("legit"))
+    j = p.join(e, k % 6 == F.col("idx"))
+    n = brands_of.aligned(F.col("words"), [F.col("host")], F.col("entity"), F.split(F.lower("entity"), " "), F.array(F.lit("token public"), F.lit("work")))
+    inside = F.when(k % 2 == 0, F.concat(F.col("legit"), F.lit(".evil.info"))).otherwise(F.concat(F.lit("www."), F.col("legit")))
+    return j.select("page_id", n.alias("aligned"), F.array_join(brands_of.host_tokens(F.col("host")), "|").alias("host_tokens"), brands_of.deceptive(inside, F.col("legit")).alias("deceptive"), brands_of.signature(F.when(k % 3 == 0, "login.bank.in").otherwise(F.col("host"))).alias("signature"))
+
+
+@query
+def q_sector_precedence(spark, d):
+    """Sectors by priority words, by parts of the domain, by words anywhere; and labels by lists of words."""
+    c = _cases(spark, ORGANISATIONS, "entity string, domain string, registrar string, hoster string, dns string")
+    label = outcomes.rule_label(F.col("registrar"), F.col("hoster"), F.col("dns"), F.col("domain"), F.lit(""), F.lit(False), ("sbi", "icici"), (("godaddy",), ("cloudflare",)), (("cheapnames",), ("bulletproof",)))
+    return c.select("k", outcomes.sector(F.col("entity"), F.col("domain"), SECTOR_RULES, ("irctc", "nic", "sbi")).alias("sector"), label.alias("label"))
+
+
+@query
+def q_page_predicates(spark, d):
+    k = F.col("page_id")
+    p = _t(spark, d, "pages").select("page_id", "url", F.when(k % 9 == 0, F.lit(None)).when(k % 9 == 1, F.substring("html", 1, 60)).when(k % 9 == 2, F.concat("html", F.lit(" 403 Forbidden "))).otherwise(F.col("html")).alias("page"))
+    title, shown = F.when(k % 4 == 0, " Index  of / ").when(k % 4 == 1, "").otherwise("Home"), F.when(k % 3 == 0, "").otherwise("some text")
+    status, kind, detail = F.when(k % 5 == 0, "timeout").otherwise("failed"), F.when(k % 6 == 0, "TargetClosedError").otherwise(""), F.when(k % 7 == 0, "net::ERR_NAME_NOT_RESOLVED").when(k % 7 == 1, "boom").otherwise("")
+    return p.select(
+        "page_id", signals.block_page(F.col("page")).alias("blocked"), outcomes.delayed_redirect(k % 2 == 0, F.col("url"), F.when(k % 10 == 0, "https://x.org").otherwise(F.col("url")), title, shown).alias("look_again"), signals.uninformative(title, shown, F.lit(""), ("just a moment",)).alias("uninformative"),
+        signals.suspicious_network(status, kind, detail).alias("suspicious"), outcomes.signal_seed(k % 20 == 0, k % 21 == 0, [k % 3 - 2, F.lit(0)], F.when(k % 22 == 0, "parked")).alias("seed"),
+        outcomes.high_risk_seed(k % 5 == 0, k % 8 == 0, k % 9 == 0, (k % 100 / 100.0).cast("string"), (k % 90 / 90.0).cast("string")).alias("high_risk"),
+    )
+
+
+@query
+def q_small_functions(spark, d):
+    o, k = _t(spark, d, "orders"), F.col("o_orderkey")
+    link = F.when(k % 3 == 0, F.concat(F.lit("https://t-my.sharepoint.com/:x:/g/personal/u"), k.cast("string"), F.lit("/TOK?e=1"))).when(k % 3 == 1, "https://t.sharepoint.com/a?b=1").otherwise(F.concat(F.lit("https://1drv.ms/x/s!"), k.cast("string")))
+    word = lambda t, y, c: F.struct(F.lit(t).alias("text"), F.array(F.lit(float(y)), (k % 700).cast("double")).alias("ys"), F.lit(c).alias("confidence"))
+    z = signals.zones(F.array(word("Bank", 10, 0.9), word(" login ", 500, 0.5), word("blur", 5, 0.2), word("(c) 2024", 890, 0.4), word(" ", 1, 1.0)), F.lit(900.0))
+    return o.withColumn("z", z).select(
+        "o_orderkey", signals.duration(F.col("o_totalprice") / 7).alias("duration"), signals.stable_json(F.create_map(F.lit("b"), F.col("o_orderstatus"), F.lit("a"), k.cast("string"))).alias("json"), signals.download_link(link).alias("link"),
+        signals.evidence_name(F.when(k % 2 == 0, "State Bank of India (SBI)").otherwise("Airtel Ltd"), F.lit("x.example"), k).alias("evidence"), "z.header", "z.body", "z.footer", F.col("z.n").alias("n_words"),
+    )
+
+
+@query
+def q_submission_package(spark, d):
+    """The last row of each record in a run's log, if it is completed, as a submission's record, with the evidence that these name."""
+    k = F.col("event_id")
+    name = "Identified Phishing/Suspected Domain Name"
+    record = F.to_json(F.create_map(F.lit(name), F.when(k % 5 == 0, "about:blank").otherwise(F.concat(F.lit("h"), k.cast("string"))), F.lit("Remarks"), F.when(k % 2 == 0, "r").otherwise(" "), F.lit("Evidence file name"), F.concat(F.lit("E\\x/f"), (k % 40).cast("string"), F.lit(".pdf"))))
+    log = _t(spark, d, "events").select(F.col("user_id").cast("string").alias("record_key"), F.col("event_id").alias("pos"), F.when(k % 3 == 0, "failed").otherwise("completed").alias("status"), F.when(k % 10 == 0, "data:x").otherwise("raw.example").alias("raw_url"), F.lit("n.example").alias("normalized_url"), F.when(k % 7 == 0, "{broken").otherwise(record).alias("record"))
+    records = outcomes.submission_records(log)
+    files = spark.range(60).select(F.concat(F.lit("f"), F.col("id").cast("string"), F.lit(".pdf")).alias("name"))
+    named = outcomes.referenced(files, records).agg(F.count("*").alias("n_files"))
+    return records.select("record_key", F.col(name).alias("domain"), F.col("Remarks").alias("remarks"), F.col("Hosting IP").alias("ip"), F.col("Evidence file name").alias("evidence")).crossJoin(F.broadcast(named))  # one row
+
+
+@query
+def q_lookup_bundles(spark, d):
+    """Addresses and records of hosts in order, whom to ask for a registration, and which hosts are asked at all."""
+    k = F.col("page_id")
+    p = _t(spark, d, "pages").select("page_id", urls.hostname(F.col("url")).alias("host")).where("host <> ''")
+    answers = p.select("host", k.alias("pos"), F.when(k % 6 != 0, F.concat(F.lit("10.0.0."), (k % 4).cast("string"))).alias("ip"))
+    records = p.select("host", F.element_at(F.array(*map(F.lit, ("MX", "A", "NS", "CNAME", "TXT"))), (k % 5 + 1).cast("int")).alias("kind"), F.when(k % 7 != 0, F.concat(F.lit("v"), (k % 3).cast("string"))).alias("value"))
+    cache = p.where(k % 2 == 0).select("host", (k % 4 == 0).alias("ok"), F.timestamp_seconds(1000 + k).alias("at"))
+    asked = infra.looked_up_with_cache(p, cache, F.timestamp_seconds(F.lit(1200)))
+    joined = asked.join(infra.resolved_addresses(answers), "host", "left").join(infra.record_bundle(records), "host", "left")
+    return joined.select("host", "action", F.array_join("ips", ",").alias("ips"), "dns_answer_count", "dns_records", infra.endpoint(F.col("host"), {"com": "https://com.example/", "org": "https://org.example/"}, "https://any.example/").alias("endpoint"))
+
+
+@query
+def q_funnel_pivot(spark, d):
+    """Rows of each workbook in the stages, as columns; rows of several workbooks count in each."""
+    docs = _t(spark, d, "documents").select("doc_id", F.concat_ws("|", "source", F.concat(F.lit(" "), F.col("lang"))).alias("books"), F.when(F.col("doc_id") % 3 == 0, "stage1").when(F.col("doc_id") % 3 == 1, "holdout").otherwise("review").alias("stage"))
+    counted = reports.exploded(docs, "books", "book").groupBy("book").pivot("stage", ["stage1", "holdout", "review"]).agg(F.count(F.lit(1)))
+    return counted.select("book", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("stage1", "holdout", "review")])
+
+
+@query
+def q_top_reasons(spark, d):
+    return reports.top_reasons(_t(spark, d, "lineitem").select(F.concat_ws("_", "l_returnflag", "l_linestatus", (F.col("l_linenumber") % 3).cast("string")).alias("reason")), "reason", 5)
+
+
 def _folder(spark: SparkSession) -> str:
-    """The cluster's shared folder for stream checkpoints and outputs; a folder of our own where none is named."""
+    """The cluster's shared folder for stream checkpoints and outputs; one of our own where none is named and all runs on one machine."""
     sc = spark.sparkContext
     there = sc._jsc.sc().getCheckpointDir()
-    return there.get() if there.isDefined() else spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vigil-stream-")
+    named = there.get() if there.isDefined() else spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named or tempfile.mkdtemp(prefix="vigil-stream-")
 
 
 def _event_stream(spark, d):
@@ -519,4 +770,4 @@ def q_stream_dedupe(spark, d):
 def q_stream_watchdog(spark, d):
     """Warnings and stalls of each event type from state that follows the stream."""
     s = streams.watchdog(_event_stream(spark, d).select(F.col("event_type").alias("kind"), "ts"), "kind", "ts", 3600, 4 * 3600)
-    return streams.drained_table(s, _folder(spark), "update")
+    return streams.drained_table(s, _folder(spark), "update", ["kind"]).drop("silent")

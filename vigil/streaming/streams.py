@@ -3,13 +3,22 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from itertools import pairwise
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from vigil.operators.state import latest
+
+
+def dated_stream(spark: SparkSession, path: str, schema, day: str) -> DataFrame:
+    """New Parquet files of a day's folder (YYYY-MM-DD) below path."""
+    return spark.readStream.schema(schema).parquet(f"{path}/{day}")
+
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = 64) -> DataFrame:
     """New Parquet files of a folder; a trigger takes so many of them at most (back-pressure), with None all that are there.
@@ -29,22 +38,34 @@ def deduplicated(events: DataFrame, ts: str, keys: list[str], late: str = "2 hou
     return events.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
 
 
-def watchdog(events: DataFrame, key: str, ts: str, warn: float, stall: float) -> DataFrame:
-    """(key, warnings, stalls) so far of each key, updated by its batches: a silence of `warn` seconds between events is a warning,
-    one of `stall` a stall; progress arms both again. State is the last event's time and two counts."""
+def watchdog(events: DataFrame, key: str, ts: str, warn: float, stall: float, silent_after: float | None = None) -> DataFrame:
+    """(key, warnings, stalls, silent) so far of each key, updated by its batches: a silence of `warn` seconds between events is a warning,
+    one of `stall` a stall; progress arms both again. With silent_after, a key without events for so many seconds before the
+    watermark (events must have one) is reported as silent once.
 
-    def update(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, warnings, stalls_ = state.get if state.exists else (None, 0, 0)
-        times = sorted(t.timestamp() for f in frames for t in f[ts])
-        for t in times:
-            if last is not None:
-                warnings += t - last >= warn
-                stalls_ += t - last >= stall
-            last = t if last is None else max(last, t)
-        state.update((last, int(warnings), int(stalls_)))
-        yield pd.DataFrame({key: [k[0]], "warnings": [int(warnings)], "stalls": [int(stalls_)]})
+    State is the spans of time without a warning's silence, so events may come in any order, and between batches, too: one that
+    comes late splits a silence or ends it. A key has one span more than warnings.
+    """
 
-    return events.groupBy(key).applyInPandasWithState(update, f"{key} string, warnings long, stalls long", "last double, warnings long, stalls long", "update", GroupStateTimeout.NoTimeout)
+    def update(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        spans = list(zip(*state.get, strict=True)) if state.exists else []
+        silent = state.hasTimedOut
+        if not silent:
+            spans += [(t.timestamp(), t.timestamp()) for f in frames for t in f[ts]]
+        merged: list[list[float]] = []
+        for a, b in sorted(spans):
+            if merged and a - merged[-1][1] < warn:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        state.update(([m[0] for m in merged], [m[1] for m in merged]))
+        if silent_after is not None and not silent:
+            state.setTimeoutTimestamp(max(int((merged[-1][1] + silent_after) * 1000), state.getCurrentWatermarkMs() + 1))
+        stalls = sum(y[0] - x[1] >= stall for x, y in pairwise(merged))
+        yield pd.DataFrame({key: [k[0]], "warnings": [len(merged) - 1], "stalls": [stalls], "silent": [bool(silent)]})
+
+    timeout = GroupStateTimeout.NoTimeout if silent_after is None else GroupStateTimeout.EventTimeTimeout
+    return events.groupBy(key).applyInPandasWithState(update, f"{key} string, warnings long, stalls long, silent boolean", "starts array<double>, ends array<double>", "update", timeout)
 
 
 def drained(stream: DataFrame, checkpoint: str, mode: str = "append", each: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
@@ -57,13 +78,19 @@ def drained(stream: DataFrame, checkpoint: str, mode: str = "append", each: Call
     return spark.table(name) if not each else spark.range(0)
 
 
-def drained_table(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
-    """As drained(), into Parquet files in a shared folder: nothing passes through the driver. mode 'append' only emits closed windows."""
+def drained_table(stream: DataFrame, folder: str, mode: str = "append", keys: Sequence[str] = ()) -> DataFrame:
+    """As drained(), into Parquet files in a shared folder: nothing passes through the driver. mode 'append' only emits closed windows;
+    'complete' has what the last batch has; 'update' has the last row of each of the keys over all batches."""
     out = f"{folder}/out-{uuid.uuid4().hex}"
     writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{out}-checkpoint")
+    spark = stream.sparkSession
     if mode == "append":
-        query = writer.outputMode("append").format("parquet").option("path", out).start()
-    else:
-        query = writer.outputMode(mode).foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).start()
-    query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(out)
+        writer.outputMode("append").format("parquet").option("path", out).start().awaitTermination()
+        return spark.read.schema(stream.schema).parquet(out)
+    if mode == "update" and not keys:
+        raise ValueError("rows are updated by keys")
+    # a batch that is run again writes its own folder again
+    at = (lambda n: f"{out}/__batch={n}") if mode == "update" else lambda n: f"{out}/__batch=0"
+    writer.outputMode(mode).foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(at(n))).start().awaitTermination()
+    every = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("__batch", T.LongType())])).parquet(out)
+    return (latest(every, keys, ["__batch"]) if mode == "update" else every).drop("__batch").select(*stream.columns)
