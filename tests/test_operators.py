@@ -70,9 +70,62 @@ def test_state(spark):
 
 
 def test_downshift_after_two_windows(spark):
-    ticks = spark.createDataFrame([("s", i, 10, 0, t) for i, t in enumerate([4, 4, 0, 4, 4])], "k string, i int, processed int, failed int, timed_out int")
-    got = monitor.downshift(ticks, "k", "i", limit=20, floor=18, step=4).first()
-    assert (got.next_limit, got.downshifts) == (18, 1)
+    def run(rows, **more):
+        ticks = spark.createDataFrame([("s", i, *r) for i, r in enumerate(rows)], "k string, i int, processed int, failed int, timed_out int, backlog int")
+        r = monitor.downshift(ticks, "k", "i", limit=20, floor=18, step=4, **more).first()
+        return r.next_limit, r.downshifts
+
+    pressed, calm = (500, 0, 200, 3), (500, 0, 0, 3)
+    assert run([pressed, pressed, calm, pressed, pressed]) == (18, 1)
+    assert run([pressed, calm, pressed, calm]) == (20, 0)
+    # a run that has processed too little, and one whose next stage has too much to do
+    assert run([(10, 0, 9, 3)] * 9) == (20, 0)
+    assert run([pressed] * 5, backlog_most=2) == (20, 0)
+
+
+def test_limits_move_both_ways(spark):
+    from vigil.operators import control
+
+    calm, pressed = (1000, 50, 0, 0, 0.1, 0.1, 0.1), (1000, 50, 0, 30, 0.1, 0.1, 0.1)
+    rows = [("up", i, *r) for i, r in enumerate([calm, calm])] + [("down", i, *r) for i, r in enumerate([pressed, pressed])] + [("young", i, 10, *r[1:]) for i, r in enumerate([calm, calm, pressed, pressed])]
+    df = spark.createDataFrame(rows, "k string, i int, total int, processed int, failed int, timed_out int, queues double, files double, memory double")
+    assert {r.k: (r.limit, r.downs, r.ups) for r in control.fetch_limits(df, "k", "i", limit=40, most=60, floor=8, step=8).collect()} == {"up": (48, 0, 1), "down": (32, 1, 0), "young": (40, 0, 0)}
+
+
+def test_parked_page(spark):
+    rows = [("https://www.hugedomains.com/x", "", "", "HugeDomains", "provider_hosted_parking_redirect"), ("https://x.org", "For sale", "Powered by Sedo", "Sedo", "provider_branded_parking_template"), ("https://x.org", "Buy this domain", "", "", "parking_or_sale_keywords"), ("https://x.org", "Shop", "shoes", "", "")]
+    df = spark.createDataFrame(rows, "url string, title string, text string, provider string, reason string")
+    from vigil.functions import urls
+
+    out = df.withColumn("p", policy.parking(urls.hostname(F.col("url")), policy.parked_text(F.col("title"), F.col("text"))))
+    assert all((r.p.provider, r.p.reason) == (r.provider, r.reason) for r in out.collect())
+
+
+def test_package_prefers_the_last_completed_record(spark):
+    import json
+
+    from vigil.operators import outcomes
+
+    name = "Identified Phishing/Suspected Domain Name"
+    log = [("a", 1, "completed", "raw.org", "n.org", json.dumps({name: "old.org", "Remarks": "x"})), ("a", 2, "completed", "raw.org", "n.org", json.dumps({name: "about:blank", "Remarks": " "})), ("b", 1, "completed", "", "", json.dumps({name: "b.org"})), ("b", 2, "failed", "", "", "{}"), ("", 1, "completed", "", "", "{}"), ("c", 1, "completed", "", "", "{broken")]
+    got = outcomes.submission_records(spark.createDataFrame(log, "record_key string, pos int, status string, raw_url string, normalized_url string, record string")).collect()
+    assert [(r.record_key, r[name], r.Remarks) for r in got] == [("a", "raw.org", "NA")]
+
+
+def test_redirects_as_known(spark):
+    from vigil.operators import brands, outcomes
+
+    rows = [("https://crsor.info", "https://dcc.crsorgi.gov.in.crsor.info/x", "crsorgi.gov.in", True, True), ("https://a.org", "https://b.org/", "crsorgi.gov.in", True, False), ("https://a.org", "https://www.a.org/", "crsorgi.gov.in", False, False), ("https://a.org", "about:blank", "crsorgi.gov.in", False, False)]
+    df = spark.createDataFrame(rows, "url string, landing string, legit string, promoted boolean, spoof boolean")
+    df = df.withColumn("trick", brands.deceptive(outcomes.host_value(F.col("landing")), F.col("legit")))
+    assert all((r.redirect_promoted, r.redirect_spoof) == (r.promoted, r.spoof) for r in outcomes.with_target(df, [F.col("url")], F.col("landing"), F.col("trick")).collect())
+
+
+def test_numbers_are_gapless(spark):
+    df = spark.range(5000).select((F.col("id") * 7 % 5000).alias("pos"))
+    got = {r.pos: r.n for r in reports.numbered(df, "pos", "n", 20).collect()}
+    assert got == {i: i + 1 for i in range(5000)}
+    assert reports.numbered(df.where("pos < 0"), "pos", "n").count() == 0
 
 
 def test_reports(spark):

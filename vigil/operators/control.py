@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 TIMEOUTS, FAILURES, QUEUES, FILES, MEMORY = 0.35, 0.70, 0.75, 0.70, 0.75
 CALM_TIMEOUTS, CALM_FAILURES, CALM_QUEUES = 0.20, 0.30, 0.40
 #: Windows in a row before a limit moves, and records of a run before any does.
-PRESSED_WINDOWS, HEALTHY_WINDOWS, LEAST_PROCESSED = 2, 2, 100
+PRESSED_WINDOWS, HEALTHY_WINDOWS, LEAST_PROCESSED = 2, 2, 500
 
 
 def share(a: Column, b: Column) -> Column:
@@ -91,11 +91,12 @@ def backlog_cap(full: Column, reserved: Column, backlog: Column, ingress: Column
     return F.when(done | calm, most).when(eased, F.least(most, F.greatest(least, F.lit(16)))).otherwise(least)
 
 
-def in_flight(ticks: DataFrame, part: str, order: str, *, start: int, floor: int, cap: int, target: float = 0.82, spare_cores: float = 1.0) -> DataFrame:
+def in_flight(ticks: DataFrame, part: str, order: str, *, start: int, floor: int, cap: int, target: float = 0.82, spare_cores: float = 2.0) -> DataFrame:
     """(part, in_flight, action, reason) after a run's ticks(free_cpu, used_cpu, lag_ms, pending_rows, queue, open_tasks, completed):
-    four fewer tasks in flight for any severe reason, twelve more after a healthy window."""
+    four fewer tasks in flight for any severe reason, twelve more after a healthy window. spare_cores are to stay free."""
+    least = max(1.0, spare_cores - 2)
     reasons = lambda t, load: F.array_compact(F.array(
-        F.when(t["free_cpu"] < spare_cores / 2, "cpu_headroom_low"), F.when((t["free_cpu"] < spare_cores) & (load > min(0.99, target + 0.12)), "cpu_utilization"), F.when(t["lag_ms"] > 250.0, "event_loop_lag"),
+        F.when(t["free_cpu"] < least, "cpu_headroom_low"), F.when((t["free_cpu"] < spare_cores) & (load > min(0.99, target + 0.12)), "cpu_utilization"), F.when(t["lag_ms"] > 250.0, "event_loop_lag"),
         F.when(t["pending_rows"] > 20_000, "checkpoint_backlog"), F.when(t["queue"] > F.greatest(F.lit(32), 2 * t["open_tasks"]), "ocr_backlog"),
     ))
 
@@ -103,7 +104,7 @@ def in_flight(ticks: DataFrame, part: str, order: str, *, start: int, floor: int
         load = F.when(t["free_cpu"] + t["used_cpu"] > 0, t["used_cpu"] / (t["free_cpu"] + t["used_cpu"])).otherwise(0.0)
         severe = reasons(t, load)
         bad = F.size(severe) > 0
-        good = ~bad & (t["free_cpu"] > spare_cores) & (load < min(0.99, target + 0.05)) & (t["lag_ms"] < 100.0) & (t["pending_rows"] < 5000) & (t["queue"] < 8) & ((t["completed"] > 0) | (t["open_tasks"] == 0))
+        good = ~bad & (t["free_cpu"] > spare_cores + 2) & (load < min(0.99, target + 0.05)) & (t["lag_ms"] < 100.0) & (t["pending_rows"] < 5000) & (t["queue"] < 8) & ((t["completed"] > 0) | (t["open_tasks"] == 0))
         down, up = bad & (s["in_flight"] > floor), good & (s["in_flight"] < cap)
         return F.struct(
             F.when(down, F.greatest(F.lit(floor), s["in_flight"] - 4)).when(up, F.least(F.lit(cap), s["in_flight"] + 12)).otherwise(s["in_flight"]).alias("in_flight"),

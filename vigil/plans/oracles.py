@@ -440,7 +440,7 @@ SELECT s_suppkey, coalesce(registrar, 'NA') AS registrar, coalesce(registrant, '
 FROM supplier JOIN g ON s_suppkey % {len(REGISTRATIONS)} = g.k LEFT JOIN r ON r.k = g.k""",
     "q_adaptive_limits": f"""
 WITH {_TICKS}, p AS (SELECT *, sum(processed) OVER (PARTITION BY event_type ORDER BY event_id) AS total FROM ticks),
-r AS (SELECT event_type, list({{l: 400, run: CAST(backlog <= 40 AND total >= 100 AND (timed_out / processed >= 0.35 OR (failed + timed_out) / processed >= 0.70) AS INTEGER), down: 0}} ORDER BY event_id) AS t FROM p GROUP BY event_type),
+r AS (SELECT event_type, list({{l: 400, run: CAST(backlog <= 40 AND total >= 500 AND (timed_out / processed >= 0.35 OR (failed + timed_out) / processed >= 0.70) AS INTEGER), down: 0}} ORDER BY event_id) AS t FROM p GROUP BY event_type),
 q AS (SELECT event_type, list_reduce(list_prepend({{l: 400, run: 0, down: 0}}, t), lambda s, x: CASE WHEN x.run = 1 AND s.run + 1 >= 2 AND s.l > 50 THEN {{l: greatest(50, s.l - 4), run: 0, down: s.down + 1}}
   ELSE {{l: s.l, run: CASE WHEN x.run = 1 THEN s.run + 1 ELSE 0 END, down: s.down}} END) AS z FROM r)
 SELECT event_type, z.l AS next_limit, z.down AS downshifts FROM q""",
@@ -462,10 +462,10 @@ SELECT event_id, CASE WHEN cpu >= 0.8 THEN CASE WHEN half < now THEN 'hard_clamp
   CAST(CASE WHEN event_id % 17 = 0 OR (backlog <= 0.5 AND ingress < 0.25 AND cpu < 0.25) THEN greatest(1, raw) WHEN backlog <= 1 AND ingress < 0.5 AND cpu < 0.5 THEN least(greatest(1, raw), greatest(least(greatest(1, raw), 12), 16)) ELSE least(greatest(1, raw), 12) END AS INTEGER) AS cap,
   round(greatest(depth / 40.0::DOUBLE, CAST(event_id % 30 AS DOUBLE)), 6) AS pressure FROM g""",
     "q_in_flight": """
-WITH e AS (SELECT event_type, event_id, (event_id % 8) / 2.0::DOUBLE AS free, (event_id % 5) * 2.0::DOUBLE AS used, (event_id % 6) * 45.0::DOUBLE AS lag, event_id % 30 * 800 AS pending, event_id % 12 AS queue, event_id % 4 AS tasks, event_id % 3 AS done FROM events),
+WITH e AS (SELECT event_type, event_id, CAST(event_id % 8 AS DOUBLE) AS free, (event_id % 5) * 2.0::DOUBLE AS used, (event_id % 6) * 45.0::DOUBLE AS lag, event_id % 30 * 800 AS pending, event_id % 12 AS queue, event_id % 4 AS tasks, event_id % 3 AS done FROM events),
 f AS (SELECT *, CASE WHEN free + used > 0 THEN used / (free + used) ELSE 0 END AS load FROM e),
-g AS (SELECT *, list_filter([CASE WHEN free < 0.5 THEN 'cpu_headroom_low' END, CASE WHEN free < 1 AND load > 0.94 THEN 'cpu_utilization' END, CASE WHEN lag > 250 THEN 'event_loop_lag' END, CASE WHEN pending > 20000 THEN 'checkpoint_backlog' END, CASE WHEN queue > greatest(32, 2 * tasks) THEN 'ocr_backlog' END], lambda x: x IS NOT NULL) AS why FROM f),
-h AS (SELECT *, CASE WHEN len(why) > 0 THEN 2 WHEN free > 1 AND load < 0.82 + 0.05 AND lag < 100 AND pending < 5000 AND queue < 8 AND (done > 0 OR tasks = 0) THEN 1 ELSE 0 END AS mood, array_to_string(why[1:3], ',') AS said FROM g),
+g AS (SELECT *, list_filter([CASE WHEN free < 1 THEN 'cpu_headroom_low' END, CASE WHEN free < 2 AND load > 0.94 THEN 'cpu_utilization' END, CASE WHEN lag > 250 THEN 'event_loop_lag' END, CASE WHEN pending > 20000 THEN 'checkpoint_backlog' END, CASE WHEN queue > greatest(32, 2 * tasks) THEN 'ocr_backlog' END], lambda x: x IS NOT NULL) AS why FROM f),
+h AS (SELECT *, CASE WHEN len(why) > 0 THEN 2 WHEN free > 4 AND load < 0.82 + 0.05 AND lag < 100 AND pending < 5000 AND queue < 8 AND (done > 0 OR tasks = 0) THEN 1 ELSE 0 END AS mood, array_to_string(why[1:3], ',') AS said FROM g),
 r AS (SELECT event_type, list({n: 0, m: mood, a: '', w: said} ORDER BY event_id) AS t FROM h GROUP BY event_type),
 z AS (SELECT event_type, list_reduce(list_prepend({n: 20, m: 0, a: 'hold', w: 'steady'}, t), lambda s, x: CASE
     WHEN x.m = 2 THEN {n: CASE WHEN s.n > 4 THEN greatest(4, s.n - 4) ELSE s.n END, m: 0, a: CASE WHEN s.n > 4 THEN 'downshift' ELSE 'hold' END, w: x.w}
@@ -539,11 +539,11 @@ worst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ag
 SELECT c.k AS id, b.k IS NOT NULL AS detected, coalesce(b.brand, 'none') AS detected_brand, coalesce(b.own, false) AS domain_match, coalesce(w.agrees = 1 AND NOT w.own, false) AS spoofed, coalesce(w.surface, b.surface, 'none') AS surface, coalesce(w.a, b.a, '') AS alias
 FROM c LEFT JOIN best b ON b.k = c.k LEFT JOIN worst w ON w.k = c.k""",
     "q_page_alignment": rf"""
-WITH {_ENT}, p AS (SELECT page_id, {_HOST} AS host, lower(trim(regexp_replace({_plain("array_to_string(regexp_extract_all(html, '(?is)<(?:p|h[1-3]|title)(?:\s[^>]*)?>(.*?)</(?:p|h[1-3]|title)>', 1), ' ')")}, '[ \t\n\r\f\x0B]+', ' ', 'g'))) AS words FROM pages),
+WITH {_ENT}, p AS (SELECT page_id, {_HOST} AS host, lower(trim(regexp_replace({_plain(r"array_to_string(regexp_extract_all(html, '(?is)<(?:p|h[1-3]|title)(?:\s[^>]*)?>(.*?)</(?:p|h[1-3]|title)>', 1), ' ')")}, '[ \t\n\r\f\x0B]+', ' ', 'g'))) AS words FROM pages),
 j AS (SELECT p.*, entity, domains[1] AS legit, {_registrable("host")} AS reg, CASE WHEN page_id % 2 = 0 THEN domains[1] || '.evil.info' ELSE 'www.' || domains[1] END AS inside FROM p JOIN ent ON page_id % 6 = idx),
-t AS (SELECT *, {_named("words")} AS page, list_distinct({_named("host")} || {_named("string_split(reg, '.')[1]")}) AS hosts, list_distinct({_named("entity")} || ['token', 'public', 'work']) AS own FROM j),
-k AS (SELECT *, list_filter(own, lambda x: x NOT IN {tuple(KINDS)} OR x IN ('token', 'public', 'work') OR list_contains(string_split(lower(entity), ' '), x)) AS mine FROM t)
-SELECT page_id, len(list_intersect(list_distinct(page || hosts), mine)) AS aligned, array_to_string({_named("host")}, '|') AS host_tokens,
+t AS (SELECT *, {_named("words")} AS page, list_distinct({_named("host")} || {_named("string_split(reg, '.')[1]")}) AS hosts, list_distinct({_named("entity")} || ['license', 'public', 'work']) AS own FROM j),
+k AS (SELECT *, list_filter(own, lambda x: x NOT IN {tuple(KINDS)} OR x IN ('license', 'public', 'work') OR list_contains(string_split(lower(entity), ' '), x)) AS mine FROM t)
+SELECT page_id, len(list_intersect(list_distinct(page || hosts), mine)) AS aligned, array_to_string(list_sort({_named("host")}), '|') AS host_tokens,
   {_registrable("inside")} <> {_registrable("legit")} AND contains('.' || regexp_replace(inside, '\.[^.]*$', '') || '.', '.' || {_registrable("legit")} || '.') AS deceptive, CASE WHEN page_id % 3 = 0 THEN 'login.bank.in' ELSE reg END AS signature FROM k""",
     "q_sector_precedence": f"""
 WITH {_cases(ORGANISATIONS, "entity, domain, registrar, hoster, dns")}, n AS (SELECT *, {_norm("entity")} AS name, list_filter(regexp_split_to_array(lower(domain), '[^a-z0-9]+'), lambda x: x <> '') AS parts FROM c),

@@ -392,7 +392,7 @@ def q_stage_limits(spark, d):
 @query
 def q_in_flight(spark, d):
     k = F.col("event_id")
-    t = _t(spark, d, "events").select("event_type", "event_id", ((k % 8) / 2.0).alias("free_cpu"), ((k % 5) * 2.0).alias("used_cpu"), ((k % 6) * 45.0).alias("lag_ms"), (k % 30 * 800).alias("pending_rows"), (k % 12).alias("queue"), (k % 4).alias("open_tasks"), (k % 3).alias("completed"))
+    t = _t(spark, d, "events").select("event_type", "event_id", (k % 8).cast("double").alias("free_cpu"), ((k % 5) * 2.0).alias("used_cpu"), ((k % 6) * 45.0).alias("lag_ms"), (k % 30 * 800).alias("pending_rows"), (k % 12).alias("queue"), (k % 4).alias("open_tasks"), (k % 3).alias("completed"))
     return control.in_flight(t, "event_type", "event_id", start=20, floor=4, cap=64)
 
 
@@ -659,9 +659,9 @@ def q_page_alignment(spark, d):
     p = _t(spark, d, "pages").select("page_id", signals.headings_and_paragraphs(F.col("html")).alias("words"), urls.hostname(F.col("url")).alias("host"))
     e = lexical.small(_ent(spark)).select("idx", "entity", F.get("domains", F.lit(0)).alias("legit"))
     j = p.join(e, k % 6 == F.col("idx"))
-    n = brands_of.aligned(F.col("words"), [F.col("host")], F.col("entity"), F.split(F.lower("entity"), " "), F.array(F.lit("token public"), F.lit("work")))
+    n = brands_of.aligned(F.col("words"), [F.col("host")], F.col("entity"), F.split(F.lower("entity"), " "), F.array(F.lit("license Public"), F.lit("work")))
     inside = F.when(k % 2 == 0, F.concat(F.col("legit"), F.lit(".evil.info"))).otherwise(F.concat(F.lit("www."), F.col("legit")))
-    return j.select("page_id", n.alias("aligned"), F.array_join(brands_of.host_tokens(F.col("host")), "|").alias("host_tokens"), brands_of.deceptive(inside, F.col("legit")).alias("deceptive"), brands_of.signature(F.when(k % 3 == 0, "login.bank.in").otherwise(F.col("host"))).alias("signature"))
+    return j.select("page_id", n.alias("aligned"), F.array_join(F.array_sort(brands_of.host_tokens(F.col("host"))), "|").alias("host_tokens"), brands_of.deceptive(inside, F.col("legit")).alias("deceptive"), brands_of.signature(F.when(k % 3 == 0, "login.bank.in").otherwise(F.col("host"))).alias("signature"))
 
 
 @query
