@@ -41,6 +41,12 @@ def test_word_first_then_longest_grams():
     languages, scores = langid.Scores(m).predict(["xy", None, "z", "...", "xy z", "xy"])
     assert languages == ["a", "und", "b", "und", "a", "a"] and scores[1] == scores[3] == 0.0 and scores[0] == scores[5]
     assert langid.Scores(m).predict(["xy " * 300_000, "z"])[0] == ["a", "b"]
+    # unseen words are dropped once they are many, and found again
+    scores = langid.Scores(m)
+    scores.MOST = 3
+    words = [f"z{chr(97 + i)}" for i in range(20)]
+    first = [scores.predict([w, "xy"]) for w in words]
+    assert first == [langid.Scores(m).predict([w, "xy"]) for w in words] == [scores.predict([w, "xy"]) for w in words]
 
 
 def plain(rows, n_max=4):

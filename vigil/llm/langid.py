@@ -37,48 +37,52 @@ class Model:
     def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray], n_max: int, floor: np.ndarray):
         self.languages, self.words, self.grams, self.n_max, self.floor = languages, words, grams, n_max, floor
 
-    def backoff(self, word: str) -> np.ndarray:
-        """Mean over the unseen word's positions of the longest known n-gram that starts there."""
-        text, total = f"<{word}>", np.zeros(len(self.languages))
-        for i in range(len(text)):
-            for n in range(min(self.n_max, len(text) - i), 0, -1):
-                if (v := self.grams.get(text[i : i + n])) is not None:
-                    total += v
-                    break
-            else:
-                total += self.floor
-        return total / len(text)
-
 
-class Scores(dict):
-    """The row of each word in `table`: known words first, then unseen ones as they come, with the vectors of backoff()."""
+class Scores:
+    """Rows of a table for words: known words first, then unseen ones as they come, by their n-grams."""
 
-    MOST = 200_000  # rows that are kept for further batches
+    MOST = 200_000  # unseen words that are kept for further batches
 
     def __init__(self, model: Model):
-        super().__init__((w, i) for i, w in enumerate(model.words))
-        self.model, self.known, self.size = model, len(model.words), len(model.words)
-        self.table = np.array(list(model.words.values()), float).reshape(self.known, len(model.languages))
-
-    def __missing__(self, word: str) -> int:
-        if self.size == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros((max(1024, self.size), self.table.shape[1]))])
-        self.table[self.size] = self.model.backoff(word)
-        self[word] = self.size
-        self.size += 1
-        return self.size - 1
+        self.model = model
+        self.grams = {g: i for i, g in enumerate(model.grams, 1)}
+        self.gram_table = np.array([model.floor, *model.grams.values()], float)
+        self.known = np.array(list(model.words.values()), float).reshape(len(model.words), len(model.languages))
+        self.forget()
 
     def forget(self) -> None:
-        """Drop the unseen words, once they are many."""
-        if self.size - self.known > self.MOST:
-            self.__init__(self.model)
+        """Keep the known words only."""
+        self.rows = {w: i for i, w in enumerate(self.model.words)}
+        self.table, self.size = self.known, len(self.known)
+
+    def learn(self, words: list[str]) -> None:
+        """Rows for unseen words: the mean, over a word's positions, of the longest known n-gram that starts there."""
+        find, n_max, ids, sizes = self.grams.get, self.model.n_max, [], []
+        for word in words:
+            text = f"<{word}>"
+            for i in range(len(text)):
+                for j in range(min(i + n_max, len(text)), i, -1):
+                    if at := find(text[i:j]):
+                        ids.append(at)
+                        break
+                else:
+                    ids.append(0)
+            sizes.append(len(text))
+        means = np.add.reduceat(self.gram_table[ids], np.cumsum([0, *sizes[:-1]])) / np.array(sizes)[:, None]
+        if self.size + len(words) > len(self.table):
+            self.table = np.concatenate([self.table[: self.size], np.zeros((max(len(words), self.size), self.table.shape[1]))])
+        self.table[self.size : self.size + len(words)] = means
+        self.rows.update(zip(words, range(self.size, self.size + len(words)), strict=True))
+        self.size += len(words)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of whole texts."""
         languages, scores, held, sizes, at, chars = [UNKNOWN] * len(texts), [0.0] * len(texts), [], [], [], 0
 
         def close() -> None:
-            rows = np.fromiter(map(self.__getitem__, held), np.int64, len(held))
+            if unseen := [w for w in dict.fromkeys(held) if w not in self.rows]:
+                self.learn(unseen)
+            rows = np.fromiter(map(self.rows.__getitem__, held), np.int64, len(held))
             if len(sizes) == 1 and len(rows) > LONG:
                 sums = (np.bincount(rows, minlength=self.size) @ self.table[: self.size])[None]
             else:
@@ -90,7 +94,8 @@ class Scores(dict):
             best = p.argmax(1)
             for i, b, x in zip(at, best.tolist(), p[np.arange(len(at)), best].tolist(), strict=True):
                 languages[i], scores[i] = self.model.languages[b], x
-            self.forget()
+            if self.size - len(self.known) > self.MOST:
+                self.forget()
             held.clear()
             sizes.clear()
             at.clear()
