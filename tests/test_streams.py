@@ -5,6 +5,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from vigil.plans.queries import QUERIES
 
@@ -31,3 +32,26 @@ def test_watchdog_sees_events_in_time_order(spark, many_files):
     (row,) = QUERIES["q_stream_watchdog"](spark, many_files).collect()
     gaps = [8 if e % 2 else 2 for e in range(1, N)]
     assert (row.warnings, row.stalls) == (len(gaps), sum(g >= 4 for g in gaps))
+
+
+def test_updates_of_many_batches_are_merged(spark, many_files, tmp_path):
+    from vigil.streaming import streams
+
+    schema = spark.read.parquet(f"{many_files}/events.parquet").schema
+    events = streams.file_stream(spark, f"{many_files}/events.parquet", schema, 7).withColumn("ts", F.col("ts").cast("timestamp"))
+    (row,) = streams.drained_table(streams.watchdog(events, "event_type", "ts", 3600, 4 * 3600), str(tmp_path), "update", ["event_type"]).collect()
+    gaps = [8 if e % 2 else 2 for e in range(1, N)]
+    assert (row.warnings, row.stalls) == (len(gaps), sum(g >= 4 for g in gaps))
+    counted = streams.drained_table(events.groupBy("user_id").agg(F.count("*").alias("n")), str(tmp_path), "update", ["user_id"]).collect()
+    assert sum(r.n for r in counted) == N and len(counted) == 7
+
+
+def test_silent_keys_are_reported(spark, tmp_path):
+    from vigil.streaming import streams
+
+    (tmp_path / "e").mkdir()
+    for i, (key, hour) in enumerate([("a", 0), ("b", 0), ("b", 5), ("b", 9), ("b", 10)]):
+        pd.DataFrame([(key, START + datetime.timedelta(hours=hour))], columns=["k", "ts"]).astype({"ts": "datetime64[us]"}).to_parquet(tmp_path / f"e/{i}.parquet")
+    events = streams.file_stream(spark, str(tmp_path / "e"), "k string, ts timestamp", 1).withWatermark("ts", "1 minute")
+    found = streams.drained_table(streams.watchdog(events, "k", "ts", 3600, 4 * 3600, silent_after=3 * 3600), str(tmp_path / "out"), "update", ["k"]).collect()
+    assert {r.k: r.silent for r in found} == {"a": True, "b": False}

@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.functions.hashing import bits, distance
+from vigil.functions.hashing import bits, distance, plain_hex
+from vigil.functions.similarity import jaro_winkler_udf, token_set_ratio_udf
+from vigil.operators.lexical import small
 
 
-def hamming_radius(left: DataFrame, right: DataFrame, radius: int, bands: int | None = None) -> DataFrame:
-    """(a, b, distance) of left(a, x) and right(b, y), 16 hex digits each, at most `radius` bits apart.
+def hamming_radius(left: DataFrame, right: DataFrame, radius: int, blocks: int | None = None) -> DataFrame:
+    """(a, b, distance) of left(a, x) and right(b, y), hex hashes of 64 bits, at most `radius` bits apart.
 
-    The 64 bits are cut into radius + 1 bands (or `bands`, more are allowed): two hashes this near agree on one of them, so an equi-join
-    on (band, bits) finds all candidates without a cross join. Hashes that aren't valid match nothing.
+    The 64 bits are cut into `blocks` (two more than the radius by default, more are allowed): hashes this near agree on all but `radius`
+    of them, so an equi-join on the bits of each choice of the others finds all candidates without a cross join. Two blocks
+    together are 25 bits or more, so that a key holds few of 10^9 hashes. Hashes that aren't valid match nothing.
     """
-    n = max(radius + 1, bands or 0)
+    n = max(radius + 1, blocks or radius + 2)
     edges = [64 * i // n for i in range(n + 1)]
+    masks = [sum(((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in chosen) for chosen in combinations(range(n), n - radius)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
 
     def keyed(df: DataFrame, value: str) -> DataFrame:
-        cut = [F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(F.col("h"), lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)).alias("key")) for i, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False))]
+        cut = [F.struct(F.lit(i).alias("band"), F.col("h").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)]
         return df.withColumn("h", bits(F.col(value))).where("h IS NOT NULL").withColumn("k", F.explode(F.array(*cut))).select("*", "k.*").drop("k")
 
     a = keyed(left, "x").withColumnRenamed("h", "p")
@@ -27,31 +34,43 @@ def hamming_radius(left: DataFrame, right: DataFrame, radius: int, bands: int |
     return a.join(b, ["band", "key"]).withColumn("distance", d).where(F.col("distance") <= radius).select("a", "b", "distance").distinct()
 
 
+#: Reference hashes that are broadcast together: 20 bytes each.
+REFERENCES = 100_000
+
+
 def nearest_reference(left: DataFrame, right: DataFrame, hit: int, anchor: int) -> DataFrame:
-    """(a, b, distance, similarity, hit, anchor): for each left hash the nearest of the few reference hashes, ties to the least b.
+    """(a, b, distance, similarity, hit, anchor): for each left hash the nearest reference hash, ties to the least b.
 
-    The reference side is a catalogue; its size is checked before it is broadcast.
+    References are broadcast in blocks of a bounded size, each of which reads the left side; minima are taken as they come.
     """
     few = right.withColumn("q", bits(F.col("y"))).where("q IS NOT NULL").select("b", "q")
-    n = few.count()
-    if n > 100_000:
-        raise ValueError(f"{n} reference hashes; use hamming_radius()")
+    blocks = max(1, -(-few.count() // REFERENCES))
     d = distance(F.col("p"), F.col("q"))
-    best = left.withColumn("p", bits(F.col("x"))).where("p IS NOT NULL").join(F.broadcast(few), how="cross").groupBy("a").agg(F.min(F.struct(d.alias("distance"), F.col("b"))).alias("m"))
+    own = left.withColumn("p", bits(F.col("x"))).where("p IS NOT NULL")
+    found = None
+    for at in range(blocks):
+        mine = few if blocks == 1 else few.where(F.pmod(F.xxhash64("b"), F.lit(blocks)) == at)
+        one = own.join(F.broadcast(mine), how="cross").groupBy("a").agg(F.min(F.struct(d.alias("distance"), F.col("b"))).alias("m"))
+        found = one if found is None else found.union(one)
+    best = found if blocks == 1 else found.groupBy("a").agg(F.min("m").alias("m"))
     return best.select("a", "m.b", "m.distance", F.round(1 - F.col("m.distance") / 64.0, 6).alias("similarity"), (F.col("m.distance") <= hit).alias("hit"), (F.col("m.distance") <= anchor).alias("anchor"))
 
 
-def range_lookup(rows: DataFrame, value: str, ranges: DataFrame) -> DataFrame:
+def range_lookup(rows: DataFrame, value: str, ranges: DataFrame, parts: int = 200) -> DataFrame:
     """rows with the attributes of the interval (low, high, ...) that holds `value`, null without one.
 
-    Intervals don't overlap. Rows and starts of intervals are put in one order within blocks of the value's range, and
-    the last start before a row is carried forward, so that neither side has to be small.
+    Intervals don't overlap. Rows and starts of intervals are put in one order within parts that hold about as many rows each,
+    and the last start before a row is carried forward, so that neither side has to be small. An interval stands in each
+    part that it reaches into: in no more than there are parts, however long it is.
     """
-    width = 1 << 16
+    edges = sorted(set(rows.agg(F.percentile_approx(value, [i / parts for i in range(1, parts)], 10_000)).first()[0] or []))
+    listed = F.array(*map(F.lit, edges)) if edges else F.array().cast("array<bigint>")
+    part = lambda c: F.size(F.filter(listed, lambda e: e <= F.col(c)))
+    begins = F.element_at(F.concat(F.array(F.lit(-(1 << 63))), listed.cast("array<bigint>")), F.col("block") + 1)
     attrs = [c for c in ranges.columns if c not in ("low", "high")]
-    spread = ranges.withColumn("block", F.explode(F.sequence(F.floor(F.col("low") / width), F.floor(F.col("high") / width))))
-    starts = spread.select("block", F.greatest(F.col("low"), F.col("block") * width).alias("at"), F.lit(0).alias("kind"), F.struct("high", *attrs).alias("hit"), *[F.lit(None).cast(rows.schema[c].dataType).alias(f"r_{c}") for c in rows.columns])
-    points = rows.select(F.floor(F.col(value) / width).alias("block"), F.col(value).alias("at"), F.lit(1).alias("kind"), F.lit(None).cast(starts.schema["hit"].dataType).alias("hit"), *[F.col(c).alias(f"r_{c}") for c in rows.columns])
+    spread = ranges.withColumn("block", F.explode(F.sequence(part("low"), part("high"))))
+    starts = spread.select("block", F.greatest(F.col("low"), begins).alias("at"), F.lit(0).alias("kind"), F.struct("high", *attrs).alias("hit"), *[F.lit(None).cast(rows.schema[c].dataType).alias(f"r_{c}") for c in rows.columns])
+    points = rows.select(F.coalesce(part(value), F.lit(0)).alias("block"), F.col(value).alias("at"), F.lit(1).alias("kind"), F.lit(None).cast(starts.schema["hit"].dataType).alias("hit"), *[F.col(c).alias(f"r_{c}") for c in rows.columns])
     w = Window.partitionBy("block").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     carried = starts.union(points).withColumn("last", F.last("hit", ignorenulls=True).over(w)).where("kind = 1")
     return carried.select(*[F.col(f"r_{c}").alias(c) for c in rows.columns], *[F.when(F.col("at") <= F.col("last.high"), F.col(f"last.{a}")).alias(a) for a in attrs])
@@ -86,6 +105,39 @@ def first_match(left: DataFrame, right: DataFrame, condition, order: str, most:
     return left.join(F.broadcast(right), condition).withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
 
 
+def similar_first(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Each left row (id, label, url) with the first right row (pos, legit_label, legit_url), by pos, whose label is like its own: Jaro-Winkler
+    similarity of 0.85 or a token-set ratio of 90, for another URL. right is a small catalogue, which is checked; labels are compared as
+    distinct pairs, in Arrow batches."""
+    pairs = left.select("label").distinct().where("label <> ''").join(small(right.select("legit_label").distinct().where("legit_label <> ''")), how="cross")
+    like = pairs.withColumn("jw", jaro_winkler_udf("label", "legit_label")).withColumn("sets", token_set_ratio_udf("label", "legit_label")).where("jw >= 0.85 OR sets >= 90").select("label", "legit_label")
+    best = left.join(like, "label").join(small(right), "legit_label").where("url <> legit_url").groupBy("id").agg(F.min(F.struct("pos", "legit_label", "legit_url")).alias("m"))
+    return left.join(best, "id", "left").select(*left.columns, "m.pos", "m.legit_label", "m.legit_url")
+
+
+def exact_hits(hashes: DataFrame, references: DataFrame) -> DataFrame:
+    """(id, entity) of hashes(id, hash) that stand in an entity's set references(entity, hash): an equi-join on normalised digits."""
+    known = references.select("entity", plain_hex(F.col("hash")).alias("h")).where("h IS NOT NULL").distinct()
+    return hashes.select("id", plain_hex(F.col("hash")).alias("h")).join(known, "h").select("id", "entity").distinct()
+
+
+def unprocessed(catalogue: DataFrame, done: DataFrame) -> DataFrame:
+    """(entity, domains): of each entity the distinct domains that aren't done, in order."""
+    open_ = catalogue.select("entity", F.lower(F.trim("domain")).alias("domain")).distinct().join(done.select(F.lower(F.trim("domain")).alias("domain")).distinct(), "domain", "left_anti")
+    return open_.groupBy("entity").agg(F.array_sort(F.collect_set("domain")).alias("domains"))
+
+
+def registrable_by(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """hosts(host, ...) with registrable, by a table of public suffixes(suffix) of any size: the longest that the host ends in and the label
+    before it; without one, the last label counts as suffix. An equi-join on all suffixes of distinct hosts."""
+    parts = F.filter(F.split("host", r"\."), lambda x: x != "")
+    tails = F.transform(F.sequence(F.lit(1), F.greatest(F.size("parts"), F.lit(1))), lambda i: F.struct(i.alias("i"), F.array_join(F.slice("parts", i, F.size("parts") - i + 1), ".").alias("suffix")))
+    known = suffixes.select(F.lower("suffix").alias("suffix")).distinct()
+    found = hosts.select("host").distinct().withColumn("parts", parts).select("host", "parts", F.inline(tails)).join(known, "suffix").groupBy("host").agg(F.min("i").alias("i"))
+    at = F.greatest(F.coalesce("i", F.size("parts")) - 1, F.lit(1))
+    return hosts.join(found, "host", "left").withColumn("parts", parts).withColumn("registrable", F.array_join(F.slice("parts", at, F.greatest(F.size("parts"), F.lit(1))), ".")).drop("parts", "i")
+
+
 def membership(left: DataFrame, right: DataFrame, key: str, out: str) -> DataFrame:
     """left with a boolean: whether its key is among right's."""
     keys = right.select(F.col(key).alias("__k")).distinct()

@@ -50,8 +50,12 @@ def network_corroborated(fields: list[Column], fetch_status: Column, fetch_detai
 INPUTS = ("fallback_only", "strict", "score_pass", "fetched", "redirect_spoof", "redirect_changed", "parked", "network", "hash_anchor", "tvc_strong", "content_spoof", "weak_tvc", "brand_evidence", "keyword_hit", "weak_signal")
 
 
-def decide(df: DataFrame) -> DataFrame:
-    """df(INPUTS) with classification, emit, reason and corroboration; the first rule that holds decides, of 15."""
+def decide(df: DataFrame, flagged: bool = False) -> DataFrame:
+    """df(INPUTS) with classification, emit, reason and corroboration; the first rule that holds decides, of 15.
+
+    flagged: only what is emitted as phishing or suspected. That is asked of the rule's number, which a plan can push below joins as
+    one CASE; a filter on the labels would be one for each label and rule.
+    """
     own = {n: f"__{n}" for n in INPUTS}
     c = {n: F.col(x) for n, x in own.items()}
     survivor = c["strict"] | c["score_pass"]
@@ -86,6 +90,7 @@ def decide(df: DataFrame) -> DataFrame:
     return (
         df.withColumns({x: F.coalesce(F.col(n), F.lit(False)) for n, x in own.items()})
         .withColumn("__rule", first)
+        .where(F.col("__rule").isin([i for i, r in enumerate(rules, 1) if r[2] and r[1] != "Legitimate"]) if flagged else F.lit(True))
         .withColumns({"classification": of(1), "emit": of(2), "reason": of(3), "__how": of(4), "__outside": outside, "__every": every})
         .withColumn("corroboration", F.when(how == "none", 0).when(how == "outside", F.col("__outside")).when(how == "outside and redirect", F.col("__outside") + 1).when(how == "every", F.col("__every")).otherwise(F.greatest("__every", F.lit(1))))
         .drop(*own.values(), "__rule", "__how", "__outside", "__every")

@@ -121,6 +121,14 @@ def q_record_key(spark, d):
     return _t(spark, d, "pages").select("page_id", hashing.record_key(F.col("url"), urls.hostname(F.col("url"))).alias("record_key"), F.sha2("url", 256).alias("digest"))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """df written once to the shared checkpoint folder, where it is used more than once."""
+    sc = df.sparkSession.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def _simhashes(spark, d, table, key):
     words = _t(spark, d, table).select(key, F.explode_outer(F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")).alias("w"))
     return hashing.simhash64(words, key, "w")
@@ -142,7 +150,7 @@ def q_hamming_radius_pairs(spark, d):
 @query
 def q_hash_bands_equijoin(spark, d):
     """Pairs of different documents whose hashes are at most three bits apart."""
-    h = _simhashes(spark, d, "documents", "doc_id")
+    h = _kept(_simhashes(spark, d, "documents", "doc_id"))
     return matching.hamming_radius(h.select(F.col("doc_id").alias("a"), F.col("simhash").alias("x")), h.select(F.col("doc_id").alias("b"), F.col("simhash").alias("y")), 3).where("a < b").withColumn("similarity", F.round(hashing.similarity(F.col("distance")), 6))
 
 
@@ -193,8 +201,7 @@ def q_classify_holdout(spark, d):
     listed = c.where(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD")).select(F.col("c_custkey").alias("o_custkey"))
     done = c.where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
     kept = holdout.join(listed, "o_custkey", "left_semi").join(done, "o_custkey", "left_anti").where(policy.floor_gate(F.col("score"), 25, F.col("strict"), F.col("hash_anchor")))
-    decided = policy.decide(kept)
-    return decided.where(F.col("emit") & F.col("classification").isin("Phishing", "Suspected")).select("id", "classification", "reason", "corroboration")
+    return policy.decide(kept, flagged=True).select("id", "classification", "reason", "corroboration")
 
 
 @query
