@@ -61,6 +61,18 @@ def registration(doc: Column) -> dict[str, Column]:
     return {n: F.coalesce(c, F.lit("NA")) for n, c in values.items()}
 
 
+def with_fallback(main: dict[str, Column], other: dict[str, Column], allowed: Column) -> dict[str, Column]:
+    """Fields of a registration, and where all of them are missing and it is allowed, those of a second source."""
+    missing = ~F.exists(F.array(*main.values()), present)
+    return {n: F.when(missing & allowed, F.when(present(other[n]), F.trim(other[n])).otherwise("NA")).otherwise(F.when(present(c), F.trim(c)).otherwise("NA")) for n, c in main.items()}
+
+
+def age_days(registered: Column, now: Column) -> Column:
+    """Days since a registration; -1 where its date can't be read."""
+    at = F.try_to_timestamp(F.substring(registered, 1, 10), F.lit("yyyy-MM-dd"))
+    return F.when(at.isNull(), -1).otherwise(F.greatest(F.lit(0), F.datediff(now, at)))
+
+
 def endpoint(host: Column, endpoints: dict[str, str], default: str) -> Column:
     """The address that a host's registration is asked at: that of its last label, else the default."""
     known = F.create_map(*[F.lit(x) for e in endpoints.items() for x in e])

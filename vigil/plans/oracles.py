@@ -578,6 +578,28 @@ rr AS (SELECT host, coalesce(string_agg(kind || ':' || v, ';' ORDER BY CASE kind
 c AS (SELECT host, bool_or(k % 4 = 0) AS ok, max(k) FILTER (k % 4 <> 0) AS failed FROM p WHERE k % 2 = 0 GROUP BY host)
 SELECT h.host, CASE WHEN ok THEN 'cached' WHEN failed IS NOT NULL AND 200 - failed < 90 THEN 'cooling' ELSE 'ask' END AS action, ips, dns_answer_count, dns_records,
   CASE WHEN ends_with(h.host, '.com') THEN 'https://com.example/' WHEN ends_with(h.host, '.org') THEN 'https://org.example/' ELSE 'https://any.example/' END || h.host AS endpoint FROM h LEFT JOIN c USING (host) LEFT JOIN aa USING (host) LEFT JOIN rr USING (host)""",
+    "q_registration_fallback": """
+WITH s AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 1 THEN s_name END AS r, CASE WHEN s_suppkey % 6 = 1 THEN '2020-02-03T04:05:06Z' END AS d, CASE WHEN s_suppkey % 4 <> 0 THEN 'W' || s_suppkey END AS r2, CASE WHEN s_suppkey % 5 = 0 THEN '2021-13-01' ELSE '2019-05-06' END AS d2 FROM supplier),
+t AS (SELECT s_suppkey, CASE WHEN r IS NULL AND d IS NULL AND s_suppkey % 2 = 0 THEN coalesce(r2, 'NA') ELSE coalesce(trim(r), 'NA') END AS registrar, CASE WHEN r IS NULL AND d IS NULL AND s_suppkey % 2 = 0 THEN d2 ELSE coalesce(d, 'NA') END AS registered FROM s)
+SELECT *, CASE WHEN TRY_CAST(substr(registered, 1, 10) AS DATE) IS NULL THEN -1 ELSE greatest(0, date_diff('day', TRY_CAST(substr(registered, 1, 10) AS DATE), DATE '2024-01-01')) END AS age FROM t""",
+    "q_exact_hashes": """
+WITH h AS (SELECT doc_id AS id, substr(md5(text), 1, 16) AS h FROM documents) SELECT DISTINCT a.id, 'e' || (b.id % 3) AS entity FROM h a JOIN h b ON a.h = b.h WHERE b.id % 7 = 0""",
+    "q_unprocessed_domains": f"""
+WITH p AS (SELECT page_id, {_HOST} AS domain FROM pages), o AS (SELECT DISTINCT {_registrable("domain")} AS entity, domain FROM p WHERE domain NOT IN (SELECT domain FROM p WHERE page_id % 3 = 0))
+SELECT entity, string_agg(domain, '|' ORDER BY domain) AS domains FROM o GROUP BY entity""",
+    "q_registrable_by_table": f"""
+WITH {_HOSTS}, p AS (SELECT host, string_split(host, '.') AS l FROM hosts), s(suffix) AS (VALUES ('com'), ('org'), ('example.net'), ('net')),
+m AS (SELECT host, any_value(l) AS l, max(len(string_split(suffix, '.'))) AS n FROM p LEFT JOIN s ON host = suffix OR ends_with(host, '.' || suffix) GROUP BY host)
+SELECT host, array_to_string(l[-least(len(l), coalesce(n, 1) + 1):], '.') AS registrable FROM m""",
+    "q_array_sets": """
+WITH o AS (SELECT o_orderkey AS k, list_filter(['a', CASE WHEN o_orderkey % 2 = 0 THEN 'b' END, CASE WHEN o_orderkey % 3 = 0 THEN 'c' END], lambda x: x IS NOT NULL) AS a, list_filter([CASE WHEN o_orderkey % 7 = 0 THEN 'b' END, 'd', CASE WHEN o_orderkey % 4 = 0 THEN 'c' END], lambda x: x IS NOT NULL) AS b FROM orders)
+SELECT k AS o_orderkey, array_to_string(list_sort(list_distinct(a || b)), '|') AS both, array_to_string(list_sort(list_intersect(a, b)), '|') AS common, array_to_string(list_sort(list_filter(a, lambda x: NOT list_contains(b, x))), '|') AS rest, false AS subset, 'sb' || (k % 3) || '|bank2' AS abbreviations FROM o""",
+    "q_workbook_map": f"""
+WITH p AS (SELECT page_id, {_PATH} AS url, {_HOST} AS workbook FROM pages), f AS (SELECT url, workbook, min(page_id) AS pos FROM p WHERE page_id % 4 <> 0 AND url <> '' GROUP BY ALL), b AS (SELECT url, string_agg(workbook, '|' ORDER BY pos) AS s FROM f GROUP BY url)
+SELECT page_id, coalesce(s, '') AS source_workbook FROM p LEFT JOIN b USING (url)""",
+    "q_lookup_speed": """
+WITH e AS (SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean FROM events WHERE value > 0 GROUP BY event_type)
+SELECT *, row_number() OVER (ORDER BY mean DESC, event_type) AS rank FROM e QUALIFY rank <= 5""",
     "q_funnel_pivot": """
 WITH b AS (SELECT doc_id, unnest(list_distinct([source, lang])) AS book FROM documents)
 SELECT book, count(*) FILTER (doc_id % 3 = 0) AS stage1, count(*) FILTER (doc_id % 3 = 1) AS holdout, count(*) FILTER (doc_id % 3 = 2) AS review FROM b WHERE book IS NOT NULL GROUP BY book""",

@@ -730,6 +730,64 @@ def q_lookup_bundles(spark, d):
     return joined.select("host", "action", F.array_join("ips", ",").alias("ips"), "dns_answer_count", "dns_records", infra.endpoint(F.col("host"), {"com": "https://com.example/", "org": "https://org.example/"}, "https://any.example/").alias("endpoint"))
 
 
+@query
+def q_registration_fallback(spark, d):
+    """Registrations, with a second source where the first has nothing and the host resolves; and their ages."""
+    k = F.col("s_suppkey")
+    main = {"registrar": F.when(k % 3 == 0, "NA").when(k % 3 == 1, F.col("s_name")), "registered": F.when(k % 6 == 1, "2020-02-03T04:05:06Z")}
+    other = {"registrar": F.when(k % 4 != 0, F.concat(F.lit(" W"), k.cast("string"))), "registered": F.when(k % 5 == 0, "2021-13-01").otherwise("2019-05-06")}
+    out = infra.with_fallback(main, other, k % 2 == 0)
+    return _t(spark, d, "supplier").select("s_suppkey", *[c.alias(n) for n, c in out.items()], infra.age_days(out["registered"], F.lit("2024-01-01").cast("date")).cast("long").alias("age"))
+
+
+@query
+def q_exact_hashes(spark, d):
+    """Texts whose checksum stands in an entity's set, whatever form it is written in."""
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.substring(F.md5("text"), 1, 16).alias("hash"))
+    refs = docs.where("id % 7 = 0").select(F.concat(F.lit("e"), (F.col("id") % 3).cast("string")).alias("entity"), F.concat(F.lit("0x"), F.upper("hash")).alias("hash"))
+    return matching.exact_hits(docs, refs)
+
+
+@query
+def q_unprocessed_domains(spark, d):
+    pages = _t(spark, d, "pages").select("page_id", urls.hostname(F.col("url")).alias("domain"))
+    catalogue = pages.select(urls.registrable(F.col("domain")).alias("entity"), "domain")
+    return matching.unprocessed(catalogue, pages.where("page_id % 3 = 0").select("domain")).select("entity", F.array_join("domains", "|").alias("domains"))
+
+
+@query
+def q_registrable_by_table(spark, d):
+    suffixes = spark.createDataFrame([("com",), ("org",), ("example.net",), ("net",)], "suffix string")
+    return matching.registrable_by(_hosts(spark, d), suffixes)
+
+
+@query
+def q_array_sets(spark, d):
+    """Unions, intersections, differences and subsets of lists, without nulls, and abbreviations in names."""
+    o = _t(spark, d, "orders")
+    k = F.col("o_orderkey")
+    a = F.array_compact(F.array(F.lit("a"), F.when(k % 2 == 0, "b"), F.when(k % 3 == 0, "c"), F.when(k % 5 == 0, "a")))
+    b = F.array_compact(F.array(F.when(k % 7 == 0, "b"), F.lit("d"), F.when(k % 4 == 0, "c")))
+    flat = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), "|")
+    names = F.transform(F.regexp_extract_all(F.concat(F.lit("Bank (SB"), (k % 3).cast("string"), F.lit(") of (x) India (BANK2)")), F.lit(r"\(([A-Za-z0-9]{2,})\)"), F.lit(1)), lambda x: F.lower(x))
+    return o.select("o_orderkey", flat(F.array_union(a, b)).alias("both"), flat(F.array_intersect(a, b)).alias("common"), flat(F.array_except(a, b)).alias("rest"), (F.size(F.array_except(b, a)) == 0).alias("subset"), F.array_join(names, "|").alias("abbreviations"))
+
+
+@query
+def q_workbook_map(spark, d):
+    """Records with the workbooks of their addresses; an address without any keeps its row."""
+    pages = _t(spark, d, "pages").select("page_id", urls.path_of(F.col("url")).alias("url"), urls.hostname(F.col("url")).alias("workbook"), F.col("page_id").alias("pos"))
+    books = readers.dedupe_sources(pages.where("page_id % 4 <> 0 AND url <> ''").select("url", "workbook", "pos")).select(F.col("url").alias("u"), F.array_join("source_workbooks", "|").alias("source_workbook"))
+    return pages.join(books, F.col("url") == F.col("u"), "left").select("page_id", F.coalesce("source_workbook", F.lit("")).alias("source_workbook"))
+
+
+@query
+def q_lookup_speed(spark, d):
+    """Mean and number of lookups that took any time, by kind; and the slowest kinds first, five at most."""
+    e = _t(spark, d, "events").where("value > 0").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"))
+    return reports.ranked(e, [F.desc("mean"), F.asc("event_type")]).where("rank <= 5").withColumn("rank", F.col("rank").cast("long"))
+
+
 @query
 def q_funnel_pivot(spark, d):
     """Rows of each workbook in the stages, as columns; rows of several workbooks count in each."""
