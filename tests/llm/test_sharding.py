@@ -36,3 +36,50 @@ def test_target_bytes_and_any_number_of_leaves(spark):
 
 def test_no_rows(none):
     assert sharding.shard_documents(none).count() == 0
+
+
+def plain_tree(rows, dims, leaves):
+    """Shard of each row's id by a recursive k-d tree over rows (dicts), cut at the weighted median by (value, text, id)."""
+    spread = [max(1, max(r[d] for r in rows) - min(r[d] for r in rows)) for d in dims]
+    out = {}
+
+    def split(part, k, base):
+        if k == 1:
+            out.update({r["id"]: base for r in part})
+            return
+        wide = [(max(r[d] for r in part) - min(r[d] for r in part)) / s for d, s in zip(dims, spread, strict=True)]
+        dim = dims[wide.index(max(wide))]
+        part = sorted(part, key=lambda r: (r[dim], r["text_hash"], r["id_hash"]))
+        want, at = sum(r["size"] for r in part) * (k // 2) / k, 0
+        for i, r in enumerate(part):
+            if at + r["size"] >= want:
+                cut = i if want - at <= at + r["size"] - want else i + 1
+                break
+            at += r["size"]
+        split(part[:cut], k // 2, base)
+        split(part[cut:], k - k // 2, base + k // 2)
+
+    split(rows, leaves, 0)
+    return out
+
+
+def test_equals_a_plain_tree(spark, monkeypatch):
+    import random
+
+    rng = random.Random(6)
+    rows = [{"id": i, "size": rng.randrange(1, 500), "text_hash": rng.getrandbits(47), "id_hash": rng.getrandbits(47), "a": rng.choice([5, 900, 2**31]), "b": int(rng.gauss(0, 1000))} for i in range(400)]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], "id long, size long, text_hash long, id_hash long, a long, b long")
+    for leaves in (2, 5, 8):
+        got = {r.id: r.shard for r in sharding.kd_shards(df, ["a", "b"], leaves=leaves, slack=0.0).collect()}
+        assert got == plain_tree(rows, ["a", "b"], leaves), leaves
+    # fewer bins for each node: more passes, the same tree
+    monkeypatch.setattr(sharding, "MOST_ROWS", 16)
+    assert {r.id: r.shard for r in sharding.kd_shards(df, ["a", "b"], leaves=8, slack=0.0).collect()} == got
+
+
+def test_rows_without_ids(spark):
+    df = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 1500).alias("text"), F.lit(None).cast("string").alias("lang"))
+    slots = defaultdict(list)
+    for r in sharding.shard_documents(df).collect():
+        slots[r.shard].append(r.slot)
+    assert sum(map(len, slots.values())) == 2000 and all(sorted(s) == list(range(len(s))) for s in slots.values())

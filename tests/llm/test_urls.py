@@ -38,3 +38,19 @@ def test_plan_has_no_join_or_python(spark):
     df = urls.judge(spark.createDataFrame([(1, "http://a.com/en/")], "page_id long, url string"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Python" not in plan and "Exchange" not in plan
+
+
+def test_repeated_rows_long_urls_and_many_rules(spark):
+    rules = [(f"h{i}.org", f"/{i % 7}", "block" if i % 2 else "allow") for i in range(3000)]
+    long = "/7" + "x" * 200_000
+    asked = [(f"https://a.h{i}.org/{i % 7}/z", "block" if i % 2 else "allow", f"h{i}.org/{i % 7}") for i in range(0, 3000, 50)] + [("https://h8.org" + long, "allow", None), ("https://h3.org/3" + long, "block", "h3.org/3")]
+    df = spark.createDataFrame([(u, v, r) for u, v, r in asked * 2], "url string, want string, known string")
+    got = urls.judge(df, rules=rules).collect()
+    assert len(got) == 2 * len(asked) and all((r.verdict, r.rule) == (r.want, r.known) for r in got)
+
+
+def test_a_poor_estimate_of_the_universe_is_mended(spark):
+    universe = spark.range(60_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    listed = universe.where("key in ('k1', 'k2')")
+    cascade = urls.Cascade(spark, listed, 2, universe, 2)
+    assert {r.key for r in universe.where(cascade.has(F.col("key"))).collect()} == {"k1", "k2"}

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import stash, tables
 
-#: Bins of one pass's histogram, and leaves of a tree at most: what the driver holds is at most bins times leaves rows.
-BINS, MOST_LEAVES = 512, 4096
+#: Bins of one pass's histogram for each open node, at most and at least, and rows of all histograms that the driver gets at once, if
+#: the least allows it.
+BINS, LEAST_BINS, MOST_ROWS = 512, 8, 1 << 21
 _HASH = (1 << 48) - 1
 
 
@@ -21,13 +22,13 @@ def text_hash(text: Column) -> Column:
 class Cut:
     """The search for one node's weighted median along a dimension; keys are (value, text hash, id hash) in that order."""
 
-    def __init__(self, node: int, dim: int, low: int, high: int, weight: int, want: float, slack: float):
-        self.node, self.dim, self.weight, self.want, self.slack = node, dim, weight, want, slack
+    def __init__(self, node: int, dim: int, low: int, high: int, weight: int, want: float, slack: float, bins: int):
+        self.node, self.dim, self.weight, self.want, self.slack, self.bins = node, dim, weight, want, slack, bins
         self.prefix: list[int] = []
         self.low, self.high, self.before, self.key = low, high, 0, None
 
     def width(self) -> int:
-        return (self.high - self.low) // BINS + 1
+        return (self.high - self.low) // self.bins + 1
 
     def narrow(self, bins: list[tuple[int, int, int]]) -> None:
         """bins: (weight, least, greatest value) of the bins that have rows, in order. Sets key, the exclusive upper bound of
@@ -60,14 +61,13 @@ def kd_shards(points: DataFrame, dims: list[str], *, leaves: int | None = None,
     miss the median by more than `slack` of the node's bytes.
 
     Medians are found for all nodes of a level together by histograms that close in on them: each pass sums at most
-    512 bins a node with partial sums before the shuffle, so neither a hot value nor a large group meets in one task.
-    The driver holds the cuts and one pass's bins, both bounded by MOST_LEAVES.
+    512 bins a node with partial sums before the shuffle, so neither a hot value nor a large group meets in one task. With many
+    open nodes a histogram has fewer bins, 8 at least, and there are more passes. The driver holds the cuts, a few numbers a
+    leaf, and one pass's bins: 2 million rows, or 8 a leaf.
     """
     spark = points.sparkSession
     whole = points.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), *[f(d).alias(f"{n}_{d}") for d in dims for n, f in (("min", F.min), ("max", F.max))]).first()
     count = leaves or max(1, math.ceil(whole["bytes"] / target_bytes))
-    if count > MOST_LEAVES:
-        raise ValueError(f"{count} leaves; at most {MOST_LEAVES}: split the table first")
     tree = points.withColumn("__node", F.lit(0))
     parts, base = {0: count}, {0: 0}  # leaves below a node, and the number of its first leaf
     done: dict[int, int] = {}
@@ -79,12 +79,12 @@ def kd_shards(points: DataFrame, dims: list[str], *, leaves: int | None = None,
         if not parts:
             break
         stats = tree.groupBy("__node").agg(F.sum("size").alias("bytes"), *[f(d).alias(f"{n}_{d}") for d in dims for n, f in (("min", F.min), ("max", F.max))]).collect()
-        open_cuts = {}
+        open_cuts, bins = {}, max(LEAST_BINS, min(BINS, MOST_ROWS // len(parts)))
         for r in stats:
             if (n := r["__node"]) in parts:
                 wide = [(r[f"max_{d}"] - r[f"min_{d}"]) / spread[i] for i, d in enumerate(dims)]
                 i = wide.index(max(wide))
-                open_cuts[n] = Cut(n, i, r[f"min_{dims[i]}"], r[f"max_{dims[i]}"], r["bytes"], r["bytes"] * (parts[n] // 2) / parts[n], r["bytes"] * slack)
+                open_cuts[n] = Cut(n, i, r[f"min_{dims[i]}"], r[f"max_{dims[i]}"], r["bytes"], r["bytes"] * (parts[n] // 2) / parts[n], r["bytes"] * slack, bins)
         cuts = dict(open_cuts)
         while open_cuts:
             found: dict[int, list] = {n: [] for n in open_cuts}
@@ -102,7 +102,7 @@ def kd_shards(points: DataFrame, dims: list[str], *, leaves: int | None = None,
             for i, d in enumerate(dims[1:], 1):
                 value = value.when(F.col("c_dim") == i, F.col(d))
             left = (value < F.col("k0")) | ((value == F.col("k0")) & ((F.col("text_hash") < F.col("k1")) | ((F.col("text_hash") == F.col("k1")) & (F.col("id_hash") < F.col("k2")))))
-            # at most MOST_LEAVES rows of five numbers
+            # a row of five numbers for each open node
             tree = tree.join(F.broadcast(side), F.col("__node") == F.col("c_node"), "left").withColumn("__node", F.when(F.col("c_node").isNull(), F.col("__node")).when(left, 2 * F.col("__node") + 1).otherwise(2 * F.col("__node") + 2)).drop("c_node", "c_dim", "k0", "k1", "k2")
         for n in [*cuts, *empty]:
             k, b = parts.pop(n), base[n]
@@ -133,12 +133,12 @@ def _histogram(tree: DataFrame, dims: list[str], cuts: list[Cut]) -> DataFrame:
 def with_slots(sharded: DataFrame, *, rows_per_cell: int = 50_000) -> DataFrame:
     """sharded with `slot`, gapless from 0 within each shard.
 
-    A shard's rows are numbered within cells of about rows_per_cell, dealt by id_hash, and the cells' offsets are added: no task
-    sees a whole shard. Cells and offsets meet under the same partitioning, without a second shuffle of the rows.
+    A shard's rows are numbered within cells of about rows_per_cell, dealt by hashes of id and text, and the cells' offsets are added: no
+    task sees a whole shard, also where ids are null or repeated. Cells and offsets meet under the same partitioning, without a second shuffle of the rows.
     """
     n = sharded.count()
     cells = max(1, math.ceil(n / rows_per_cell))
-    rows = sharded.withColumn("__cell", F.pmod("id_hash", F.lit(cells)))
+    rows = sharded.withColumn("__cell", F.pmod(F.xxhash64("id_hash", "text_hash"), F.lit(cells)))
     sizes = rows.groupBy("shard", "__cell").agg(F.count("*").alias("n"))
     order = Window.partitionBy("shard").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("shard", "__cell", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("__offset"))
@@ -149,8 +149,9 @@ def with_slots(sharded: DataFrame, *, rows_per_cell: int = 50_000) -> DataFrame:
 def shard_documents(docs: DataFrame, *, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of docs, under the law 'bytes': the shards' sizes are near equal.
 
-    Metadata dimensions: the language's hash, the logarithm of the size, and the text's checksum; all of them are equal for equal
-    texts of one language, so that copies share a shard unless a median falls inside a very large group of them.
+    Dimensions: the language's hash and the logarithm of the size, which are metadata, and the text's checksum, which isn't: it is there
+    so that a cut falls between texts. All are equal for equal texts of one language, so that copies share a shard unless a
+    median falls inside a very large group of them.
 
     size is the text's bytes plus 1; null text has none and the checksum of the empty text. Null ids and languages
     count as empty; repeated rows get slots of their own; no rows give no rows; other columns are ignored. The texts are read

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,7 +38,7 @@ def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
 
 
 class Level:
-    """A Bloom filter: the set bits of `bits`, as 64-bit words in a literal array."""
+    """A Bloom filter: the set bits of `bits`, as 64-bit words in a literal array. MOST_BITS hold about a million keys at the lowest rate."""
 
     def __init__(self, spark: SparkSession, keys: DataFrame | list[str], n: int, rate: float, salt: int):
         self.probes = max(1, round(-math.log2(rate)))
@@ -82,15 +83,18 @@ class Cascade:
         self.levels: list[Level] = []
         if not n_listed:
             return
-        rate = min(0.5, max(1e-9, n_listed / max(1, n_universe) / 2))
-        self.levels.append(Level(spark, listed, n_listed, rate, 0))
         mine = [r.key for r in listed.toLocalIterator()]
-        most = max(1000, 64 * n_listed)
-        # the only pass over the corpus: which of its keys level 0 takes for listed; their number is checked
-        hits = universe.where(self.levels[0].has(F.col("key"))).select("key").distinct().limit(most + n_listed + 1).collect()
+        # a level's false positives are about as many as the listed keys; where keys are repeated so unevenly that they are many more, at a lower rate
+        rate, most = min(0.5, max(1e-9, n_listed / max(1, n_universe) / 2)), max(1000, 64 * n_listed)
+        while True:
+            first = Level(spark, listed, n_listed, rate, 0)
+            # the only pass over the corpus: which of its keys level 0 takes for listed
+            hits = universe.where(first.has(F.col("key"))).select("key").distinct().limit(most + n_listed + 1).collect()
+            if len(hits) <= most + n_listed:
+                break
+            rate /= 64
+        self.levels.append(first)
         wrong = sorted({r.key for r in hits} - set(mine))
-        if len(wrong) > most:
-            raise ValueError("level 0 has many more false positives than its rate allows; give the true size of the universe")
         now, other = wrong, mine
         while now:
             keys = self.frame(spark, now)
@@ -101,7 +105,7 @@ class Cascade:
 
     @staticmethod
     def frame(spark: SparkSession, keys: list[str]) -> DataFrame:
-        return spark.range(1).select(F.explode(F.array(*[F.lit(k) for k in keys])).alias("key"))
+        return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(keys)), "array<string>")).alias("key"))
 
     def has(self, key: Column) -> Column:
         out = F.lit(len(self.levels) % 2 == 1)
@@ -120,7 +124,8 @@ def judge(pages: DataFrame, rules=RULES, *, url_col: str = "url", default: str =
     rules; both are exact over every key asked for, so a URL is judged from the filters' bits in its own row, without a
     join or a shuffle. Building takes one pass over the corpus, for the first level's false positives.
 
-    Null URLs and those without '://' have an empty host and path, and no rule. Repeated rows are judged alike; no rows give
+    Null URLs and those without '://' have an empty host and path, and no rule. A URL of any length is judged whole; a host has as many
+    keys as labels times lengths of the rules' paths. Repeated rows are judged alike; no rows give
     no rows; columns of pages stay, those named host, path, rule or verdict are replaced.
     """
     spark = pages.sparkSession
