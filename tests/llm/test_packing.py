@@ -61,3 +61,11 @@ def test_encoder_equals_tokenizer():
 
 def test_no_rows(none):
     assert packing.pack(none, PATH).count() == 0
+
+
+def test_other_columns_with_clashing_names(docs):
+    from pyspark.sql import functions as F
+
+    named = ("start", "length", "offset", "sequence_id", "doc_tokens", "ids_crc32")
+    more = docs.select("text", "doc_id", *[F.lit("x").alias(c) for c in named])
+    assert sorted(map(tuple, packing.pack(more, PATH).drop("sequence_id", "offset").collect()), key=str) == sorted(map(tuple, packing.pack(docs, PATH).drop("sequence_id", "offset").collect()), key=str)

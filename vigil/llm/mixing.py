@@ -52,9 +52,9 @@ def rates(sized: DataFrame, limit: int = 3) -> DataFrame:
     return F.broadcast(out) if found.count() <= MOST_BROADCAST else out
 
 
-def drawn(variate: Column) -> Column:
+def drawn(variate: Column, rate: Column) -> Column:
     """Copies of a document: floor(rate), and one more with the rate's fraction as its probability."""
-    return (F.floor("__rate") + (variate < F.col("__rate") - F.floor("__rate")).cast("long")).cast("long")
+    return (F.floor(rate) + (variate < rate - F.floor(rate)).cast("long")).cast("long")
 
 
 def copies(docs: DataFrame, *, seed: int = 11, limit: int = 3) -> DataFrame:
@@ -72,16 +72,19 @@ def copies(docs: DataFrame, *, seed: int = 11, limit: int = 3) -> DataFrame:
     adaptive execution to split.
     """
     base = stash(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), uniform(F.col("doc_id").cast("long"), F.col("text"), seed).alias("__u")))
-    joined = base.join(rates(base, limit), F.col("source").eqNullSafe(F.col("__s"))).withColumn("copies", drawn(F.col("__u")))
+    joined = base.join(rates(base, limit), F.col("source").eqNullSafe(F.col("__s"))).withColumn("copies", drawn(F.col("__u"), F.col("__rate")))
     return joined.select("doc_id", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mix(docs: DataFrame, *, seed: int = 11, limit: int = 3) -> DataFrame:
     """The rows of docs, all columns, each as often as copies() says."""
+    free = "__"
+    while any(c.startswith(free) for c in docs.columns):  # names that the documents' own columns don't have
+        free += "_"
     sized = docs.select(F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"))
-    rows = docs.join(rates(sized, limit), docs["source"].cast("string").eqNullSafe(F.col("__s")))
-    n = drawn(uniform(docs["doc_id"].cast("long"), docs["text"], seed)).cast("int")
-    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), n))).select(*docs.columns)
+    found = rates(sized, limit).select(F.col("__s").alias(f"{free}s"), F.col("__rate").alias(f"{free}rate"))
+    n = drawn(uniform(F.col("doc_id").cast("long"), F.col("text"), seed), F.col(f"{free}rate")).cast("int")
+    return docs.join(found, F.col("source").cast("string").eqNullSafe(F.col(f"{free}s"))).withColumn(f"{free}copy", F.explode(F.array_repeat(F.lit(0), n))).select(*docs.columns)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
