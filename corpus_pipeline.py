@@ -15,9 +15,12 @@ LEAST_SCORE = 0.5
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; those without text or letters, or of no one language, go."""
+    """Documents whose language is known; those without text or letters, or of no one language, go. Repeated rows are judged alike."""
     model = langid.fit(docs.where(~langid.held_out()))
-    return langid.predict(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    # the documents' own columns of these names are kept
+    own = {c: f"__own_{c}" for c in ("lang_pred", "score") if c in docs.columns}
+    found = langid.predict(docs.withColumnsRenamed(own), model).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return found.drop("lang_pred", "score").withColumnsRenamed({v: c for c, v in own.items()}).select(*docs.columns)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +43,14 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated so that the sources have their target weights."""
+    """Documents repeated so that the sources have their target weights, see mixing.mix(): rows without source are a source of their own, rows
+    without words take no part in the weights, repeated rows are drawn alike, no rows give no rows."""
     return mixing.mix(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 2048 tokens."""
+    """The pieces of all documents in sequences of 2048 tokens, see packing.pack(): null and empty texts are one token, repeated rows are
+    packed each, no rows give no rows."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
