@@ -30,6 +30,11 @@ def similarity(distance_: Column) -> Column:
     return F.coalesce(1 - distance_ / 64.0, F.lit(0.0))
 
 
+def image_distance(a: Column, b: Column) -> Column:
+    """Bits in which two image hashes differ; infinite where one isn't valid."""
+    return F.coalesce(distance(bits(a), bits(b)).cast("double"), F.lit(float("inf")))
+
+
 def best_of_set(value: Column, references: Column) -> Column:
     """struct(distance, similarity) of the reference nearest to a hash; of references that aren't valid, or none, null and 0."""
     found = F.array_min(F.filter(F.transform(references, lambda r: distance(bits(value), bits(r))), lambda d: d.isNotNull()))

@@ -119,6 +119,17 @@ def page_title(html: Column) -> Column:
     return F.trim(F.regexp_extract(html, "(?is)<title[^>]*>([^<]*)</title>", 1))
 
 
+def favicon_link(html: Column) -> Column:
+    """The address of a page's icon; empty without one."""
+    tag = F.regexp_extract(html, r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?[^"'>]*\bicon\b)[^>]*>""", 0)
+    return F.regexp_extract(tag, r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
+
+
+def run_token(at: Column) -> Column:
+    """A time as part of a run's name."""
+    return F.date_format(at, "yyyyMMdd'T'HHmmss'Z'")
+
+
 def plain(html: Column) -> Column:
     """Text of a piece of a page: tags go, the commonest entities are resolved."""
     bare = F.regexp_replace(html, r"(?s)<[^>]*>", " ")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.hashing import bits, distance, plain_hex
 from vigil.functions.similarity import jaro_winkler_udf, token_set_ratio_udf
+from vigil.functions.text import pipe_list
 from vigil.operators.lexical import small
 
 
@@ -105,6 +106,17 @@ def first_match(left: DataFrame, right: DataFrame, condition, order: str, most:
     return left.join(F.broadcast(right), condition).withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
 
 
+def outputs_by_workbook(output: DataFrame, sources: list[DataFrame]) -> DataFrame:
+    """(workbook, n): rows of output(url, source_workbook) of each workbook; where none names it, those whose url a source of that workbook has."""
+    lists = lambda df: df.select("url", F.explode(pipe_list(F.coalesce("source_workbook", F.lit("")))).alias("workbook"))
+    direct = lists(output).groupBy("workbook").agg(F.count("*").alias("direct"))
+    every = lists(sources[0])
+    for s in sources[1:]:
+        every = every.union(lists(s))
+    through = every.distinct().join(output.groupBy("url").agg(F.count("*").alias("rows")), "url", "left").groupBy("workbook").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("through"))
+    return through.join(direct, "workbook", "full").select("workbook", F.coalesce("direct", "through").cast("long").alias("n"))
+
+
 def similar_first(left: DataFrame, right: DataFrame) -> DataFrame:
     """Each left row (id, label, url) with the first right row (pos, legit_label, legit_url), by pos, whose label is like its own: Jaro-Winkler
     similarity of 0.85 or a token-set ratio of 90, for another URL. right is a small catalogue, which is checked; labels are compared as

@@ -182,6 +182,11 @@ def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
 UNMAPPED = {"fetch_status": "failed", "visual_status": "not_attempted", "fetch_error_type": "dns_gate_no_answer", "fetch_error_detail": "domain not mapped to an active IP", "admission_path": PASSTHROUGH, "survival_path": PASSTHROUGH, "dns_status": "no_answer", "dns_decision": "filtered", "hash_score": 0.0, "confidence_band": "Low", "evidence_tier": "weak_evidence"}
 
 
+def unmapped_rows(df: DataFrame) -> DataFrame:
+    """df as rows whose host has no address: they go on for their name alone."""
+    return with_defaults(df.drop(*UNMAPPED), UNMAPPED)
+
+
 def holdout_row(df: DataFrame, scores: Sequence[str]) -> DataFrame:
     """df with the scores rounded to four places, half to even; what isn't a number is 0."""
     return df.select(*[F.bround(number(F.col(c)), 4).alias(c) if c in scores else F.col(c) for c in df.columns])

@@ -13,6 +13,11 @@ def weighted_score(signals: dict[str, tuple[float, Column, Column]]) -> Column:
     return F.when(active > 1e-8, 100 * reached / active).otherwise(0.0)
 
 
+def keyword_part(n: Column) -> Column:
+    """Points for so many risk keywords."""
+    return F.when(n > 0, F.least(F.lit(25), 8 + 6 * (n - 1))).otherwise(0)
+
+
 def anchor(anchors: list[Column], hits: list[Column]) -> Column:
     """Any anchor, or at least two hits."""
     any_anchor = anchors[0]

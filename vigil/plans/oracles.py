@@ -600,6 +600,17 @@ SELECT page_id, coalesce(s, '') AS source_workbook FROM p LEFT JOIN b USING (url
     "q_lookup_speed": """
 WITH e AS (SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean FROM events WHERE value > 0 GROUP BY event_type)
 SELECT *, row_number() OVER (ORDER BY mean DESC, event_type) AS rank FROM e QUALIFY rank <= 5""",
+    "q_holdout_rows": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 OR o_orderkey % 6 = 0 THEN 0.0 ELSE round_even(o_totalprice / 7, 4) END AS hash_score, CASE WHEN o_orderkey % 4 = 0 THEN 'Low' ELSE 'High' END AS confidence_band,
+  CASE WHEN o_orderkey % 4 = 0 THEN 'dns_not_mapped_lexical_passthrough' ELSE '' END AS admission_path FROM orders""",
+    "q_workbook_outputs": """
+WITH d AS (SELECT doc_id, unnest(list_distinct(list_filter([source, lang], lambda x: x IS NOT NULL))) AS w, source FROM documents), o AS (SELECT w, count(*) AS n FROM d WHERE doc_id % 3 = 0 AND starts_with(source, 'src1') GROUP BY w),
+t AS (SELECT w, count(*) FILTER (doc_id % 3 = 0) AS n FROM d WHERE doc_id % 2 = 0 OR doc_id % 5 = 0 GROUP BY w)
+SELECT coalesce(t.w, o.w) AS workbook, coalesce(o.n, t.n) AS n FROM t FULL JOIN o ON t.w = o.w""",
+    "q_page_icons": f"""
+WITH p AS (SELECT page_id, substr(md5(html), 1, 16) AS x, '00ff00ff00ff00ff' AS y FROM pages)
+SELECT page_id, CASE page_id % 3 WHEN 0 THEN '/f.ico' WHEN 1 THEN 'https://x.org/i.png' ELSE '' END AS icon, CASE WHEN page_id % 5 = 0 THEN -1.0 ELSE CAST({_popcount("x", "y")} AS DOUBLE) END AS distance,
+  CASE WHEN page_id % 6 = 0 THEN 0 ELSE least(25, 8 + 6 * CAST(page_id % 6 - 1 AS INTEGER)) END AS points, strftime(make_timestamp(page_id * 1000000000), '%Y%m%dT%H%M%SZ') AS token FROM p""",
     "q_funnel_pivot": """
 WITH b AS (SELECT doc_id, unnest(list_distinct([source, lang])) AS book FROM documents)
 SELECT book, count(*) FILTER (doc_id % 3 = 0) AS stage1, count(*) FILTER (doc_id % 3 = 1) AS holdout, count(*) FILTER (doc_id % 3 = 2) AS review FROM b WHERE book IS NOT NULL GROUP BY book""",

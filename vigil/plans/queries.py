@@ -788,6 +788,30 @@ def q_lookup_speed(spark, d):
     return reports.ranked(e, [F.desc("mean"), F.asc("event_type")]).where("rank <= 5").withColumn("rank", F.col("rank").cast("long"))
 
 
+@query
+def q_holdout_rows(spark, d):
+    """Rows as they are held out, scores to four places; every fourth for a host without an address."""
+    k = F.col("o_orderkey")
+    o = _t(spark, d, "orders").select("o_orderkey", F.when(k % 6 == 0, "x").otherwise((F.col("o_totalprice") / 7).cast("string")).alias("hash_score"), F.lit("High").alias("confidence_band"))
+    kept = outcomes.holdout_row(o.where(k % 4 != 0), ["hash_score"]).select("o_orderkey", "hash_score", "confidence_band", F.lit("").alias("admission_path"))
+    return kept.union(outcomes.unmapped_rows(o.where(k % 4 == 0)).select("o_orderkey", "hash_score", "confidence_band", "admission_path"))
+
+
+@query
+def q_workbook_outputs(spark, d):
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("url"), F.concat_ws("|", "source", "lang").alias("source_workbook"))
+    out = docs.where("url % 3 = 0").select("url", F.when(F.col("source_workbook").startswith("src1"), F.col("source_workbook")).alias("source_workbook"))
+    return matching.outputs_by_workbook(out, [docs.where("url % 2 = 0"), docs.where("url % 5 = 0")])
+
+
+@query
+def q_page_icons(spark, d):
+    k = F.col("page_id")
+    html = F.concat("html", F.when(k % 3 == 0, '<LINK href="/f.ico" rel="shortcut icon">').when(k % 3 == 1, "<link rel=icon href=https://x.org/i.png sizes=any>").otherwise('<link rel="stylesheet" href="s.css">'))
+    hashed = hashing.image_distance(F.substring(F.md5("html"), 1, 16), F.when(k % 5 != 0, "00ff00ff00ff00ff").otherwise("zz"))
+    return _t(spark, d, "pages").select("page_id", signals.favicon_link(html).alias("icon"), F.when(hashed == float("inf"), -1.0).otherwise(hashed).alias("distance"), scoring.keyword_part(k % 6).cast("int").alias("points"), signals.run_token(F.timestamp_seconds(k * 1000)).alias("token"))
+
+
 @query
 def q_funnel_pivot(spark, d):
     """Rows of each workbook in the stages, as columns; rows of several workbooks count in each."""
