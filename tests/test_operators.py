@@ -161,10 +161,9 @@ def test_catalogue_and_exports(spark, tmp_path):
 def test_nearest_vectors_in_blocks(spark):
     refs = spark.range(10_001).select(F.col("id").alias("ref"), F.array(F.cos(F.col("id") / 5000), F.sin(F.col("id") / 5000)).alias("u"))
     rows = spark.createDataFrame([(7, [1.0, 0.0]), (8, [-1.0, 0.0])], "id long, v array<double>")
-    whole = features.nearest_vectors(rows, refs, 3, block=20_000).orderBy("id", "rank").collect()
+    whole = features.nearest_vectors(rows, refs, 3).orderBy("id", "rank").collect()
     assert [r.ref for r in whole[:1]] == [0] and len(whole) == 6
-    assert features.nearest_vectors(rows, refs, 3).orderBy("id", "rank").collect() == whole
-    assert features.nearest_vectors(rows, refs, 3, block=1500).orderBy("id", "rank").collect() == whole
+    assert features.nearest_vectors(rows, refs, 3, block=1).orderBy("id", "rank").collect() == whole
 
 
 #: host: similarity, keyword similarity, score of known decisions, as far as they depend on the catalogue given here.
@@ -194,3 +193,14 @@ def test_score_passes_the_gate_without_a_strict_hit(spark):
     # a: only the entity with a rule hit is a candidate; b: a fallback's score alone doesn't pass
     assert got["a"].entity == "f" and got["a"].gate and not got["a"].lexical_score_pass
     assert got["b"].fallback_rank_only and not got["b"].gate and not got["b"].lexical_score_pass
+
+
+def test_rings_in_parts(spark):
+    import random
+
+    rng = random.Random(9)
+    rows = [("hot", i, rng.randrange(1000)) for i in range(900)] + [("mild", i, rng.randrange(1000)) for i in range(130)] + [("cold", i, 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, i long, v long").repartition(4)
+    whole = sorted(map(tuple, monitor.ring(df, ["k"], "i", "v", 16).collect()))
+    for part in (10, 64, 300):
+        assert sorted(map(tuple, monitor.ring(df, ["k"], "i", "v", 16, part=part).select("k", "i", "v", "ring_n", "ring_avg", "ring_max").collect())) == whole

@@ -37,19 +37,23 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def nearest_vectors(rows: DataFrame, references: DataFrame, k: int, block: int = 10_000) -> DataFrame:
-    """(id, ref, cosine, rank): the k references of greatest cosine for each row. References are broadcast in blocks, each of which reads the rows."""
-    blocks = max(1, -(-references.count() // block))
-    left = rows.withColumn("na", F.sqrt(dot(F.col("v"), F.col("v"))))
-    right = references.withColumn("nb", F.sqrt(dot(F.col("u"), F.col("u"))))
+def nearest_vectors(rows: DataFrame, references: DataFrame, k: int, block: int = 1_000) -> DataFrame:
+    """(id, ref, cosine, rank): for each of rows(id, v) the k of references(ref, u) of greatest cosine, ties to the least ref.
+
+    The rows asked for are broadcast in blocks of a bounded size, each of which reads the references once; of what a task has read
+    it keeps k a row before anything is shuffled. A vector of zeros is like nothing (cosine 0).
+    """
+    asked = rows.withColumn("na", F.sqrt(dot(F.col("v"), F.col("v"))))
+    blocks = max(1, -(-asked.count() // block))
+    every = references.withColumn("nb", F.sqrt(dot(F.col("u"), F.col("u"))))
+    cosine = F.when((F.col("na") > 0) & (F.col("nb") > 0), F.round(dot(F.col("v"), F.col("u")) / (F.col("na") * F.col("nb")), 6)).otherwise(0.0)
     w = Window.partitionBy("id").orderBy(F.desc("cosine"), "ref")
-    best = lambda df: df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("id", "ref", "cosine", "rank")
     found = None
     for at in range(blocks):
-        mine = right if blocks == 1 else right.where(F.pmod(F.xxhash64("ref"), F.lit(blocks)) == at)
-        scored = left.join(F.broadcast(mine), how="cross").withColumn("cosine", F.round(dot(F.col("v"), F.col("u")) / (F.col("na") * F.col("nb")), 6))
-        found = best(scored) if found is None else found.union(best(scored))
-    return found if blocks == 1 else best(found)
+        mine = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == at)
+        one = every.join(F.broadcast(mine), how="cross").select("id", "ref", cosine.alias("cosine")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        found = one if found is None else found.union(one)
+    return found.select("id", "ref", "cosine", "rank")
 
 
 def url_features(url: Column) -> dict[str, Column]:

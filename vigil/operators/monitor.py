@@ -15,10 +15,36 @@ def tumbling(events: DataFrame, ts: str, seconds: int, keys: Sequence[str], valu
     return events.groupBy(F.window(ts, f"{seconds} seconds").alias("w"), *keys).agg(F.count("*").alias("n"), F.sum(value).alias("total"), F.max(value).alias("greatest"), F.max_by(value, ts).alias("gauge")).withColumn("window_start", F.col("w.start")).drop("w")
 
 
-def ring(events: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, size: int = 256) -> DataFrame:
-    """events with the count, mean and maximum of the last `size` values of their key."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(size - 1), 0)
-    return events.withColumn("ring_n", F.count(value).over(w)).withColumn("ring_avg", F.avg(value).over(w)).withColumn("ring_max", F.max(value).over(w))
+#: Rows of a key from which its ring is computed in parts.
+PART = 100_000
+
+
+def ring(events: DataFrame, keys: Sequence[str], order: str, value: str, size: int = 256, part: int = PART) -> DataFrame:
+    """events with the count, mean and maximum of the last `size` values of their key, by a number that orders them.
+
+    A key of many rows goes in parts of about `part` rows, so that a few hot keys keep all machines busy. A part gets the last rows
+    of those before it, too, as many as its first rows look back to.
+    """
+    back = size - 1
+    w = Window.partitionBy(*keys, "__part").orderBy(order)
+    hot = events.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > part)
+    most = hot.agg(F.max("__n")).first()[0]
+    if most is None:
+        dealt = events.withColumn("__part", F.lit(0)).withColumn("__own", F.lit(True))
+    else:
+        shares = [i * part / most for i in range(1, -(-most // part))]
+        edges = events.join(hot, list(keys), "left_semi").groupBy(*keys).agg(F.percentile_approx(order, shares, 10_000).alias("__edges"))
+        placed = events.join(edges, list(keys), "left").withColumn("__part", F.coalesce(F.size(F.filter("__edges", lambda e: e <= F.col(order))), F.lit(0)))
+        # of each part how many rows there are, to know how far back the parts after it look
+        sizes = placed.where("__edges IS NOT NULL").groupBy(*keys, "__part").agg(F.count("*").alias("n")).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__part", "n"))).alias("__sizes"))
+        ranked = placed.join(sizes, list(keys), "left").withColumn("__last", F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(F.desc(order))))
+        later = F.sequence(F.col("__part") + 1, F.size("__edges"))
+        between = lambda p: F.aggregate(F.filter(F.map_entries("__sizes"), lambda x: (x["key"] > F.col("__part")) & (x["key"] < p)), F.lit(0).cast("long"), lambda s, x: s + x["value"])
+        wanted = F.when((F.col("__last") <= back) & (F.col("__part") < F.size("__edges")), F.filter(later, lambda p: F.col("__last") + between(p) <= back)).otherwise(F.array().cast("array<int>"))
+        places = F.concat(F.array(F.struct(F.col("__part").alias("part"), F.lit(True).alias("own"))), F.transform(F.coalesce(wanted, F.array().cast("array<int>")), lambda p: F.struct(p.alias("part"), F.lit(False).alias("own"))))
+        dealt = ranked.withColumn("__x", F.explode(places)).withColumn("__part", F.col("__x.part")).withColumn("__own", F.col("__x.own")).drop("__x", "__edges", "__sizes", "__last")
+    looked = w.rowsBetween(-back, 0)
+    return dealt.withColumn("ring_n", F.count(value).over(looked)).withColumn("ring_avg", F.avg(value).over(looked)).withColumn("ring_max", F.max(value).over(looked)).where("__own").drop("__part", "__own")
 
 
 def streaks(ticks: DataFrame, part: Sequence[str], order: Sequence[str], pressed: Column) -> DataFrame:

@@ -283,7 +283,7 @@ WITH c AS (SELECT p_brand, count(*) AS class_n FROM part GROUP BY p_brand HAVING
 SELECT p_partkey, p_brand, class_n, class_id FROM part JOIN d USING (p_brand)""",
     "q_topk_cosine_entities": """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-s AS (SELECT a.vec_id AS id, b.vec_id AS ref, round(list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))), 6) AS cosine FROM e a, e b WHERE b.vec_id % 50 = 0)
+s AS (SELECT a.vec_id AS id, b.vec_id AS ref, round(list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))), 6) AS cosine FROM e a, e b WHERE a.vec_id % 100 = 0)
 SELECT id, ref, cosine, rank FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY cosine DESC, ref) AS rank FROM s) WHERE rank <= 3""",
     "q_stream_events_watermark": "SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
     "q_stream_dedupe": "SELECT DISTINCT event_id, user_id, event_type FROM events",
