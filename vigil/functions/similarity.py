@@ -34,6 +34,25 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro)
 
 
+def most_similar(a: str, b: int) -> float:
+    """The greatest Jaro-Winkler similarity that a text can have to one of b characters: all of the shorter one's match, in order."""
+    if not a or not b:
+        return 0.0
+    m = min(len(a), b)
+    jaro = (m / len(a) + m / b + 1) / 3
+    return jaro + 0.4 * (1 - jaro)
+
+
+def best_jaro_winkler(a: str, others: list[str], apart: int | None = None) -> tuple[float, int]:
+    """(similarity, place) of the first of others that is most similar to a; (0, -1) without any. Only lengths up to `apart` away count;
+    those that can't exceed the best so far by their lengths alone aren't compared."""
+    best, at = 0.0, -1
+    for i, b in enumerate(others):
+        if (apart is None or abs(len(a) - len(b)) <= apart) and most_similar(a, len(b)) > best and (x := jaro_winkler(a, b)) > best:
+            best, at = x, i
+    return best, at
+
+
 def indel_ratio(a: str, b: str) -> float:
     """100 * 2 * longest common subsequence / both lengths."""
     if not a and not b:
@@ -70,6 +89,20 @@ def _pairwise(f: Callable[[str, str], float]):
 jaro_winkler_udf, indel_ratio_udf, token_set_ratio_udf = _pairwise(jaro_winkler), _pairwise(indel_ratio), _pairwise(token_set_ratio)
 
 
+def best_of_list(apart: int | None = None):
+    """A function of a text and an array of texts: struct(similarity, place) by best_jaro_winkler(); place from 0. Equal pairs of a batch
+    are computed once."""
+
+    @F.pandas_udf("similarity double, place int")
+    def udf(a: pd.Series, others: pd.Series) -> pd.DataFrame:
+        known: dict[tuple, tuple] = {}
+        pairs = [(x, tuple(y) if y is not None else ()) for x, y in zip(a, others, strict=True)]
+        found = [known[p] if p in known else known.setdefault(p, best_jaro_winkler(p[0] or "", p[1], apart)) for p in pairs]
+        return pd.DataFrame(found, columns=["similarity", "place"])
+
+    return udf
+
+
 @F.pandas_udf(T.StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.functions import urls
-from vigil.functions.similarity import jaro_winkler_udf
+from vigil.functions.similarity import best_of_list, jaro_winkler_udf
 
 #: Keywords of credential pages, and what short brand names are followed by.
 RISK_KEYWORDS = ("login", "secure", "verify", "update", "account", "wallet", "signin")
@@ -98,35 +98,35 @@ def similar_domains(hosts: DataFrame, entity: DataFrame) -> DataFrame:
     return pairs.join(small(listed), "domain").groupBy("host", "idx").agg(best.alias("m")).select("host", "idx", "m.similarity", F.when(F.col("m.similarity") > 0, F.col("m.domain")).otherwise("").alias("domain"))
 
 
-def similar_tokens(hosts: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(host, idx, keyword_sim): the greatest similarity of a host's flat label to a token of the entity, of lengths at most six apart."""
-    flat = hosts.select("host", urls.flat(first_label(F.col("host"))).alias("flat"))
-    near = F.abs(F.length("flat") - F.length("token")) <= 6
-    pairs = flat.select("flat").distinct().join(small(tokens.select("token").distinct()), near).withColumn("keyword_sim", jaro_winkler_udf("flat", "token"))
-    best = pairs.join(small(tokens), "token").groupBy("flat", "idx").agg(F.max("keyword_sim").alias("keyword_sim"))
-    return flat.join(best, "flat").select("host", "idx", "keyword_sim")
-
-
 def scored(hosts: DataFrame, entity: DataFrame) -> DataFrame:
     """For each of hosts(host) and entities: host, idx, entity, domain, similarity, keyword_sim, n_hits, hits, total, lexical_score,
     evidence, rule_hit, n_risk.
 
-    Every host meets every entity: the catalogue is small and broadcast, and hosts are distinct before this. Similarities are
-    computed for distinct pairs, however many entities have a domain or token in common.
+    Every host meets every entity, with its lists of domains and tokens: the catalogue is small and broadcast, and hosts are distinct
+    before this, so that this is one pass without a shuffle.
     """
     hints = tuple(sorted({*RISK_KEYWORDS, *SUFFIX_HINTS}))
-    tokens = brand_index(entity)
-    label = first_label(F.col("host"))
-    profile = hosts.select("host").withColumn("label", label).withColumn("risks", F.filter(F.array(*map(F.lit, hints)), lambda k: F.contains(urls.flat(F.col("label")), k))).withColumn("n_risk", F.size("risks"))
+    tokens = brand_index(entity).groupBy("idx").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    none = F.array().cast("array<string>")
+    catalogue = entity.join(tokens, "idx", "left").select("idx", "entity", F.coalesce("domains", none).alias("domains"), F.coalesce("tokens", none).alias("tokens"))
+    parts = urls.words(F.col("label"))
+    profile = (
+        hosts.select("host")
+        .withColumn("label", first_label(F.col("host")))
+        .withColumn("flat", urls.flat(F.col("label")))
+        .withColumn("risks", F.filter(F.array(*map(F.lit, hints)), lambda k: F.contains(F.col("flat"), k)))
+        .withColumn("n_risk", F.size("risks"))
+        .withColumn("parts", parts)
+        .withColumn("cases", F.transform("parts", lambda p, i: F.struct(p.alias("part"), F.filter("parts", lambda x, j: j != i).alias("others"))))
+    )
     joined = (
-        profile.join(small(entity.select("idx", "entity")), how="cross")
-        .join(similar_domains(hosts, entity), ["host", "idx"], "left")
-        .join(similar_tokens(hosts, tokens), ["host", "idx"], "left")
-        .join(brand_hits(hosts, tokens), ["host", "idx"], "left")
-        .withColumn("similarity", F.coalesce("similarity", F.lit(0.0)))
-        .withColumn("domain", F.coalesce("domain", F.lit("")))
-        .withColumn("keyword_sim", F.coalesce("keyword_sim", F.lit(0.0)))
-        .withColumn("hits", F.coalesce("hits", F.array().cast("array<string>")))
+        profile.join(small(catalogue), how="cross")
+        .withColumn("own", best_of_list()("host", "domains"))
+        .withColumn("key", best_of_list(6)("flat", "tokens"))
+        .withColumn("similarity", F.col("own.similarity"))
+        .withColumn("domain", F.coalesce(F.get("domains", F.col("own.place")), F.lit("")))
+        .withColumn("keyword_sim", F.col("key.similarity"))
+        .withColumn("hits", F.filter("tokens", lambda t: F.exists("cases", lambda c: token_rule(c["part"], t, c["others"]))))
         .withColumn("n_hits", F.size("hits"))
     )
     fuzzy = (F.col("n_risk") > 0) & (F.col("keyword_sim") >= FUZZY_BRAND)
