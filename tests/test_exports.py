@@ -129,3 +129,25 @@ def test_cached_lookups_cool_down(spark):
     hosts = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), ("d",)], "host string")
     got = {r.host: r.action for r in infra.looked_up_with_cache(hosts, cache, F.lit("2024-01-01 00:00:30").cast("timestamp")).collect()}
     assert got == {"a": "cached", "b": "cooling", "c": "ask", "d": "ask"}
+
+
+def test_csv_of_strings_and_json(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from vigil.sources import writers
+
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    assert readers.csv_text(spark, str(tmp_path / "no.csv"), schema).columns == ["a", "b"] and readers.csv_text(spark, str(tmp_path / "no.csv")).count() == 0
+    (tmp_path / "x.csv").write_text("a,b\n007,\n")
+    assert [tuple(r) for r in readers.csv_text(spark, str(tmp_path / "x.csv")).collect()] == [("007", None)]
+    writers.write_json(spark.createDataFrame([("x", 1)], "a string, b int"), str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).first().asDict() == {"a": "x", "b": 1}
+
+
+def test_only_the_days_folder_is_read(spark, tmp_path):
+    from vigil.streaming import streams
+
+    for day, n in (("2024-01-01", 2), ("2024-01-02", 3)):
+        spark.range(n).write.parquet(str(tmp_path / "in" / day))
+    stream = streams.dated_stream(spark, str(tmp_path / "in"), "id long", "2024-01-02")
+    assert streams.drained_table(stream, str(tmp_path / "out")).count() == 3

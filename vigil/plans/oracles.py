@@ -611,6 +611,7 @@ SELECT coalesce(t.w, o.w) AS workbook, coalesce(o.n, t.n) AS n FROM t FULL JOIN
 WITH p AS (SELECT page_id, substr(md5(html), 1, 16) AS x, '00ff00ff00ff00ff' AS y FROM pages)
 SELECT page_id, CASE page_id % 3 WHEN 0 THEN '/f.ico' WHEN 1 THEN 'https://x.org/i.png' ELSE '' END AS icon, CASE WHEN page_id % 5 = 0 THEN -1.0 ELSE CAST({_popcount("x", "y")} AS DOUBLE) END AS distance,
   CASE WHEN page_id % 6 = 0 THEN 0 ELSE least(25, 8 + 6 * CAST(page_id % 6 - 1 AS INTEGER)) END AS points, strftime(make_timestamp(page_id * 1000000000), '%Y%m%dT%H%M%SZ') AS token FROM p""",
+    "q_upsert_state": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 2 ELSE 1 END AS version, CASE WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS stage FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 <> 0",
     "q_funnel_pivot": """
 WITH b AS (SELECT doc_id, unnest(list_distinct([source, lang])) AS book FROM documents)
 SELECT book, count(*) FILTER (doc_id % 3 = 0) AS stage1, count(*) FILTER (doc_id % 3 = 1) AS holdout, count(*) FILTER (doc_id % 3 = 2) AS review FROM b WHERE book IS NOT NULL GROUP BY book""",

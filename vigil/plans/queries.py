@@ -813,6 +813,15 @@ def q_page_icons(spark, d):
     return _t(spark, d, "pages").select("page_id", signals.favicon_link(html).alias("icon"), F.when(hashed == float("inf"), -1.0).otherwise(hashed).alias("distance"), scoring.keyword_part(k % 6).cast("int").alias("points"), signals.run_token(F.timestamp_seconds(k * 1000)).alias("token"))
 
 
+@query
+def q_upsert_state(spark, d):
+    """A table of state with later patches over it, which also bring new rows."""
+    k = F.col("c_custkey")
+    c = _t(spark, d, "customer").select("c_custkey", F.lit(1).alias("version"), F.col("c_mktsegment").alias("stage"))
+    old, new = c.where(k % 3 != 0), c.where(k % 2 == 0).withColumn("version", F.lit(2)).withColumn("stage", F.lower("stage"))
+    return state.upsert_log(old, new, ["c_custkey"], ["version"])
+
+
 @query
 def q_funnel_pivot(spark, d):
     """Rows of each workbook in the stages, as columns; rows of several workbooks count in each."""
