@@ -111,7 +111,7 @@ def score(docs: DataFrame, *, order: int = 3, least: int = 2, backoff: float = 0
     first word); S(w) = c(w) / N. A document's score is the sum of log S over its words; the first words have shorter histories.
     Words are folded as in common.fold().
 
-    Documents are dealt into chunks of about chunk_bytes at random, once. A chunk sums its n-grams and asks, for each of the
+    Documents are dealt into chunks of about chunk_bytes by a hash, once. A chunk sums its n-grams and asks, for each of the
     hash partitions of the count tables, for the totals of those that lie there; the partition adds up what all chunks
     have (the count table), joins it to each chunk's n-grams and answers; the chunk, whose text is read from the same
     shuffle, adds the logarithms over its documents. Words and pairs are counted first. An n-gram of three words or more
@@ -126,7 +126,9 @@ def score(docs: DataFrame, *, order: int = 3, least: int = 2, backoff: float = 0
     total = base.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, math.ceil(total / chunk_bytes))
     tables_ = max(1, n // 2)
-    chunks = base.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(n)).cast("int"))
+    # the same again if a task is run again; rows without id may be copies of one text, so their place counts, too
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    chunks = base.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text", place), F.lit(n)).cast("int"))
 
     def of(table: pa.Table) -> Chunk:
         return Chunk(table.column("text").to_pylist(), order, least)
