@@ -139,23 +139,29 @@ def sector(entity: Column, domain: Column, rules: Sequence[tuple[str, str]], pri
     return out.otherwise(default)
 
 
-def stage0_rows(inputs: DataFrame, scores: DataFrame, decisions: DataFrame, rejected: DataFrame, unmapped: DataFrame) -> DataFrame:
+def stage0_rows(inputs: DataFrame, scores: DataFrame, decisions: DataFrame, rejected: DataFrame, unmapped: DataFrame, key: str = "url") -> DataFrame:
     """A row for each of inputs(pos, url): its place, what the lexical stage has of it, and how it ended.
 
     scores(url, ...) from the gate, decisions(url, admission_path, review_only_reason, admitted, review_only, fetch_status), and the
-    urls that the gate rejected (rejected) or whose host has no address (unmapped).
+    urls that the gate rejected (rejected) or whose host has no address (unmapped). All are found by url, without blanks around it;
+    where a url stands in several inputs that are judged apart, key names a column that tells them apart in all five tables. Of
+    several scores or decisions of a key the greatest counts, so that no input is repeated.
     """
-    flagged = lambda df, name: df.select(F.col("url").alias(f"__{name}_url")).distinct().withColumn(f"__{name}", F.lit(True))
-    d = decisions.select(F.col("url").alias("__d_url"), *[F.col(c).alias(f"__d_{c}") for c in decisions.columns if c != "url"])
-    s = scores.withColumn("__scored", F.lit(True)).withColumnRenamed("url", "__s_url")
-    j = numbered(inputs, "pos", "input_position").withColumn("url", F.trim("url"))
-    for df, key in ((s, "__s_url"), (d, "__d_url"), (flagged(rejected, "rejected"), "__rejected_url"), (flagged(unmapped, "unmapped"), "__unmapped_url")):
-        j = j.join(df, F.col("url") == F.col(key), "left")
-    out, away, known = F.coalesce("__rejected", F.lit(False)), F.coalesce("__unmapped", F.lit(False)), F.col("__d_url").isNotNull()
+    found_by = F.trim("url") if key == "url" else F.col(key)
+
+    def single(df: DataFrame, name: str, names: dict[str, str]) -> DataFrame:
+        found = F.struct(F.lit(True).alias(f"__{name}"), *[F.col(c).alias(n) for c, n in names.items()])
+        return df.groupBy(found_by.alias(f"__{name}_key")).agg(F.max(found).alias("m")).select(f"__{name}_key", "m.*")
+
+    kept = [c for c in scores.columns if c not in ("url", key)]
+    j = numbered(inputs, "pos", "input_position").withColumn("__key", found_by)
+    for df, name, names in ((scores, "scored", {c: c for c in kept}), (decisions, "d", {c: f"__d_{c}" for c in decisions.columns if c not in ("url", key)}), (rejected, "rejected", {}), (unmapped, "unmapped", {})):
+        j = j.join(single(df, name, names), F.col("__key") == F.col(f"__{name}_key"), "left")
+    out, away, known = F.coalesce("__rejected", F.lit(False)), F.coalesce("__unmapped", F.lit(False)), F.col("__d").isNotNull()
     path = F.coalesce(F.nullif(F.col("__d_admission_path"), F.lit("")), F.col("__d_review_only_reason"), F.lit(""))
     end = F.when(F.col("__d_admitted"), "shortlisted").when(F.col("__d_review_only"), "review_only").otherwise("filtered_after_hash")
     return j.select(
-        "input_position", "url", *[c for c in scores.columns if c != "url"],
+        "input_position", "url", *kept,
         (~out & F.coalesce("__scored", F.lit(False))).alias("lexical_hit"),
         F.when(out, "lexical_prefilter_rejected").when(away, PASSTHROUGH).when(known, path).otherwise("lexical_hit").alias("reason"),
         F.when(out, "filtered_lexical_miss").when(away, PASSTHROUGH).when(known, end).otherwise("queued_for_hash").alias("final_status"),

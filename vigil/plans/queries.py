@@ -630,11 +630,12 @@ def q_below_floor(spark, d):
 
 @query
 def q_stage0_rows(spark, d):
+    """Pages as inputs, each judged by its number: several have the same url."""
     p = _t(spark, d, "pages").select("page_id", F.col("url"))
     k = F.col("page_id")
-    scores = p.where(k % 4 != 3).select("url", (k % 3 == 0).alias("strict"), (k % 100).alias("score"))
-    decisions = p.where(k % 5 == 0).select("url", F.when(k % 2 == 0, "score_threshold").otherwise("").alias("admission_path"), F.lit("weak").alias("review_only_reason"), (k % 2 == 0).alias("admitted"), (k % 15 == 0).alias("review_only"), F.lit("fetched").alias("fetch_status"))
-    return outcomes.stage0_rows(p.select(k.alias("pos"), "url"), scores, decisions, p.where(k % 7 == 0), p.where(k % 6 == 0))
+    scores = p.where(k % 4 != 3).select("page_id", (k % 3 == 0).alias("strict"), (k % 100).alias("score"))
+    decisions = p.where(k % 5 == 0).select("page_id", F.when(k % 2 == 0, "score_threshold").otherwise("").alias("admission_path"), F.lit("weak").alias("review_only_reason"), (k % 2 == 0).alias("admitted"), (k % 15 == 0).alias("review_only"), F.lit("fetched").alias("fetch_status"))
+    return outcomes.stage0_rows(p.select(k.alias("pos"), "page_id", "url"), scores, decisions, p.where(k % 7 == 0), p.where(k % 6 == 0), "page_id")
 
 
 @query
