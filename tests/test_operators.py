@@ -56,6 +56,38 @@ def test_hamming_bands_equal_brute_force(spark):
     assert got == {(i, j) for i, v in enumerate(values) for j, w in enumerate(values) if i < j and (v ^ w).bit_count() <= 3}
 
 
+def test_hamming_pairs_of_copies_equal_brute_force(spark, monkeypatch):
+    """Many rows of one hash, in tiles; null ids, hashes that aren't valid; any number of blocks."""
+    import random
+
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    near = base + [v ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for v in base for _ in range(3)] + [base[0] ^ 0b111, base[0] ^ 0b1111, base[1] ^ (1 << 63)]
+    values = near + [base[0]] * 17 + [near[6]] * 9 + [base[1] ^ (1 << 63)] * 4
+    rng.shuffle(values)
+    rows = [(i, f"{v:016x}") for i, v in enumerate(values)]
+    df = spark.createDataFrame([*rows, (900, None), (901, "zz"), (None, f"{base[0]:016x}")], "id long, x string")
+    want = sorted((i, j, (v ^ w).bit_count()) for i, v in enumerate(values) for j, w in enumerate(values) if i < j and (v ^ w).bit_count() <= 3)
+    assert {d for *_, d in want} == {0, 1, 2, 3}
+    monkeypatch.setattr(matching, "TILE", 4)
+    for blocks in (None, 4, 7):
+        assert sorted(map(tuple, matching.hamming_pairs(df, 3, blocks).collect())) == want
+    both = matching.hamming_radius(df.toDF("a", "x"), df.toDF("b", "y"), 3).where("a < b")
+    assert sorted(map(tuple, both.collect())) == want
+
+
+def test_hash_bands_pair_hashes_once(spark, tmp_path):
+    """Rows are put in for pairs of hashes last: what comes out of that join isn't made distinct, and copies aren't compared."""
+    from vigil.plans.queries import QUERIES
+
+    n = 300
+    spark.createDataFrame([(i, "same words here") for i in range(n)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    df = QUERIES["q_hash_bands_equijoin"](spark, str(tmp_path))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan[: plan.index("Join")]
+    assert df.count() == n * (n - 1) // 2 and df.where("distance = 0 AND similarity = 1 AND a < b").distinct().count() == n * (n - 1) // 2
+
+
 def test_range_lookup_across_blocks(spark):
     rows = spark.createDataFrame([(1, 5), (2, 70_000), (3, 200_000), (4, 300_000)], "id int, ip long")
     ranges = spark.createDataFrame([(0, 9, "a"), (60_000, 250_000, "b")], "low long, high long, name string")

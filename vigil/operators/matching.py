@@ -13,26 +13,70 @@ from vigil.functions.text import pipe_list
 from vigil.operators.lexical import small
 
 
+#: Rows of one hash that are paired together with those of another.
+TILE = 256
+
+
+def _valid(df: DataFrame, key: str, value: str) -> DataFrame:
+    return df.select(key, bits(F.col(value)).alias("h")).where(F.col("h").isNotNull() & F.col(key).isNotNull())
+
+
+def _groups(rows: DataFrame) -> DataFrame:
+    """(h, n): each hash once; dealt out evenly however few they are, as each becomes many rows."""
+    return rows.groupBy("h").agg(F.count("*").alias("n")).repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "h")
+
+
+def _near(left: DataFrame, right: DataFrame, radius: int, blocks: int, ordered: bool) -> DataFrame:
+    """(p, m, q, n, distance): hashes p of left(h, n), each once in m rows, and q of right(h, n) in n, at most `radius` bits apart. A pair is found
+    in each choice of blocks that it agrees on and is taken from the first of them. ordered: p < q only."""
+    n = max(radius + 1, blocks)
+    edges = [64 * i // n for i in range(n + 1)]
+    signed = lambda m: F.lit(m - (1 << 64) if m >> 63 else m)
+    block = [((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in range(n)]
+    choices = list(combinations(range(n), n - radius))
+    cut = F.array(*[F.struct(F.lit(k).alias("band"), F.col("h").bitwiseAND(signed(sum(block[i] for i in chosen))).alias("key")) for k, chosen in enumerate(choices)])
+    keyed = lambda df, value, count: df.select(F.col("h").alias(value), F.col("n").alias(count), F.inline(cut))
+    differ = F.col("p").bitwiseXOR(F.col("q"))
+    last = F.element_at(F.array(*[F.lit(chosen[-1]) for chosen in choices]), F.col("band") + 1)
+    agreed = sum((F.when((F.lit(i) <= last) & (differ.bitwiseAND(signed(m)) == 0), 1).otherwise(0) for i, m in enumerate(block)), F.lit(0))
+    found = keyed(left, "p", "m").join(keyed(right, "q", "n"), ["band", "key"])
+    found = found.where("p < q") if ordered else found
+    return found.where(F.bit_count(differ) <= radius).where(agreed == n - radius).select("p", "m", "q", "n", distance(F.col("p"), F.col("q")).alias("distance"))
+
+
 def hamming_radius(left: DataFrame, right: DataFrame, radius: int, blocks: int | None = None) -> DataFrame:
     """(a, b, distance) of left(a, x) and right(b, y), hex hashes of 64 bits, at most `radius` bits apart.
 
     The 64 bits are cut into `blocks` (two more than the radius by default, more are allowed): hashes this near agree on all but `radius`
     of them, so an equi-join on the bits of each choice of the others finds all candidates without a cross join. Two blocks
-    together are 25 bits or more, so that a key holds few of 10^9 hashes. Hashes that aren't valid match nothing.
+    together are 25 bits or more, so that a key holds few of 10^9 hashes. Hashes are compared once, however many rows have them.
+    Hashes that aren't valid match nothing.
     """
-    n = max(radius + 1, blocks or radius + 2)
-    edges = [64 * i // n for i in range(n + 1)]
-    masks = [sum(((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in chosen) for chosen in combinations(range(n), n - radius)]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    own, other = _valid(left, "a", "x").distinct(), _valid(right, "b", "y").distinct()
+    near = _near(_groups(own), _groups(other), radius, blocks or radius + 2, False).select("p", "q", "distance")
+    return near.join(own.withColumnRenamed("h", "p"), "p").join(other.withColumnRenamed("h", "q"), "q").select("a", "b", "distance").distinct()
 
-    def keyed(df: DataFrame, value: str) -> DataFrame:
-        cut = [F.struct(F.lit(i).alias("band"), F.col("h").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)]
-        return df.withColumn("h", bits(F.col(value))).where("h IS NOT NULL").withColumn("k", F.explode(F.array(*cut))).select("*", "k.*").drop("k")
 
-    a = keyed(left, "x").withColumnRenamed("h", "p")
-    b = keyed(right, "y").withColumnRenamed("h", "q")
-    d = distance(F.col("p"), F.col("q"))
-    return a.join(b, ["band", "key"]).withColumn("distance", d).where(F.col("distance") <= radius).select("a", "b", "distance").distinct()
+def hamming_pairs(rows: DataFrame, radius: int, blocks: int | None = None) -> DataFrame:
+    """(a, b, distance) of rows(id, x), each id once: hamming_radius() of a table with itself, each pair once with a < b.
+
+    There are three `blocks` more than the radius by default: of hashes of like texts, which share many bits, fewer meet by chance. Pairs
+    of hashes are found first; rows are put in for them last, in tiles of about TILE rows of either hash, so that a
+    hash of many rows isn't paired in one task, and pairs of rows are neither shuffled nor compared.
+    """
+    own = _valid(rows, "id", "x")
+    groups = _groups(own)
+    parts = lambda n: F.ceil(n / TILE).cast("int")
+    many = F.col("m") > F.col("n")
+    turned = lambda x, y: F.when(many, F.col(y)).otherwise(F.col(x))
+    near = _near(groups, groups, radius, blocks or radius + 3, True).select(turned("p", "q").alias("p"), turned("m", "n").alias("m"), turned("q", "p").alias("q"), turned("n", "m").alias("n"), "distance")
+    same = groups.where("n > 1").select(F.col("h").alias("p"), F.col("n").alias("m"), F.col("h").alias("q"), "n", F.lit(0).cast(near.schema["distance"].dataType).alias("distance"))
+    up_to = lambda n: F.explode(F.sequence(F.lit(0), parts(F.col(n)) - 1))
+    tiles = near.union(same).select("p", "q", "n", "distance", up_to("m").alias("i")).select("p", "q", "distance", "i", up_to("n").alias("j")).where("p <> q OR i <= j")
+    dealt = own.join(groups, "h").select("h", "id", F.pmod(F.xxhash64("id"), parts(F.col("n"))).cast("int").alias("part"))
+    first = tiles.join(dealt.select(F.col("h").alias("p"), F.col("part").alias("i"), F.col("id").alias("a")), ["p", "i"])
+    both = first.join(dealt.select(F.col("h").alias("q"), F.col("part").alias("j"), F.col("id").alias("b")), ["q", "j"]).where("p <> q OR i < j OR a < b")
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
 
 
 #: Reference hashes that are broadcast together: 20 bytes each.

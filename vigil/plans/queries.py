@@ -151,7 +151,7 @@ def q_hamming_radius_pairs(spark, d):
 def q_hash_bands_equijoin(spark, d):
     """Pairs of different documents whose hashes are at most three bits apart."""
     h = _kept(_simhashes(spark, d, "documents", "doc_id"))
-    return matching.hamming_radius(h.select(F.col("doc_id").alias("a"), F.col("simhash").alias("x")), h.select(F.col("doc_id").alias("b"), F.col("simhash").alias("y")), 3).where("a < b").withColumn("similarity", F.round(hashing.similarity(F.col("distance")), 6))
+    return matching.hamming_pairs(h.select(F.col("doc_id").alias("id"), F.col("simhash").alias("x")), 3).withColumn("similarity", hashing.similarity(F.col("distance")))
 
 
 def _order_signals(spark, d):
